@@ -38,4 +38,4 @@ def change_text(label: str, old, new) -> Column:
 
 def join_changes(parts, sep: str = "; ") -> Column:
     """join the non-NULL parts."""
-    return F.array_join(F.array_compact(F.array(*parts)), sep)
+    return F.concat_ws(sep, *parts)

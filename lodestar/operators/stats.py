@@ -3,9 +3,10 @@
 ``F.median`` keeps a count per distinct value in a single final aggregate,
 which does not fit once a column has billions of distinct values. Here the
 values are pre-aggregated to (value, count) - a hot value collapses to one
-row map-side - then range-partitioned. Only per-partition totals (one number
-per partition) reach the driver; the rank is then resolved inside the one or
-two partitions that hold the middle.
+row map-side - then range-partitioned. A running count inside each range
+partition plus the prefix of the per-partition totals (one row per partition,
+a proven size bound, so broadcast) gives every distinct value its rank
+interval; the one or two values covering the middle ranks are the answer.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from lodestar.session import checkpoint_root, shuffle_partitions
 
 
-def exact_median(df: DataFrame, column: str, num_partitions: int | None = None):
-    """Median of ``column`` skipping NULL and NaN; mean of the two middle
-    values for an even count; ``None`` when there are no values."""
+def exact_median_df(df: DataFrame, column: str, alias: str = "median",
+                    num_partitions: int | None = None) -> DataFrame:
+    """One-row DataFrame: median of ``column`` skipping NULL and NaN; the mean
+    of the two middle values for an even count; NULL without values."""
     spark = df.sparkSession
     checkpoint_root(spark)
     v = F.col(column).cast("double")
@@ -26,31 +28,31 @@ def exact_median(df: DataFrame, column: str, num_partitions: int | None = None):
               .where(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     parts = num_partitions or shuffle_partitions(spark)
-    # Materialised so the per-partition totals and the rank lookup below see
-    # one layout (range boundaries come from sampling).
+    # Materialised so the per-partition totals and the running counts see one
+    # layout (range boundaries come from sampling).
     laid = (counts.repartitionByRange(parts, "v")
             .withColumn("pid", F.spark_partition_id())
             .checkpoint())
-    totals = sorted((r["pid"], r["n"]) for r in
-                    laid.groupBy("pid").agg(F.sum("n").alias("n")).collect())
-    total = sum(n for _, n in totals)
-    if total == 0:
-        return None
-    targets = sorted({(total - 1) // 2, total // 2})
-    picks = []
-    for k in targets:
-        before = 0
-        for pid, n in totals:
-            if k < before + n:
-                break
-            before += n
-        running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        value = (laid.where(F.col("pid") == pid)
-                 .withColumn("cum", F.sum("n").over(running))
-                 .where(F.col("cum") > F.lit(k - before))
-                 .agg(F.min("v").alias("v")).collect()[0]["v"])
-        picks.append(value)
-    return (picks[0] + picks[-1]) / 2
+    totals = laid.groupBy("pid").agg(F.sum("n").alias("tot"))
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "pid", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"),
+        F.sum("tot").over(Window.partitionBy()).alias("total"))
+    running = Window.partitionBy("pid").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (laid.withColumn("cum", F.sum("n").over(running))
+              .join(F.broadcast(offsets), "pid")
+              .select("v", (F.col("off") + F.col("cum") - F.col("n")).alias("lo"),
+                      (F.col("off") + F.col("cum")).alias("hi"), "total"))
+    k1 = F.floor((F.col("total") - 1) / 2)
+    k2 = F.floor(F.col("total") / 2)
+    covers = ((F.col("lo") <= k1) & (k1 < F.col("hi"))) | ((F.col("lo") <= k2) & (k2 < F.col("hi")))
+    return ranked.where(covers).agg(((F.min("v") + F.max("v")) / 2).alias(alias))
+
+
+def exact_median(df: DataFrame, column: str, num_partitions: int | None = None):
+    """The median as a Python float (``None`` without values)."""
+    return exact_median_df(df, column, "m", num_partitions).collect()[0]["m"]
 
 
 def approx_median(df: DataFrame, column: str, accuracy: int = 10000):

@@ -27,22 +27,31 @@ MANIFEST = "_manifest"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None,
+                 new: bool = False):
+        """Open the newest committed version, or ``version`` (read-only
+        time travel to an earlier commit). ``new=True`` starts an empty
+        warehouse at a fresh root without looking for a manifest."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.version, self.tables = self._load_manifest()
+        self.version, self.tables = (0, {}) if new else self._load_manifest(version)
 
     # -- manifest -----------------------------------------------------------
-    def _load_manifest(self):
+    def _load_manifest(self, version: int | None = None):
         try:
             versions = self.spark.read.text(f"{self.root}/{MANIFEST}")
-            latest = versions.agg(F.max("v").alias("v")).collect()[0]["v"]
+            latest = (versions.agg(F.max("v").alias("v")).collect()[0]["v"]
+                      if version is None else version)
         except AnalysisException:
+            if version:
+                raise
             return 0, {}
         if latest is None:
             return 0, {}
-        text = versions.where(F.col("v") == latest).collect()[0]["value"]
-        return int(latest), json.loads(text)["tables"]
+        rows = versions.where(F.col("v") == latest).collect()
+        if not rows:
+            raise KeyError(f"warehouse {self.root} has no version {latest}")
+        return int(latest), json.loads(rows[0]["value"])["tables"]
 
     def refresh(self) -> "Warehouse":
         self.version, self.tables = self._load_manifest()
