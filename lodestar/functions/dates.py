@@ -25,10 +25,33 @@ DATE_FORMATS = (
 )
 
 
+_D = r"[+-]?[0-9]+"
+_L = r"\p{L}+"
+# Loose shape of each layout: every text the layout can parse matches it, so
+# skipping the parse on a mismatch never changes a result. It spares the
+# parser a thrown-and-caught exception for each layout that cannot apply.
+LAYOUT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": rf"^{_D}-{_D}-{_D} [0-9]+:[0-9]+:[0-9]+$",
+    "yyyy-MM-dd": rf"^{_D}-{_D}-{_D}$",
+    "yyyy/MM/dd": rf"^{_D}/{_D}/{_D}$",
+    "M/d/yyyy": rf"^{_D}/{_D}/{_D}$",
+    "d/M/yyyy": rf"^{_D}/{_D}/{_D}$",
+    "d-MMM-yyyy": rf"^{_D}-{_L}-{_D}$",
+    "MMM d, yyyy": rf"^{_L} {_D}, {_D}$",
+    "d MMMM yyyy": rf"^{_D} {_L} {_D}$",
+    "yyyyMMdd": rf"^{_D}$",
+}
+
+
 def lenient_timestamp(c, formats=DATE_FORMATS) -> Column:
     """first layout that parses wins; NULL when none does."""
     s = strip(as_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
+    tries = []
+    for fmt in formats:
+        parsed = F.try_to_timestamp(s, F.lit(fmt))
+        shape = LAYOUT_SHAPES.get(fmt)
+        tries.append(F.when(s.rlike(shape), parsed) if shape else parsed)
+    return F.coalesce(*tries)
 
 
 def date_key(d) -> Column:

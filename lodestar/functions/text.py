@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.common import as_col
 
-# Python's str.strip() removes all Unicode whitespace; F.trim only spaces.
-_EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# Python's str.strip() removes every character for which str.isspace() is
+# true; F.trim removes only spaces. The set is derived by that rule (all
+# such characters lie below U+3001).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip(c) -> Column:
-    """remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(as_col(c), _EDGE_WHITESPACE, "")
+    """remove leading and trailing whitespace exactly as Python does.
+    ``btrim`` with a character set is a plain codegen'd string scan."""
+    return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
 def upper_strip(c) -> Column:

@@ -55,6 +55,16 @@ class FactSpec:
     def value_columns(self) -> list:
         return list(self.columns) + ["datekey"]
 
+    @property
+    def key_order(self) -> list:
+        """Order in which new rows are numbered: date first, so each range
+        partition holds a contiguous run of dates and the month-partitioned
+        write makes about (tasks + months) files; then the load key, then the
+        rest, so equal-ordered rows are identical."""
+        rest = [c for c in self.load_keys if c != "datekey"]
+        return ["datekey"] + rest + [c for c in self.value_columns
+                                     if c not in self.load_keys and c != "datekey"]
+
 
 # The three facts of the warehouse.
 FACT_HR = FactSpec(
@@ -86,13 +96,14 @@ FACTS = {s.name: s for s in (FACT_HR, FACT_FINANCE, FACT_OPERATIONS)}
 
 
 def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict,
-                    broadcast_check: bool = True) -> DataFrame:
-    """Staging rows resolved to fact columns (before the anti join)."""
+                    dim_rows: dict | None = None) -> DataFrame:
+    """Staging rows resolved to fact columns (before the anti join). A
+    lookup dimension is broadcast only under a checked row count."""
     df = staging
+    dim_rows = dim_rows or {}
     for lk in spec.lookups:
         dim = dims[lk.table].select(F.col(lk.nk).alias("_nk"), F.col(lk.key))
-        if broadcast_check:
-            dim = checked_broadcast(dim)
+        dim = checked_broadcast(dim, rows=dim_rows.get(lk.table))
         df = df.join(dim, df[lk.source_col] == dim["_nk"], "inner").drop("_nk")
     for ex in spec.exists:
         dim = dims[ex.table].select(F.col(ex.dim_col).alias("_ek"))
@@ -103,29 +114,29 @@ def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict,
 
 
 def fact_new_rows(candidates: DataFrame, existing: DataFrame, spec: FactSpec,
-                  prune_months: bool = True) -> DataFrame:
+                  months: list | None = None) -> DataFrame:
     """Rows whose load key is not in the fact yet. Only the months present
-    in the batch are read from the fact (a calendar-bounded list)."""
+    in the batch (a calendar-bounded list; a superset is fine) are read from
+    the fact, which prunes its month partitions."""
     keys = list(spec.load_keys)
-    old = existing
-    if prune_months:
+    if months is None:
         months = [r[0] for r in candidates.select(month_key("datekey").alias("m"))
                   .distinct().collect()]
-        part = (F.col(PARTITION_COL) if PARTITION_COL in existing.columns
-                else month_key("datekey"))
-        old = old.where(part.isin(months)) if months else old.limit(0)
+    part = (F.col(PARTITION_COL) if PARTITION_COL in existing.columns
+            else month_key("datekey"))
+    old = existing.where(part.isin(sorted(months))) if months else existing.limit(0)
     return candidates.join(old.select(keys), keys, "left_anti")
 
 
 def fact_append_rows(staging: DataFrame, existing: DataFrame, spec: FactSpec, dims: dict,
-                     start: int | None = None) -> DataFrame:
+                     start: int | None = None, dim_rows: dict | None = None,
+                     months: list | None = None) -> DataFrame:
     """The keyed rows one load appends to the fact, with the month partition
-    column. Keys follow (load key, remaining columns) order."""
-    cand = fact_candidates(staging, spec, dims)
-    new = fact_new_rows(cand, existing, spec)
+    column. Keys follow ``spec.key_order``."""
+    cand = fact_candidates(staging, spec, dims, dim_rows)
+    new = fact_new_rows(cand, existing, spec, months)
     if start is None:
         start = max_key(existing, spec.key_col)
-    order = list(spec.load_keys) + [c for c in spec.value_columns if c not in spec.load_keys]
-    keyed = assign_surrogate_keys(new, spec.key_col, order, start=start)
+    keyed = assign_surrogate_keys(new, spec.key_col, spec.key_order, start=start)
     return keyed.select(spec.key_col, *spec.value_columns,
                         month_key("datekey").alias(PARTITION_COL))

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.count()
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      rows: int | None = None) -> DataFrame:
+    """Broadcast hint only under a row count: ``rows`` when the caller knows
+    it (the warehouse manifest records it at write time), else counted."""
+    n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df
 
 

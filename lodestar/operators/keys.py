@@ -5,8 +5,9 @@ table's current maximum. No global window: rows are range-partitioned and
 sorted within partitions, ``monotonically_increasing_id`` gives
 (partition, position), and a prefix sum over the per-partition row counts -
 one row per partition, a proven size bound - turns that into a global rank.
-The laid-out rows are checkpointed first so counts and positions come from
-the same layout.
+The input is checkpointed (so range sampling does not re-run the joins that
+produced it) and so are the laid-out rows (so counts and positions come from
+one layout, even when a task is retried on another executor).
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by, start: int = 0,
     checkpoint_root(spark)
     parts = num_partitions or shuffle_partitions(spark)
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    laid = (df.repartitionByRange(parts, *order)
+    # Range partitioning samples its input in a job of its own; reading the
+    # rows from a checkpoint keeps the upstream joins from running twice.
+    src = df.checkpoint()
+    laid = (src.repartitionByRange(parts, *order)
             .sortWithinPartitions(*order)
             .withColumn("_ls_mid", F.monotonically_increasing_id())
             .checkpoint())

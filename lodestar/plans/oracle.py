@@ -236,7 +236,8 @@ def fact_sql(spec: FactSpec, staging: str, dims: dict, prev: str | None = None)
     cand = (f"SELECT {', '.join(sel)} FROM {staging} s {' '.join(joins)}"
             + (f" WHERE {' AND '.join(where)}" if where else ""))
     cols = spec.value_columns
-    order = list(spec.load_keys) + [c for c in cols if c not in spec.load_keys]
+    order = ["datekey"] + [k for k in spec.load_keys if k != "datekey"] + \
+        [c for c in cols if c not in spec.load_keys and c != "datekey"]
     if prev is None:
         new, start = cand, "0"
     else:

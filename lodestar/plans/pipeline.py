@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.audit import INCREMENTAL_INSERT, audit_rows
-from lodestar.operators.cleaning import clean_domain
+from lodestar.operators.cleaning import SPECS, clean_domain
 from lodestar.operators.dimensions import OP, dim_merge_scd1, dim_new_members
 from lodestar.operators.facts import (FACT_FINANCE, FACT_HR, FACT_OPERATIONS,
                                       PARTITION_COL, fact_append_rows)
@@ -32,22 +32,36 @@ def _table(tx: Transaction, name: str) -> DataFrame:
 
 
 def stage(tx: Transaction, domain: str, raw: DataFrame, missing: str = "null") -> DataFrame:
-    """S2 + W1: clean the raw extract and refresh its staging table."""
+    """S2 + W1: clean the raw extract and refresh its staging table. The
+    months of the batch are observed during the write (a calendar-bounded
+    set) for the fact loads to prune with."""
     name = f"staging_{domain}"
-    tx.write(name, clean_domain(raw, domain, missing), mode="overwrite")
+    d = F.col(SPECS[domain].dates[0])
+    month = F.collect_set(F.year(d) * 100 + F.month(d)).alias("months")
+    m = tx.write(name, clean_domain(raw, domain, missing), mode="overwrite", observe=[month])
+    tx.batch_months = sorted(int(x) for x in (m.get("months") or []))
     return _table(tx, name)
 
 
+def _max_key(tx, table, key_col):
+    known = tx.max_key(table)
+    return known if known is not None else max_key(_table(tx, table), key_col)
+
+
 def _new_dim(tx, events, table, staging, source_col, nk, key_col):
-    new = dim_new_members(_table(tx, table), staging, source_col, nk, key_col)
-    m = tx.write(table, new, "append")
+    new = dim_new_members(_table(tx, table), staging, source_col, nk, key_col,
+                          start=_max_key(tx, table, key_col))
+    m = tx.write(table, new, "append", key_col=key_col)
     events.append((table, INCREMENTAL_INSERT, m["rows"]))
 
 
 def _fact(tx, events, spec, staging, dim_names):
     dims = {d: _table(tx, d) for d in dim_names}
-    rows = fact_append_rows(staging, _table(tx, spec.name), spec, dims)
-    m = tx.write(spec.name, rows, "append", partition_by=[PARTITION_COL])
+    rows = fact_append_rows(staging, _table(tx, spec.name), spec, dims,
+                            start=_max_key(tx, spec.name, spec.key_col),
+                            dim_rows={d: tx.row_count(d) for d in dim_names},
+                            months=getattr(tx, "batch_months", None))
+    m = tx.write(spec.name, rows, "append", partition_by=[PARTITION_COL], key_col=spec.key_col)
     events.append((spec.name, INCREMENTAL_INSERT, m["rows"]))
 
 
@@ -88,8 +102,8 @@ def run_scd2(tx: Transaction, as_of) -> dict:
 
 
 def _audit(tx: Transaction, events: list, stamp=None) -> None:
-    first = max_key(_table(tx, "audit_log"), "id") + 1
-    tx.write("audit_log", audit_rows(tx.spark, events, first, stamp), "append")
+    first = _max_key(tx, "audit_log", "id") + 1
+    tx.write("audit_log", audit_rows(tx.spark, events, first, stamp), "append", key_col="id")
 
 
 DOMAIN_LOADS = {"hr": load_hr, "finance": load_finance, "operations": load_operations}

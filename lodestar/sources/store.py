@@ -67,6 +67,20 @@ class Warehouse:
     def transaction(self) -> "Transaction":
         return Transaction(self)
 
+    def row_count(self, name: str) -> int | None:
+        return _stat(self.tables, name, "rows")
+
+    def max_key(self, name: str) -> int | None:
+        return _stat(self.tables, name, "max_key")
+
+
+def _stat(tables, name, field):
+    """Statistics kept in the manifest at write time (no job to read them)."""
+    entry = tables.get(name)
+    if entry is None:
+        return 0
+    return entry.get(field)
+
 
 def _read(spark, root, tables, name, schema=None) -> DataFrame:
     entry = tables.get(name)
@@ -96,21 +110,30 @@ class Transaction:
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         return _read(self.spark, self.wh.root, self.tables, name, schema)
 
+    def row_count(self, name: str) -> int | None:
+        return _stat(self.tables, name, "rows")
+
+    def max_key(self, name: str) -> int | None:
+        return _stat(self.tables, name, "max_key")
+
     def _segment(self, name: str) -> str:
         return f"{self.wh.root}/{name}/seg=s{uuid.uuid4().hex}"
 
     def write(self, name: str, df: DataFrame, mode: str = "append",
-              partition_by=None, observe=None, drop=()) -> dict:
+              partition_by=None, observe=None, drop=(), key_col: str | None = None) -> dict:
         """Write ``df`` as a new segment of ``name``.
 
         ``mode``: ``append`` adds the segment, ``overwrite`` replaces all.
         ``observe``: extra aggregate Columns collected while writing (no
-        second pass); ``rows`` is always collected. ``drop``: marker
+        second pass); ``rows`` is always collected, and ``max_key`` when
+        ``key_col`` is given - both kept in the manifest. ``drop``: marker
         columns removed after observing.
         """
         path = self._segment(name)
         obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
         exprs = [F.count(F.lit(1)).alias("rows")] + list(observe or [])
+        if key_col:
+            exprs.append(F.max(key_col).alias("max_key"))
         out = df.observe(obs, *exprs)
         if drop:
             out = out.drop(*drop)
@@ -121,14 +144,23 @@ class Transaction:
         metrics = {k: (v if v is not None else 0) for k, v in obs.get.items()}
         schema = out.schema
         entry = self.tables.setdefault(
-            name, {"segments": [], "schema": schema.json(), "partition_by": partition_by or []})
+            name, {"segments": [], "schema": schema.json(), "partition_by": partition_by or [],
+                   "rows": 0, "max_key": 0})
         entry["schema"] = schema.json()
         if mode == "overwrite":
             entry["segments"] = []
+            entry["rows"] = 0
+            entry["max_key"] = 0
         elif mode != "append":
             raise ValueError(f"mode must be append or overwrite, not {mode!r}")
         if metrics["rows"] > 0:
             entry["segments"].append(path)
+        if entry.get("rows") is not None:
+            entry["rows"] = entry["rows"] + int(metrics["rows"])
+        if key_col and entry.get("max_key") is not None:
+            entry["max_key"] = max(int(entry["max_key"]), int(metrics.get("max_key") or 0))
+        else:
+            entry["max_key"] = None
         self.metrics[name] = metrics
         return metrics
 
@@ -155,6 +187,7 @@ class Transaction:
         if metrics["replaced"] > 0:
             segs.append(f"{path}/{split_col}={replace_value}")
         entry["segments"] = segs
+        entry["rows"] = None      # rows of the split table are not tracked
         self.metrics[name] = metrics
         return metrics
 
