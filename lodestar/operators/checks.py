@@ -46,15 +46,20 @@ def duplicate_keys(tables: dict, keys: dict | None = None) -> DataFrame:
 
 
 def orphans(tables: dict, fks=None) -> DataFrame:
-    """Per foreign key: child rows whose non-NULL key has no parent."""
+    """Per foreign key: child rows whose non-NULL key has no parent.
+
+    Child keys are counted per distinct value first (map-side combined), so
+    the anti join shuffles distinct keys, not every fact row."""
     fks = fks or FOREIGN_KEYS
     parts = []
     for child, col, parent, pcol in fks:
         if child not in tables or parent not in tables:
             continue
-        c = tables[child].select(F.col(col).alias("k")).where(F.col("k").isNotNull())
+        c = (tables[child].select(F.col(col).alias("k")).where(F.col("k").isNotNull())
+             .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
         p = tables[parent].select(F.col(pcol).alias("k"))
-        n = c.join(p, "k", "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
+        n = c.join(p, "k", "left_anti").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         parts.append(n.select(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
                               F.lit(parent).alias("parent_table"), "orphan_rows"))
     return reduce(DataFrame.unionByName, parts)
