@@ -24,7 +24,6 @@ from lodestar.operators.scd2 import apply_scd2, scd2_input  # noqa: E402
 from lodestar.plans import scenarios as sc  # noqa: E402
 from lodestar.plans.pipeline import run_all, run_domains, warehouse_tables  # noqa: E402
 from lodestar.session import get_session, scratch_path  # noqa: E402
-from lodestar.sources.fixtures import raw_extracts  # noqa: E402
 from lodestar.sources.store import Warehouse  # noqa: E402
 
 
@@ -53,7 +52,8 @@ def main() -> None:
                         extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
 
-    raw = raw_extracts(spark, sf_dir)
+    # extracts land once as Parquet files (not timed), as they would arrive
+    raw = sc.landed_extracts(spark, sf_dir)
     base = sc.base_warehouse(spark, sf_dir)
     t = warehouse_tables(base)
     day2 = sc.scd2_day2_input(scd2_input(t["dim_employee"], t["fact_hr"]))

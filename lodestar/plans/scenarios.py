@@ -18,7 +18,7 @@ from lodestar.functions import lenient_timestamp
 from lodestar.operators.scd2 import apply_scd2_full, scd2_input
 from lodestar.plans.pipeline import run_all, run_domains, warehouse_tables
 from lodestar.session import scratch_path
-from lodestar.sources.fixtures import raw_extracts
+from lodestar.sources.fixtures import land_extracts
 from lodestar.sources.store import Warehouse
 
 # Scenario parameters.
@@ -32,7 +32,7 @@ RENAME_SUFFIX_AGAIN = " III"
 SCD1_RENAME_SUFFIX = " Jr"
 SCD1_NULL_MANAGER = 5
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _built: dict = {}
 
 
@@ -48,11 +48,22 @@ def _once(spark, sf_dir, what, build):
         return _built[k]
 
 
+def landed_extracts(spark: SparkSession, sf_dir: str) -> dict:
+    """The raw extracts derived from the driver's tables, landed once as
+    Parquet under the shared folder (see ``land_extracts``)."""
+    root = _once(spark, sf_dir, "landing", lambda: scratch_path(spark, "landing"))
+    k = _key(spark, sf_dir, "landed")
+    with _lock:
+        if k not in _built:
+            _built[k] = land_extracts(spark, sf_dir, root)
+        return dict(_built[k])
+
+
 def base_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One full master load (L4) with SCD2 on DAY1."""
     def build():
         root = scratch_path(spark, "wh-base")
-        run_all(Warehouse(spark, root, new=True), raw_extracts(spark, sf_dir), as_of=DAY1,
+        run_all(Warehouse(spark, root, new=True), landed_extracts(spark, sf_dir), as_of=DAY1,
                 stamp=_dt.datetime(2024, 1, 1, 12, 0, 0))
         return root
     return Warehouse(spark, _once(spark, sf_dir, "base", build))
@@ -72,7 +83,7 @@ def incremental_root(spark: SparkSession, sf_dir: str) -> str:
     OPERATIONS_CUTOFF. Load 2 and load 3: the full extracts. Versions 1-3."""
     def build():
         root = scratch_path(spark, "wh-incr")
-        raw = raw_extracts(spark, sf_dir)
+        raw = landed_extracts(spark, sf_dir)
         first = {"hr": raw["hr"],
                  "finance": before(raw["finance"], "ExpenseDate", FINANCE_CUTOFF),
                  "operations": before(raw["operations"], "ProcessDate", OPERATIONS_CUTOFF)}

@@ -121,3 +121,23 @@ RAW_BUILDERS = {"hr": raw_hr, "finance": raw_finance, "operations": raw_operatio
 
 def raw_extracts(spark: SparkSession, sf_dir: str) -> dict:
     return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+
+
+def land_extracts(spark: SparkSession, sf_dir: str, landing_root: str) -> dict:
+    """Write the three extracts as Parquet files (S1: extracts land as
+    splittable files) and return scans of them with the raw schemas.
+
+    Loads then start from a file scan, as in production. A derivation that
+    yields fewer partitions than the cluster has cores is spread out first so
+    the landed extract is splittable; at scale it already has more.
+    """
+    from lodestar.sources.extracts import read_extract, write_extract
+    cores = spark.sparkContext.defaultParallelism
+    out = {}
+    for name, df in raw_extracts(spark, sf_dir).items():
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        path = f"{landing_root.rstrip('/')}/{name}"
+        write_extract(df, path, "parquet")
+        out[name] = read_extract(spark, path, name, "parquet")
+    return out
