@@ -11,17 +11,21 @@ def test_keys_equal_global_row_number(spark):
     # skewed leading column: a third of the rows share a = 0
     rows = [(0 if i % 3 == 0 else i % 97, f"s{i % 13}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "a int, b string, c int").repartition(7)
-    keyed = assign_surrogate_keys(df, "k", ["a", "b", "c"], start=100, num_partitions=5)
     ref = df.withColumn("k", F.row_number().over(Window.orderBy("a", "b", "c")) + 100)
-    assert keyed.count() == 3000
-    assert sorted(map(tuple, keyed.select("k", "a", "b", "c").collect())) == \
-        sorted(map(tuple, ref.select(F.col("k").cast("long"), "a", "b", "c").collect()))
+    want = sorted(map(tuple, ref.select(F.col("k").cast("long"), "a", "b", "c").collect()))
+    for small_rows in (0, 10_000):   # distributed path and small-batch path
+        keyed = assign_surrogate_keys(df, "k", ["a", "b", "c"], start=100, num_partitions=5,
+                                      small_rows=small_rows)
+        assert keyed.count() == 3000
+        assert sorted(map(tuple, keyed.select("k", "a", "b", "c").collect())) == want
 
 
 def test_keys_nulls_last_and_empty(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
-    got = {r.x: r.k for r in assign_surrogate_keys(df, "k", ["x"]).collect()}
-    assert got == {"a": 1, "b": 2, None: 3}
+    for small_rows in (0, 10):
+        got = {r.x: r.k for r in assign_surrogate_keys(df, "k", ["x"],
+                                                        small_rows=small_rows).collect()}
+        assert got == {"a": 1, "b": 2, None: 3}
     empty = df.where("x = 'zz'")
     assert assign_surrogate_keys(empty, "k", ["x"], start=9).count() == 0
 
