@@ -125,7 +125,10 @@ def fact_new_rows(candidates: DataFrame, existing: DataFrame, spec: FactSpec,
     part = (F.col(PARTITION_COL) if PARTITION_COL in existing.columns
             else month_key("datekey"))
     old = existing.where(part.isin(sorted(months))) if months else existing.limit(0)
-    return candidates.join(old.select(keys), keys, "left_anti")
+    # Distinct keys (combined map-side) keep a key that repeats in the fact
+    # from piling onto one task of the build side; the aggregate's hash
+    # partitioning is reused by the join.
+    return candidates.join(old.select(keys).distinct(), keys, "left_anti")
 
 
 def fact_append_rows(staging: DataFrame, existing: DataFrame, spec: FactSpec, dims: dict,

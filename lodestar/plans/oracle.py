@@ -592,6 +592,9 @@ def oracle_sql() -> dict:
         "fact_operations": with_base("SELECT * FROM fact_operations"),
         "fact_second_load": with_base("SELECT * FROM fact_finance_2", incremental_ctes()),
         "fact_reload_empty": with_base(reload_empty, incremental_ctes()),
+        # the stream's two runs are the same two finance loads
+        "stream_incremental_finance": with_base("SELECT * FROM fact_finance_2",
+                                                incremental_ctes()),
         "scd2_first": with_base(f"SELECT {scd2_cols} FROM scd2_first"),
         "scd2_second": with_base(f"SELECT {scd2_cols} FROM scd2_second", scd2_ctes()),
         "scd2_same_day": with_base(f"SELECT {scd2_cols} FROM scd2_same_day", scd2_ctes()),

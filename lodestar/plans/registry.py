@@ -22,6 +22,7 @@ from lodestar.operators.stats import exact_median_df
 from lodestar.plans import scenarios as sc
 from lodestar.sources import schemas
 from lodestar.sources.fixtures import raw_finance, raw_hr, raw_operations, raw_extracts
+from lodestar.sources.store import Warehouse
 
 
 def _select(df: DataFrame, schema) -> DataFrame:
@@ -143,6 +144,12 @@ def fact_reload_empty(spark, sf):
         "table_name", F.col("row_count").alias("inserted"))
 
 
+def stream_incremental_finance(spark, sf):
+    """fact_finance after two stream runs over newly landed extract files."""
+    wh = Warehouse(spark, sc.streamed_finance_root(spark, sf))
+    return _select(wh.read("fact_finance"), schemas.FACT_FINANCE)
+
+
 def scd1_update(spark, sf):
     t = sc.base_tables(spark, sf)
     staging = sc.base_warehouse(spark, sf).read("staging_hr")
@@ -260,6 +267,7 @@ QUERIES = {
     "fact_operations": _base("fact_operations"),
     "fact_second_load": fact_second_load,
     "fact_reload_empty": fact_reload_empty,
+    "stream_incremental_finance": stream_incremental_finance,
     "scd2_first": _scd2("first"),
     "scd2_second": _scd2("second"),
     "scd2_same_day": _scd2("same_day"),

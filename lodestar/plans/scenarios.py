@@ -145,3 +145,27 @@ def scd1_staging(staging_hr: DataFrame) -> DataFrame:
                         .otherwise(F.col("Name")))
             .withColumn("ManagerID", F.coalesce(F.col("ManagerID"),
                                                 F.lit(SCD1_NULL_MANAGER).cast("int"))))
+
+
+def streamed_finance_root(spark: SparkSession, sf_dir: str) -> str:
+    """HR loaded in full, then finance fed through the file-source stream:
+    a first extract file with rows before FINANCE_CUTOFF, a run, then a
+    second file with the full extract and another run. Each run loads only
+    the file that is new to the stream's checkpoint."""
+    from lodestar.sources.extracts import write_extract
+    from lodestar.streaming.incremental import load_new_extracts
+
+    def build():
+        root = scratch_path(spark, "wh-stream")
+        landing = scratch_path(spark, "landing-stream")
+        ckpt = scratch_path(spark, "stream-ckpt")
+        raw = landed_extracts(spark, sf_dir)
+        run_domains(Warehouse(spark, root, new=True), {"hr": raw["hr"]}, ("hr",),
+                    stamp=_dt.datetime(2024, 1, 1, 12, 0, 0))
+        write_extract(before(raw["finance"], "ExpenseDate", FINANCE_CUTOFF),
+                      f"{landing}/batch-1", "parquet")
+        load_new_extracts(spark, f"{landing}/*", "finance", root, ckpt)
+        write_extract(raw["finance"], f"{landing}/batch-2", "parquet")
+        load_new_extracts(spark, f"{landing}/*", "finance", root, ckpt)
+        return root
+    return _once(spark, sf_dir, "stream", build)

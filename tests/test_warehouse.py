@@ -122,3 +122,13 @@ def test_failed_run_is_invisible(spark, tmp_root):
     tx.write("dim_department", spark.createDataFrame([(99, "X")], "departmentid long, department string"))
     # no commit: readers still see the committed version
     assert Warehouse(spark, tmp_root).read("dim_department").count() == 6
+
+
+def test_register_views_and_audit_listing(spark, t):
+    from lodestar.operators.audit import audit_listing
+    names = views.register_views(spark, t)
+    assert spark.sql("SELECT count(*) FROM view_super_user").collect()[0][0] == \
+        views.view_super(t).count()
+    assert len(names) == 4
+    ids = [r.id for r in audit_listing(t["audit_log"]).collect()]
+    assert ids == sorted(ids, reverse=True)
