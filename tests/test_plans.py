@@ -1,6 +1,9 @@
 """Plan checks: no Python evaluation, no nested-loop joins, pruned scans,
 no single-partition window over a fact."""
 
+import contextlib
+import io
+
 import pytest
 
 from conftest import SF_SMALL
@@ -13,7 +16,11 @@ from lodestar.sources.fixtures import raw_extracts
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan text, as printed by the public ``explain``."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 @pytest.fixture(scope="module")
