@@ -70,7 +70,8 @@ def main() -> None:
         from lodestar.plans.pipeline import DOMAIN_LOADS, stage
         events: list = []
         for d in ("hr", "finance", "operations"):
-            DOMAIN_LOADS[d](tx, stage(tx, d, raw[d]), events)
+            staging, months = stage(tx, d, raw[d])
+            DOMAIN_LOADS[d](tx, staging, events, months)
         assert all(n == 0 for _, _, n in events), events
 
     jobs = {

@@ -10,6 +10,7 @@ commit.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +32,15 @@ def _table(tx: Transaction, name: str) -> DataFrame:
     return tx.read(name, schemas.WAREHOUSE.get(name) or schemas.STAGING.get(name))
 
 
-def stage(tx: Transaction, domain: str, raw: DataFrame, missing: str = "null") -> DataFrame:
-    """S2 + W1: clean the raw extract and refresh its staging table. The
-    months of the batch are observed during the write (a calendar-bounded
-    set) for the fact loads to prune with."""
+def stage(tx: Transaction, domain: str, raw: DataFrame, missing: str = "null"):
+    """S2 + W1: clean the raw extract and refresh its staging table. Returns
+    the staging table and the months of the batch, observed during the write
+    (a calendar-bounded set) for the fact load to prune with."""
     name = f"staging_{domain}"
     d = F.col(SPECS[domain].dates[0])
     month = F.collect_set(F.year(d) * 100 + F.month(d)).alias("months")
     m = tx.write(name, clean_domain(raw, domain, missing), mode="overwrite", observe=[month])
-    tx.batch_months = sorted(int(x) for x in (m.get("months") or []))
-    return _table(tx, name)
+    return _table(tx, name), sorted(int(x) for x in (m.get("months") or []))
 
 
 def _max_key(tx, table, key_col):
@@ -55,17 +55,17 @@ def _new_dim(tx, events, table, staging, source_col, nk, key_col):
     events.append((table, INCREMENTAL_INSERT, m["rows"]))
 
 
-def _fact(tx, events, spec, staging, dim_names):
+def _fact(tx, events, spec, staging, dim_names, months=None):
     dims = {d: _table(tx, d) for d in dim_names}
     rows = fact_append_rows(staging, _table(tx, spec.name), spec, dims,
                             start=_max_key(tx, spec.name, spec.key_col),
                             dim_rows={d: tx.row_count(d) for d in dim_names},
-                            months=getattr(tx, "batch_months", None))
+                            months=months)
     m = tx.write(spec.name, rows, "append", partition_by=[PARTITION_COL], key_col=spec.key_col)
     events.append((spec.name, INCREMENTAL_INSERT, m["rows"]))
 
 
-def load_hr(tx: Transaction, staging: DataFrame, events: list) -> None:
+def load_hr(tx: Transaction, staging: DataFrame, events: list, months=None) -> None:
     """L1 (without SCD2): dim_department, dim_employee (+ SCD1), fact_hr."""
     _new_dim(tx, events, "dim_department", staging, "Department", "department", "departmentid")
     merged = dim_merge_scd1(_table(tx, "dim_employee"), staging)
@@ -73,22 +73,23 @@ def load_hr(tx: Transaction, staging: DataFrame, events: list) -> None:
         F.count(F.when(F.col(OP) == "insert", 1)).alias("inserted"),
         F.count(F.when(F.col(OP) == "update", 1)).alias("updated")])
     events.append(("dim_employee", INCREMENTAL_INSERT, m["inserted"]))
-    _fact(tx, events, FACT_HR, staging, ["dim_department"])
+    _fact(tx, events, FACT_HR, staging, ["dim_department"], months)
 
 
-def load_finance(tx: Transaction, staging: DataFrame, events: list) -> None:
+def load_finance(tx: Transaction, staging: DataFrame, events: list, months=None) -> None:
     """L2: dim_expensetype, fact_finance (needs dim_employee)."""
     _new_dim(tx, events, "dim_expensetype", staging, "ExpenseType", "expensetype",
              "expensetypeid")
-    _fact(tx, events, FACT_FINANCE, staging, ["dim_expensetype", "dim_employee"])
+    _fact(tx, events, FACT_FINANCE, staging, ["dim_expensetype", "dim_employee"], months)
 
 
-def load_operations(tx: Transaction, staging: DataFrame, events: list) -> None:
+def load_operations(tx: Transaction, staging: DataFrame, events: list,
+                    months=None) -> None:
     """L3: dim_process, dim_location, fact_operations (needs dim_department)."""
     _new_dim(tx, events, "dim_process", staging, "ProcessName", "processname", "processid")
     _new_dim(tx, events, "dim_location", staging, "Location", "location", "locationid")
     _fact(tx, events, FACT_OPERATIONS, staging,
-          ["dim_process", "dim_location", "dim_department"])
+          ["dim_process", "dim_location", "dim_department"], months)
 
 
 def run_scd2(tx: Transaction, as_of) -> dict:
@@ -109,20 +110,52 @@ def _audit(tx: Transaction, events: list, stamp=None) -> None:
 DOMAIN_LOADS = {"hr": load_hr, "finance": load_finance, "operations": load_operations}
 
 
-def run_domains(wh: Warehouse, raw: dict, domains=("hr", "finance", "operations"),
-                missing: str = "null", as_of=None, scd2: bool = False, stamp=None) -> list:
+DOMAIN_ORDER = ("hr", "finance", "operations")
+
+
+def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "null",
+                as_of=None, scd2: bool = False, stamp=None, parallel: bool = True) -> list:
     """Run the given domain loads (and optionally SCD2) as one commit.
-    Returns the audit events."""
+    Returns the audit events, in HR, finance, operations order.
+
+    Only HR must go first: finance needs its dim_employee and operations its
+    dim_department. Cleaning of every extract starts at once; after HR,
+    finance, operations and SCD2 read only HR's output and write disjoint
+    tables, so they are submitted as concurrent Spark jobs from separate
+    threads (``parallel=False`` runs them one after another).
+    """
     tx = wh.transaction()
-    events: list = []
-    for d in domains:
-        staging = stage(tx, d, raw[d], missing)
-        DOMAIN_LOADS[d](tx, staging, events)
-    if scd2:
-        run_scd2(tx, as_of or _dt.date.today())
-    _audit(tx, events, stamp)
+    order = [d for d in DOMAIN_ORDER if d in domains]
+    events: dict = {}
+
+    def load(d, staged):
+        st, months = staged.result() if hasattr(staged, "result") else staged
+        ev: list = []
+        DOMAIN_LOADS[d](tx, st, ev, months)
+        return ev
+
+    workers = 4 if parallel else 1
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        staged = {d: (pool.submit(stage, tx, d, raw[d], missing) if parallel
+                      else None) for d in order}
+        if not parallel:
+            for d in order:
+                events[d] = load(d, stage(tx, d, raw[d], missing))
+            if scd2:
+                run_scd2(tx, as_of or _dt.date.today())
+        else:
+            if "hr" in order:
+                events["hr"] = load("hr", staged["hr"])
+            later = {d: pool.submit(load, d, staged[d]) for d in order if d != "hr"}
+            after = pool.submit(run_scd2, tx, as_of or _dt.date.today()) if scd2 else None
+            for d, f in later.items():
+                events[d] = f.result()
+            if after is not None:
+                after.result()
+    flat = [e for d in order for e in events[d]]
+    _audit(tx, flat, stamp)
     tx.commit()
-    return events
+    return flat
 
 
 def run_hr(wh: Warehouse, raw_hr: DataFrame, as_of=None, **kw) -> list:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import copy
 import json
+import threading
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -106,6 +107,9 @@ class Transaction:
         self.spark = wh.spark
         self.tables = copy.deepcopy(wh.tables)
         self.metrics: dict = {}
+        # Independent loads may write different tables from several threads;
+        # the bookkeeping below is guarded, the Spark writes run concurrently.
+        self._lock = threading.Lock()
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         return _read(self.spark, self.wh.root, self.tables, name, schema)
@@ -143,6 +147,10 @@ class Transaction:
         writer.parquet(path)
         metrics = {k: (v if v is not None else 0) for k, v in obs.get.items()}
         schema = out.schema
+        with self._lock:
+            return self._record(name, path, mode, partition_by, key_col, metrics, schema)
+
+    def _record(self, name, path, mode, partition_by, key_col, metrics, schema) -> dict:
         entry = self.tables.setdefault(
             name, {"segments": [], "schema": schema.json(), "partition_by": partition_by or [],
                    "rows": 0, "max_key": 0})
@@ -178,8 +186,14 @@ class Transaction:
         out = df.observe(obs, *(exprs + list(observe or [])))
         out.write.mode("errorifexists").partitionBy(split_col).parquet(path)
         metrics = {k: (v if v is not None else 0) for k, v in obs.get.items()}
+        with self._lock:
+            return self._record_split(name, path, split_col, replace_value, keep_value,
+                                      metrics, out.schema)
+
+    def _record_split(self, name, path, split_col, replace_value, keep_value, metrics,
+                      schema) -> dict:
         entry = self.tables.setdefault(
-            name, {"segments": [], "schema": out.schema.json(), "partition_by": [split_col]})
+            name, {"segments": [], "schema": schema.json(), "partition_by": [split_col]})
         suffix_keep = f"/{split_col}={keep_value}"
         segs = [s for s in entry["segments"] if s.endswith(suffix_keep)]
         if metrics["appended"] > 0:
