@@ -22,7 +22,7 @@ from lodestar.operators import kpi, views  # noqa: E402
 from lodestar.operators.cleaning import clean_domain  # noqa: E402
 from lodestar.operators.scd2 import apply_scd2, scd2_input  # noqa: E402
 from lodestar.plans import scenarios as sc  # noqa: E402
-from lodestar.plans.pipeline import run_all, run_domains, warehouse_tables  # noqa: E402
+from lodestar.plans.pipeline import run_all, warehouse_tables  # noqa: E402
 from lodestar.session import get_session, scratch_path  # noqa: E402
 from lodestar.sources.store import Warehouse  # noqa: E402
 

@@ -4,7 +4,7 @@ Plans aggregate facts by surrogate keys first (partial + final hash
 aggregate, so a hot key is combined map-side), then attach dimension names to
 the few aggregated rows. Sums go through ``decimal(18,4)`` and become double
 once, so totals do not depend on summation order. NULL group keys are dropped
-as pandas ``groupby`` does (P15); an all-NULL group sums to 0 (A-note).
+as pandas ``groupby`` does (P15); an all-NULL group sums to 0, as in pandas.
 """
 
 from __future__ import annotations

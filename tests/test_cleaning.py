@@ -1,7 +1,6 @@
 """W1 goldens (FIXTURES.md §3) and aggregate edge cases."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lodestar.operators.cleaning import SPECS, clean_domain, medians
