@@ -18,9 +18,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lodestar.operators import kpi, views  # noqa: E402
+from lodestar.operators import checks, kpi, views  # noqa: E402
 from lodestar.operators.cleaning import clean_domain  # noqa: E402
-from lodestar.operators.scd2 import apply_scd2, scd2_input  # noqa: E402
+from lodestar.operators.scd2 import (apply_scd2, apply_scd2_full, change_report,  # noqa: E402
+                                     scd2_input)
 from lodestar.plans import scenarios as sc  # noqa: E402
 from lodestar.plans.pipeline import run_all, warehouse_tables  # noqa: E402
 from lodestar.session import get_session, scratch_path  # noqa: E402
@@ -57,6 +58,7 @@ def main() -> None:
     base = sc.base_warehouse(spark, sf_dir)
     t = warehouse_tables(base)
     day2 = sc.scd2_day2_input(scd2_input(t["dim_employee"], t["fact_hr"]))
+    scd2_after_day2 = apply_scd2_full(t["dim_employee_scd2"], day2, sc.DAY2).checkpoint()
 
     def master_pipeline():
         run_all(Warehouse(spark, scratch_path(spark, "bench-wh"), new=True), raw,
@@ -86,6 +88,15 @@ def main() -> None:
         "view_super_V4": lambda: noop(views.view_super(t)),
         "scd2_apply_W5": lambda: [noop(x) for x in apply_scd2(
             t["dim_employee_scd2"], day2, sc.DAY2)],
+        "hr_kpis_A2_A4": lambda: [noop(kpi.headcount(t["fact_hr"])),
+                                  noop(kpi.attrition(t["fact_hr"])),
+                                  noop(kpi.salary_by_gender(t["fact_hr"], t["dim_employee"]))],
+        "expense_month_type_A6": lambda: noop(kpi.expense_by_month_type(
+            t["fact_finance"], t["dim_expensetype"])),
+        "role_views_V1_V3": lambda: [noop(views.VIEWS[v](t)) for v in
+                                     ("view_hr_user", "view_finance_user", "view_operations_user")],
+        "change_report_W7": lambda: noop(change_report(scd2_after_day2)),
+        "checks_W11": lambda: [noop(checks.orphans(t)), noop(checks.duplicate_keys(t))],
     }
     results = {name: timed(fn, runs) for name, fn in jobs.items()}
     total = round(sum(results.values()), 3)

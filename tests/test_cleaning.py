@@ -50,9 +50,10 @@ def test_staging_types(raw):
 
 def test_exact_median_edges(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (10.0,), (20.0,)], "v double")
-    assert exact_median(df, "v") == 6.0
-    assert exact_median(df.where("v < 15"), "v") == 2.0
-    assert exact_median(df.where("v > 100"), "v") is None
+    for small in (0, 10):
+        assert exact_median(df, "v", small_values=small) == 6.0
+        assert exact_median(df.where("v < 15"), "v", small_values=small) == 2.0
+        assert exact_median(df.where("v > 100"), "v", small_values=small) is None
 
 
 def test_exact_median_hot_value_many_partitions(spark):
@@ -61,7 +62,11 @@ def test_exact_median_hot_value_many_partitions(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(6)
     s = sorted(vals)
     n = len(s)
-    assert exact_median(df, "v", num_partitions=5) == (s[(n - 1) // 2] + s[n // 2]) / 2
+    want = (s[(n - 1) // 2] + s[n // 2]) / 2
+    for small in (0, 10_000):   # range-partitioned path and single-window path
+        assert exact_median(df, "v", num_partitions=5, small_values=small) == want
+        assert exact_median(df.where("v <> 5"), "v", num_partitions=5, small_values=small) \
+            == sorted(x for x in vals if x != 5)[(n - 2) // 2]
 
 
 def test_dedup_keeps_one_of_null_equal_rows(spark):
