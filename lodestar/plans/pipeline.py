@@ -114,7 +114,8 @@ DOMAIN_ORDER = ("hr", "finance", "operations")
 
 
 def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "null",
-                as_of=None, scd2: bool = False, stamp=None, parallel: bool = True) -> list:
+                as_of=None, scd2: bool = False, stamp=None, parallel: bool = True,
+                commit: bool = True) -> list:
     """Run the given domain loads (and optionally SCD2) as one commit.
     Returns the audit events, in HR, finance, operations order.
 
@@ -123,6 +124,7 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
     finance, operations and SCD2 read only HR's output and write disjoint
     tables, so they are submitted as concurrent Spark jobs from separate
     threads (``parallel=False`` runs them one after another).
+    ``commit=False`` does all the work but publishes nothing (a dry run).
     """
     tx = wh.transaction()
     order = [d for d in DOMAIN_ORDER if d in domains]
@@ -154,7 +156,8 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
                 after.result()
     flat = [e for d in order for e in events[d]]
     _audit(tx, flat, stamp)
-    tx.commit()
+    if commit:
+        tx.commit()
     return flat
 
 
