@@ -23,7 +23,7 @@ from lodestar.operators.cleaning import clean_domain  # noqa: E402
 from lodestar.operators.scd2 import (apply_scd2, apply_scd2_full, change_report,  # noqa: E402
                                      scd2_input)
 from lodestar.plans import scenarios as sc  # noqa: E402
-from lodestar.plans.pipeline import run_all, run_domains, warehouse_tables  # noqa: E402
+from lodestar.plans.loads import run_all, run_domains, warehouse_tables  # noqa: E402
 from lodestar.session import get_session, scratch_path  # noqa: E402
 from lodestar.sources.store import Warehouse  # noqa: E402
 
@@ -60,7 +60,7 @@ def main() -> None:
     day2 = sc.scd2_day2_input(scd2_input(t["dim_employee"], t["fact_hr"]))
     scd2_after_day2 = apply_scd2_full(t["dim_employee_scd2"], day2, sc.DAY2).checkpoint()
 
-    def master_pipeline():
+    def master_load():
         run_all(Warehouse(spark, scratch_path(spark, "bench-wh"), new=True), raw,
                 as_of=sc.DAY1, stamp=dt.datetime(2024, 1, 1))
 
@@ -71,7 +71,7 @@ def main() -> None:
         assert all(n == 0 for _, _, n in events), events
 
     jobs = {
-        "master_pipeline_L4": master_pipeline,
+        "master_load_L4": master_load,
         "reload_no_change": reload_no_change,
         "clean_all_W1": lambda: [noop(clean_domain(raw[d], d))
                                  for d in ("hr", "finance", "operations")],

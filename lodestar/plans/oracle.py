@@ -519,7 +519,7 @@ def _q_dim_date() -> str:
         " UNION ALL SELECT datekey FROM fact_operations)))")
 
 
-def _q_pipeline_counts() -> str:
+def _q_master_load_counts() -> str:
     tables = ["staging_hr", "staging_finance", "staging_operations", "dim_employee",
               "dim_department", "dim_expensetype", "dim_process", "dim_location", "fact_hr",
               "fact_finance", "fact_operations"]
@@ -633,5 +633,5 @@ def oracle_sql() -> dict:
         "check_orphans": with_base(orph),
         "check_duplicate_keys": with_base(dup),
         "dim_date": _q_dim_date(),
-        "pipeline_row_counts": _q_pipeline_counts(),
+        "master_load_row_counts": _q_master_load_counts(),
     }

@@ -235,7 +235,7 @@ def dim_date(spark, sf):
     return date_dimension(t["fact_hr"], t["fact_finance"], t["fact_operations"])
 
 
-def pipeline_row_counts(spark, sf):
+def master_load_row_counts(spark, sf):
     """Row count of every table after the master pipeline (L4)."""
     wh = sc.base_warehouse(spark, sf)
     names = list(schemas.STAGING) + list(schemas.WAREHOUSE)
@@ -288,5 +288,5 @@ QUERIES = {
     "check_orphans": check_orphans,
     "check_duplicate_keys": check_duplicate_keys,
     "dim_date": dim_date,
-    "pipeline_row_counts": pipeline_row_counts,
+    "master_load_row_counts": master_load_row_counts,
 }

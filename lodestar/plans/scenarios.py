@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import lenient_timestamp
 from lodestar.operators.scd2 import apply_scd2_full, scd2_input
-from lodestar.plans.pipeline import run_all, run_domains, warehouse_tables
+from lodestar.plans.loads import run_all, run_domains, warehouse_tables
 from lodestar.session import scratch_path
 from lodestar.sources.fixtures import land_extracts
 from lodestar.sources.store import Warehouse

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.plans.pipeline import run_domains
+from lodestar.plans.loads import run_domains
 from lodestar.sources.schemas import RAW
 from lodestar.sources.store import Warehouse
 

@@ -11,7 +11,7 @@ from lodestar.operators import kpi, views
 from lodestar.operators.cleaning import clean_domain
 from lodestar.operators.scd2 import apply_scd2, scd2_input
 from lodestar.plans import scenarios as sc
-from lodestar.plans.pipeline import warehouse_tables
+from lodestar.plans.loads import warehouse_tables
 from lodestar.sources.fixtures import raw_extracts
 
 

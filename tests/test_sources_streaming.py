@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_SMALL
 from lodestar.operators.cleaning import clean_domain
 from lodestar.plans import scenarios as sc
-from lodestar.plans.pipeline import run_domains
+from lodestar.plans.loads import run_domains
 from lodestar.sources.extracts import read_extract, write_extract
 from lodestar.sources.fixtures import raw_extracts
 from lodestar.sources.store import Warehouse

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from lodestar.operators import checks, kpi, views
 from lodestar.plans import scenarios as sc
-from lodestar.plans.pipeline import run_domains, warehouse_tables
+from lodestar.plans.loads import run_domains, warehouse_tables
 from lodestar.sources.fixtures import raw_extracts
 from lodestar.sources.store import Warehouse
 
