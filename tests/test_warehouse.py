@@ -132,3 +132,27 @@ def test_register_views_and_audit_listing(spark, t):
     assert len(names) == 4
     ids = [r.id for r in audit_listing(t["audit_log"]).collect()]
     assert ids == sorted(ids, reverse=True)
+
+
+def test_literal_reading_goldens(spark, tmp_root):
+    """Missing text read as the literal 'nan' (FIXTURES.md §3, literal)."""
+    from lodestar.plans.loads import run_all
+    wh = Warehouse(spark, tmp_root, new=True)
+    run_all(wh, raw_extracts(spark, SF_SMALL), as_of=sc.DAY1, missing="literal")
+    t = warehouse_tables(wh)
+    counts = {n: t[n].count() for n in ("dim_employee", "dim_department", "dim_expensetype",
+                                        "dim_process", "dim_location", "fact_hr",
+                                        "fact_finance", "fact_operations")}
+    assert counts == {"dim_employee": 144, "dim_department": 7, "dim_expensetype": 7,
+                      "dim_process": 5, "dim_location": 5, "fact_hr": 147,
+                      "fact_finance": 1328, "fact_operations": 827}
+    a = kpi.attrition(t["fact_hr"]).collect()[0]
+    assert (kpi.headcount(t["fact_hr"]).collect()[0][0], a.resigned, a.attrition_rate) == \
+        (116, 28, 19.44)
+    a5 = kpi.expense_by_month_department_type(t["fact_finance"], t["fact_hr"],
+                                              t["dim_expensetype"], t["dim_department"])
+    assert a5.count() == 1028
+    assert round(a5.agg(F.sum("total_expense")).collect()[0][0], 2) == 335179495.2
+    a7 = kpi.downtime_by_process_department(t["fact_operations"], t["dim_process"],
+                                            t["dim_department"])
+    assert round(a7.agg(F.sum("total_downtime")).collect()[0][0], 2) == 40921.41
