@@ -156,3 +156,23 @@ def test_literal_reading_goldens(spark, tmp_root):
     a7 = kpi.downtime_by_process_department(t["fact_operations"], t["dim_process"],
                                             t["dim_department"])
     assert round(a7.agg(F.sum("total_downtime")).collect()[0][0], 2) == 40921.41
+
+
+def test_fixture_history_goldens(spark, t):
+    """FIXTURES.md §3-4 values for sf0.001 (default reading)."""
+    two_facts = t["fact_hr"].groupBy("employeeid").count().where("count = 2").count()
+    assert two_facts == 3
+    twins = (t["fact_finance"].groupBy("employeeid", "expensetypeid", "datekey").count()
+             .where("count > 1").count())
+    assert twins == 0
+    states = sc.scd2_states(spark, SF_SMALL)
+    employees = t["dim_employee"].count()
+    assert states["second"].count() - employees == 42          # changed on day 2
+    cur2 = states["second"].where("iscurrent = 1").select("employeeid", "name")
+    cur3 = states["same_day"].where("iscurrent = 1").select("employeeid", F.col("name").alias("n3"))
+    replaced = cur2.join(cur3, "employeeid").where("name <> n3").count()
+    assert replaced == 7                                       # replaced on day 2 again
+    assert states["same_day"].count() == states["second"].count()
+    # day 3: absent ids keep their open rows
+    open3 = states["missing"].where("iscurrent = 1").count()
+    assert open3 == employees
