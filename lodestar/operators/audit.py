@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestar.sources.schemas import AUDIT_LOG
 
+# The operation type recorded for every insert.
 INCREMENTAL_INSERT = "INCREMENTAL_INSERT"
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import as_of_literal, change_text, differs_null_safe, join_changes
 from lodestar.operators.joins import last_per_key
 
+# SCD2 columns and the attributes whose change opens a version.
 SCD2_COLUMNS = ["employeeid", "name", "gender", "managerid", "startdate", "enddate",
                 "iscurrent", "status"]
 TRACKED = ("name", "gender", "managerid", "status")

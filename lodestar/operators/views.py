@@ -43,6 +43,7 @@ def view_operations(t: dict) -> DataFrame:
                     "ops.downtimehours", "ops.datekey"))
 
 
+# The super view's columns and branch labels.
 SUPER_COLUMNS = ["Source", "ID", "employeeid", "name", "gender", "managerid", "department",
                  "Amount", "status", "datekey"]
 

@@ -16,6 +16,7 @@ def _schema(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Table and column names of the extracts and the warehouse.
 # Raw extracts (S1). Salary arrives numeric, everything dirty arrives as text.
 RAW_HR = _schema(("EmployeeID", L), ("Name", S), ("Gender", S), ("ManagerID", S),
                  ("Department", S), ("Salary", D), ("Status", S), ("DateOfJoining", S))
