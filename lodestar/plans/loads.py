@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions import as_of_literal
 from lodestar.operators.audit import INCREMENTAL_INSERT, audit_rows
 from lodestar.operators.cleaning import SPECS, clean_domain
 from lodestar.operators.dimensions import OP, dim_merge_scd1, dim_new_members
@@ -94,12 +95,31 @@ def load_operations(tx: Transaction, staging: DataFrame, events: list,
 
 def run_scd2(tx: Transaction, as_of) -> dict:
     """W6 + W5: one write partitioned by ``iscurrent``; the current part
-    replaces the previous one, closed versions are appended to history."""
+    replaces the previous one, closed versions are appended to history.
+    Versions opened in this run are counted while writing."""
     incoming = scd2_input(_table(tx, "dim_employee"), _table(tx, "fact_hr"))
     scd2 = _table(tx, SCD2_TABLE)
     current, closed = apply_scd2(scd2, incoming, as_of)
+    opened = F.count(F.when((F.col("iscurrent") == 1) &
+                            (F.col("startdate") == as_of_literal(as_of)), 1)).alias("opened")
     return tx.write_split(SCD2_TABLE, current.unionByName(closed).select(*SCD2_COLUMNS),
-                          "iscurrent", replace_value=1, keep_value=0)
+                          "iscurrent", replace_value=1, keep_value=0, observe=[opened])
+
+
+# Optional audit operation types for SCD writes.
+SCD1_UPDATE, SCD2_CLOSE, SCD2_OPEN = "SCD1_UPDATE", "SCD2_CLOSE", "SCD2_OPEN"
+
+
+def _scd_events(tx: Transaction) -> list:
+    events = []
+    emp = tx.metrics.get("dim_employee")
+    if emp is not None:
+        events.append(("dim_employee", SCD1_UPDATE, emp.get("updated", 0)))
+    hist = tx.metrics.get(SCD2_TABLE)
+    if hist is not None:
+        events.append((SCD2_TABLE, SCD2_CLOSE, hist.get("appended", 0)))
+        events.append((SCD2_TABLE, SCD2_OPEN, hist.get("opened", 0)))
+    return events
 
 
 def _audit(tx: Transaction, events: list, stamp=None) -> None:
@@ -115,7 +135,7 @@ DOMAIN_ORDER = ("hr", "finance", "operations")
 
 def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "null",
                 as_of=None, scd2: bool = False, stamp=None, parallel: bool = True,
-                commit: bool = True) -> list:
+                commit: bool = True, audit_scd: bool = False) -> list:
     """Run the given domain loads (and optionally SCD2) as one commit.
     Returns the audit events, in HR, finance, operations order.
 
@@ -125,6 +145,8 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
     tables, so they are submitted as concurrent Spark jobs from separate
     threads (``parallel=False`` runs them one after another).
     ``commit=False`` does all the work but publishes nothing (a dry run).
+    ``audit_scd=True`` also audits SCD1 updates and SCD2 closes/opens (D24);
+    by default only the inserts are audited, as in the reference.
     """
     tx = wh.transaction()
     order = [d for d in DOMAIN_ORDER if d in domains]
@@ -155,6 +177,8 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
             if after is not None:
                 after.result()
     flat = [e for d in order for e in events[d]]
+    if audit_scd:
+        flat += _scd_events(tx)
     _audit(tx, flat, stamp)
     if commit:
         tx.commit()
@@ -176,10 +200,11 @@ def run_operations(wh: Warehouse, raw_operations: DataFrame, **kw) -> list:
     return run_domains(wh, {"operations": raw_operations}, ("operations",), **kw)
 
 
-def run_all(wh: Warehouse, raw: dict, as_of=None, missing: str = "null", stamp=None) -> list:
+def run_all(wh: Warehouse, raw: dict, as_of=None, missing: str = "null", stamp=None,
+            **kw) -> list:
     """L4: HR -> finance -> operations -> SCD2, one commit."""
     return run_domains(wh, raw, ("hr", "finance", "operations"), missing=missing,
-                       as_of=as_of, scd2=True, stamp=stamp)
+                       as_of=as_of, scd2=True, stamp=stamp, **kw)
 
 
 def warehouse_tables(wh: Warehouse) -> dict:

@@ -176,3 +176,17 @@ def test_fixture_history_goldens(spark, t):
     # day 3: absent ids keep their open rows
     open3 = states["missing"].where("iscurrent = 1").count()
     assert open3 == employees
+
+
+def test_optional_scd_audit(spark, tmp_root):
+    """SCD1 updates and SCD2 closes/opens audited on request."""
+    from lodestar.plans.loads import run_all
+    raw = raw_extracts(spark, SF_SMALL)
+    wh = Warehouse(spark, tmp_root, new=True)
+    ev1 = run_all(wh, raw, as_of=sc.DAY1, audit_scd=True)
+    assert ev1[8:] == [("dim_employee", "SCD1_UPDATE", 0),
+                       ("dim_employee_scd2", "SCD2_CLOSE", 0),
+                       ("dim_employee_scd2", "SCD2_OPEN", 138)]
+    ev2 = run_all(wh, raw, as_of=sc.DAY2, audit_scd=True)
+    assert [n for _, _, n in ev2] == [0] * 11
+    assert wh.read("audit_log").count() == 22
