@@ -291,12 +291,12 @@ def _ctes(pairs) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in pairs)
 
 
-def base_ctes() -> list:
+def base_ctes(missing: str = "null") -> list:
     """Raw extracts through one full load and SCD2 day 1."""
     ctes = [("raw_hr", RAW_HR), ("raw_finance", RAW_FINANCE), ("raw_operations", RAW_OPERATIONS),
             ("hr_med", median_sql("raw_hr", "Salary"))]
     for d in ("hr", "finance", "operations"):
-        pre, st = clean_steps(d, f"raw_{d}", median_cte="hr_med")
+        pre, st = clean_steps(d, f"raw_{d}", missing=missing, median_cte="hr_med")
         ctes += [(f"pre_{d}", pre), (f"staging_{d}", st)]
     ctes += [
         ("dim_department", dim_sql("staging_hr", "Department", "department", "departmentid")),
@@ -519,6 +519,14 @@ def _q_dim_date() -> str:
         " UNION ALL SELECT datekey FROM fact_operations)))")
 
 
+def _q_literal_load_counts() -> str:
+    tables = ["staging_hr", "staging_finance", "staging_operations", "dim_employee",
+              "dim_department", "dim_expensetype", "dim_process", "dim_location", "fact_hr",
+              "fact_finance", "fact_operations"]
+    parts = [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in tables]
+    return _ctes(base_ctes(missing="literal")) + "\n" + " UNION ALL ".join(parts)
+
+
 def _q_master_load_counts() -> str:
     tables = ["staging_hr", "staging_finance", "staging_operations", "dim_employee",
               "dim_department", "dim_expensetype", "dim_process", "dim_location", "fact_hr",
@@ -634,4 +642,5 @@ def oracle_sql() -> dict:
         "check_duplicate_keys": with_base(dup),
         "dim_date": _q_dim_date(),
         "master_load_row_counts": _q_master_load_counts(),
+        "literal_load_row_counts": _q_literal_load_counts(),
     }

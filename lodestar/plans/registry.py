@@ -235,6 +235,16 @@ def dim_date(spark, sf):
     return date_dimension(t["fact_hr"], t["fact_finance"], t["fact_operations"])
 
 
+def literal_load_row_counts(spark, sf):
+    """Row counts after a master load that reads missing text as 'nan' (D1)."""
+    wh = sc.literal_warehouse(spark, sf)
+    names = list(schemas.STAGING) + [n for n in schemas.WAREHOUSE
+                                     if n not in ("dim_employee_scd2", "audit_log")]
+    return _union([wh.read(n, schemas.STAGING.get(n) or schemas.WAREHOUSE.get(n))
+                   .agg(F.count(F.lit(1)).alias("row_count"))
+                   .select(F.lit(n).alias("table_name"), "row_count") for n in names])
+
+
 def master_load_row_counts(spark, sf):
     """Row count of every table after the master pipeline (L4)."""
     wh = sc.base_warehouse(spark, sf)
@@ -289,4 +299,5 @@ QUERIES = {
     "check_duplicate_keys": check_duplicate_keys,
     "dim_date": dim_date,
     "master_load_row_counts": master_load_row_counts,
+    "literal_load_row_counts": literal_load_row_counts,
 }

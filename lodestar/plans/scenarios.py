@@ -69,6 +69,16 @@ def base_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, _once(spark, sf_dir, "base", build))
 
 
+def literal_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One full load reading missing text as the literal 'nan' (D1)."""
+    def build():
+        root = scratch_path(spark, "wh-literal")
+        run_all(Warehouse(spark, root, new=True), landed_extracts(spark, sf_dir), as_of=DAY1,
+                missing="literal", stamp=_dt.datetime(2024, 1, 1, 12, 0, 0))
+        return root
+    return Warehouse(spark, _once(spark, sf_dir, "literal", build))
+
+
 def base_tables(spark: SparkSession, sf_dir: str) -> dict:
     return warehouse_tables(base_warehouse(spark, sf_dir))
 
