@@ -64,3 +64,38 @@ def last_per_key(df: DataFrame, keys, order_cols, value_cols) -> DataFrame:
     fields += [F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]
     best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.v{i}").alias(c) for i, c in enumerate(value_cols)])
+
+
+# Rows per key above which a key is joined apart from the others. Read from
+# the session (``spark.lodestar.hotKeyRows``) so a cluster can size it to its
+# partitions.
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_key_rows(spark) -> int:
+    return int(spark.conf.get("spark.lodestar.hotKeyRows", str(HOT_KEY_ROWS)))
+
+
+def split_hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                   threshold: int | None = None, max_hot: int | None = None) -> DataFrame:
+    """``big.join(small, key, how)`` with hot keys split off.
+
+    ``small`` must be unique on ``key`` (a dimension). Keys holding more than
+    ``threshold`` rows of ``big`` are found with a map-side-combined count; at
+    most ``max_hot`` of them (the largest; default two per shuffle partition)
+    are joined against a broadcast of just their dimension rows - a proven
+    bound - so their rows never pile onto one join task. Every other row takes
+    the ordinary shuffle join (where AQE may still split). The union is the
+    complete join result.
+    """
+    from lodestar.session import shuffle_partitions
+    spark = big.sparkSession
+    threshold = hot_key_rows(spark) if threshold is None else threshold
+    max_hot = max_hot or 2 * shuffle_partitions(spark)
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.where(F.col("_n") > threshold)
+                      .orderBy(F.col("_n").desc()).limit(max_hot).select(key))
+    cold_rows = big.join(hot, key, "left_anti").join(small, key, how)
+    hot_rows = big.join(hot, key, "left_semi").join(
+        F.broadcast(small.join(hot, key, "left_semi")), key, how)
+    return cold_rows.unionByName(hot_rows)

@@ -43,3 +43,17 @@ def test_last_per_key(spark):
     df = spark.createDataFrame([(1, 20200101, 5, "A"), (1, 20200101, 7, "B"), (1, 20190101, 9, "C")],
                                "id int, dk int, hid int, s string")
     assert [tuple(r) for r in last_per_key(df, ["id"], ["dk", "hid"], ["s"]).collect()] == [(1, "B")]
+
+
+def test_split_hot_join_equals_plain_join(spark):
+    from lodestar.operators.joins import split_hot_join
+    # key 0 holds a third of the rows; key 99 has no dimension row
+    big = spark.createDataFrame([(0 if i % 3 == 0 else i % 50 + 1, i) for i in range(3000)] +
+                                [(99, -1)], "k int, v int")
+    small = spark.createDataFrame([(k, f"n{k}") for k in range(0, 51)], "k int, name string")
+    want = sorted(map(tuple, big.join(small, "k").select("k", "v", "name").collect()))
+    for threshold in (100, 10**9):       # hot key split off / nothing hot
+        got = split_hot_join(big, small, "k", threshold=threshold)
+        assert sorted(map(tuple, got.select("k", "v", "name").collect())) == want
+    left = split_hot_join(big, small, "k", how="left", threshold=100)
+    assert left.count() == 3001 and left.where("k = 99 and name is null").count() == 1
