@@ -41,3 +41,19 @@ def test_stream_loads_only_new_files(spark, tmp_root):
     # nothing new: the stream consumes no file and commits nothing
     assert load_new_extracts(spark, os.path.join(landing, "*"), "finance", root, ckpt) == []
     assert ev1
+
+
+def test_command_line_load_and_reports(spark, tmp_root, capsys):
+    from lodestar.__main__ import main
+    for d, df in raw_extracts(spark, SF_SMALL).items():
+        write_extract(df, os.path.join(tmp_root, "landing", d), "csv")
+    wh = os.path.join(tmp_root, "wh")
+    assert main(["load", "--landing", os.path.join(tmp_root, "landing"), "--warehouse", wh,
+                 "--as-of", "2024-01-01"]) == 0
+    out = capsys.readouterr().out
+    assert "fact_finance         1247" in out and "version 1" in out
+    for cmd in (["kpi", "--warehouse", wh, "hr"], ["view", "--warehouse", wh, "--role", "Super"],
+                ["audit", "--warehouse", wh], ["check", "--warehouse", wh],
+                ["scd2-report", "--warehouse", wh]):
+        assert main(["--limit", "3"] + cmd) == 0
+    assert Warehouse(spark, wh).read("dim_employee").count() == 138
