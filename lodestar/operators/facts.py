@@ -98,7 +98,8 @@ FACTS = {s.name: s for s in (FACT_HR, FACT_FINANCE, FACT_OPERATIONS)}
 def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict,
                     dim_rows: dict | None = None) -> DataFrame:
     """Staging rows resolved to fact columns (before the anti join). A
-    lookup dimension is broadcast only under a checked row count."""
+    lookup or existence dimension is broadcast only under a checked row count
+    (above it the join is a shuffle join and AQE splits hot partitions)."""
     df = staging
     dim_rows = dim_rows or {}
     for lk in spec.lookups:
@@ -106,7 +107,9 @@ def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict,
         dim = checked_broadcast(dim, rows=dim_rows.get(lk.table))
         df = df.join(dim, df[lk.source_col] == dim["_nk"], "inner").drop("_nk")
     for ex in spec.exists:
+        # only the key column; broadcast under the same checked row bound
         dim = dims[ex.table].select(F.col(ex.dim_col).alias("_ek"))
+        dim = checked_broadcast(dim, rows=dim_rows.get(ex.table))
         df = df.join(dim, df[ex.source_col] == dim["_ek"], "left_semi")
     out = [F.col(src).alias(dst) for dst, src in spec.columns.items()]
     out.append(date_key(F.col(spec.date_col)).alias("datekey"))
