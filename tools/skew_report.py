@@ -56,6 +56,8 @@ def main() -> None:
         # data, is joined by shuffle as it would be at scale
         "spark.sql.autoBroadcastJoinThreshold": "8k",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "8k"})
+    if os.environ.get("SKEW_NO_COALESCE"):   # to tell coalescing from skew
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
 
