@@ -27,19 +27,26 @@ def max_key(df: DataFrame, key_col: str) -> int:
 
 
 # Batches up to this many rows are numbered in one task (a checked bound);
-# larger ones take the distributed path. Both give the same keys.
+# larger ones take the distributed path. Both give the same keys. A session
+# may set ``spark.lodestar.smallBatchRows``.
 SMALL_BATCH_ROWS = 200_000
 
 
+def small_batch_rows(spark) -> int:
+    return int(spark.conf.get("spark.lodestar.smallBatchRows", str(SMALL_BATCH_ROWS)))
+
+
 def assign_surrogate_keys(df: DataFrame, key_col: str, order_by, start: int = 0,
                           num_partitions: int | None = None,
-                          small_rows: int = SMALL_BATCH_ROWS) -> DataFrame:
+                          small_rows: int | None = None) -> DataFrame:
     """Add ``key_col`` = start + global 1-based rank by ``order_by``
     (ascending, NULLs last). Rows equal in every ordering column are
     interchangeable, so order by all columns for a reproducible result."""
     spark = df.sparkSession
     checkpoint_root(spark)
     parts = num_partitions or shuffle_partitions(spark)
+    if small_rows is None:
+        small_rows = small_batch_rows(spark)
     order = [F.col(c).asc_nulls_last() for c in order_by]
     # Range partitioning samples its input in a job of its own; reading the
     # rows from a checkpoint keeps the upstream joins from running twice.

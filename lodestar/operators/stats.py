@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from lodestar.session import checkpoint_root, shuffle_partitions
 
 
-# Up to this many distinct values are ranked in one task (a checked bound).
+# Up to this many distinct values are ranked in one task (a checked bound);
+# a session may set ``spark.lodestar.smallBatchRows``.
 SMALL_DISTINCT_VALUES = 200_000
 
 
 def exact_median_df(df: DataFrame, column: str, alias: str = "median",
                     num_partitions: int | None = None,
-                    small_values: int = SMALL_DISTINCT_VALUES) -> DataFrame:
+                    small_values: int | None = None) -> DataFrame:
     """One-row DataFrame: median of ``column`` skipping NULL and NaN; the mean
     of the two middle values for an even count; NULL without values."""
     spark = df.sparkSession
@@ -35,6 +36,9 @@ def exact_median_df(df: DataFrame, column: str, alias: str = "median",
               .where(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     parts = num_partitions or shuffle_partitions(spark)
+    if small_values is None:
+        small_values = int(spark.conf.get("spark.lodestar.smallBatchRows",
+                                          str(SMALL_DISTINCT_VALUES)))
     # The distinct values are materialised once; a cheap count then picks the
     # path. Under a checked bound one ordered window ranks them; above it they
     # are range-partitioned and the range layout is materialised too, so the
@@ -75,7 +79,7 @@ def _pick_middle(ranked: DataFrame, alias: str) -> DataFrame:
 
 
 def exact_median(df: DataFrame, column: str, num_partitions: int | None = None,
-                 small_values: int = SMALL_DISTINCT_VALUES):
+                 small_values: int | None = None):
     """The median as a Python float (``None`` without values)."""
     return exact_median_df(df, column, "m", num_partitions, small_values).collect()[0]["m"]
 
