@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import mixing
+from lodestar.llm import fingerprints, mixing, sharding
 from lodestar.llm.tables import table
 
 
@@ -13,6 +13,17 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_fingerprints(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return fingerprints.fingerprint_edits(docs).drop("tree", "edited_tree")
+
+
+def op10_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op10_sharding": op10_sharding,
+    "op5_fingerprints": op5_fingerprints,
     "op6_mixing": op6_mixing,
 }
