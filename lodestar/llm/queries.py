@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, mixing, sharding
+from lodestar.llm import fingerprints, mixing, sharding, topk
 from lodestar.llm.tables import table
 
 
@@ -22,7 +22,13 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_topk(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings", "vec_id", F.col("embedding").alias("vec"))
+    return topk.top_k(v, v.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES = {
+    "op8_topk": op8_topk,
     "op10_sharding": op10_sharding,
     "op5_fingerprints": op5_fingerprints,
     "op6_mixing": op6_mixing,
