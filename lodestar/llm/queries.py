@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, mixing, sharding, topk
+from lodestar.llm import fingerprints, mixing, packing, sharding, topk
 from lodestar.llm.tables import table
 
 
@@ -27,7 +27,19 @@ def op8_topk(spark, sf_dir):
     return topk.top_k(v, v.where(F.col("vec_id") % 20 == 0))
 
 
+def packed(docs):
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                        public_tokenizers.PATTERN)
+
+
+def op3_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op3_packing": op3_packing,
     "op8_topk": op8_topk,
     "op10_sharding": op10_sharding,
     "op5_fingerprints": op5_fingerprints,
