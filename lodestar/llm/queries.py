@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, mixing, packing, sharding, topk
+from lodestar.llm import fingerprints, language, mixing, packing, sharding, topk
 from lodestar.llm.tables import table
 
 
@@ -38,7 +38,12 @@ def op3_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 QUERIES = {
+    "op7_language": op7_language,
     "op3_packing": op3_packing,
     "op8_topk": op8_topk,
     "op10_sharding": op10_sharding,
