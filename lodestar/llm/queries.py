@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, language, mixing, packing, sharding, topk
+from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, topk
 from lodestar.llm.tables import table
 
 
@@ -42,7 +42,12 @@ def op7_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op2_html(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 QUERIES = {
+    "op2_html": op2_html,
     "op7_language": op7_language,
     "op3_packing": op3_packing,
     "op8_topk": op8_topk,
