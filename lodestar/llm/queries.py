@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, topk
+from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, substrings, topk
 from lodestar.llm.tables import table
 
 
@@ -46,7 +46,13 @@ def op2_html(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op1_substrings(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return substrings.remove_repeats(docs).drop("kept")
+
+
 QUERIES = {
+    "op1_substrings": op1_substrings,
     "op2_html": op2_html,
     "op7_language": op7_language,
     "op3_packing": op3_packing,
