@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, substrings, topk
+from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, substrings, \
+    suffix_dedup, topk
 from lodestar.llm.tables import table
 
 
@@ -51,7 +52,13 @@ def op1_substrings(spark, sf_dir):
     return substrings.remove_repeats(docs).drop("kept")
 
 
+def op9_suffix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("kept")
+
+
 QUERIES = {
+    "op9_suffix": op9_suffix,
     "op1_substrings": op1_substrings,
     "op2_html": op2_html,
     "op7_language": op7_language,
