@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, html_text, language, mixing, packing, sharding, substrings, \
+from lodestar.llm import fingerprints, html_text, jaccard, language, mixing, packing, sharding, substrings, \
     suffix_dedup, topk
 from lodestar.llm.tables import table
 
@@ -57,7 +57,12 @@ def op9_suffix(spark, sf_dir):
     return suffix_dedup.remove_repeats(docs).drop("kept")
 
 
+def op4_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op4_jaccard": op4_jaccard,
     "op9_suffix": op9_suffix,
     "op1_substrings": op1_substrings,
     "op2_html": op2_html,

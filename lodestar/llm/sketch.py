@@ -2,10 +2,10 @@
 
 Every task counts its items' cells in two rows of the sketch and sends them as
 sorted, compressed cell numbers, cut into slabs; one task per slab merges the
-partition sketches and keeps one bit per cell: counted at least twice. An item
-whose cells are both set is estimated repeated. Cells only ever overestimate,
-so no repeated item is lost; other items that pass are for the caller to sort
-out exactly.
+partition sketches and keeps one bit per cell and level: counted at least
+twice, or as often as further levels ask. An item's level is that of its lower
+cell. Cells only ever overestimate, so no repeated item is lost; other items
+that pass are for the caller to sort out exactly.
 
 The width follows the number of items up to ``MAX_BITS`` (2 x 2^29 cells, 128
 MB), the proven bound of what is broadcast. Beyond about 10^9 items the filter
@@ -28,11 +28,12 @@ SLAB_BITS = 20
 FLUSH_ITEMS = 1 << 22
 ROWS = 2
 CELLS = "row int, slab int, cells binary"
+BITS = "row int, slab int, level int, bits binary"
 
 
-def sketch_bits(items: int) -> int:
+def sketch_bits(items: int, max_bits: int = MAX_BITS) -> int:
     """log2 of the width: about four cells per item, within the bounds."""
-    return min(MAX_BITS, max(MIN_BITS, int(4 * max(items, 1) - 1).bit_length()))
+    return min(max_bits, max(MIN_BITS, int(4 * max(items, 1) - 1).bit_length()))
 
 
 def cells(hashes: np.ndarray, bits: int, row: int) -> np.ndarray:
@@ -86,31 +87,35 @@ def _count(items_of: Callable, bits: int):
     return run
 
 
-def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-           ) -> Iterator[pa.RecordBatch]:
-    once = np.zeros(1 << SLAB_BITS, bool)
-    twice = np.zeros(1 << SLAB_BITS, bool)
-    for batch in batches:
-        for blob in batch.column("cells"):
-            c = unpack_rising(blob.as_py())
-            twice[c[1:][c[1:] == c[:-1]]] = True
-            twice[c[once[c]]] = True
-            once[c] = True
-    bits = zstandard.ZstdCompressor(level=1).compress(np.packbits(twice).tobytes())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
-         pa.array([bits], pa.binary())], names=["row", "slab", "cells"])
+def _merge(levels: tuple[int, ...]):
+    most = max(levels)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+            ) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(1 << SLAB_BITS, np.int32)
+        for batch in batches:
+            for blob in batch.column("cells"):
+                c = unpack_rising(blob.as_py())
+                np.add.at(count, c, 1)
+                count[c] = np.minimum(count[c], most)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        n = len(levels)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()] * n, pa.int32()), pa.array([key[1].as_py()] * n, pa.int32()),
+             pa.array(range(n), pa.int32()),
+             pa.array([pack(np.packbits(count >= x).tobytes()) for x in levels], pa.binary())],
+            names=["row", "slab", "level", "bits"])
+    return run
 
 
 class Repeats:
-    """The merged sketch as one broadcast bit array per row."""
+    """The merged sketch as one broadcast bit array per level and row."""
 
     def __init__(self, handle, bits: int):
         self._handle, self._bits = handle, bits
 
-    def maybe(self, hashes: np.ndarray) -> np.ndarray:
-        """True for items estimated to occur at least twice in all."""
-        rows = self._handle.value
+    def _reached(self, hashes: np.ndarray, level: int) -> np.ndarray:
+        rows = self._handle.value[level]
         out = np.ones(len(hashes), bool)
         for row in range(ROWS):
             at = np.flatnonzero(out)
@@ -118,15 +123,30 @@ class Repeats:
             out[at] = (rows[row][c >> np.uint32(3)] >> (7 - (c & np.uint32(7))).astype(np.uint8)) & 1 != 0
         return out
 
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        """True for items estimated to reach the first level."""
+        return self._reached(hashes, 0)
+
+    def level(self, hashes: np.ndarray) -> np.ndarray:
+        """How many of the levels each item is estimated to reach."""
+        out = np.zeros(len(hashes), np.int8)
+        at = np.arange(len(hashes))
+        for level in range(len(self._handle.value)):
+            at = at[self._reached(hashes[at], level)]
+            out[at] += 1
+        return out
+
 
-def repeats(df: DataFrame, items_of: Callable, items: int) -> Repeats:
-    """Sketch the hashes that ``items_of(batch)`` yields for ``df``."""
-    bits = sketch_bits(items)
+def repeats(df: DataFrame, items_of: Callable, items: int, levels: tuple[int, ...] = (2,),
+            max_bits: int = MAX_BITS) -> Repeats:
+    """Sketch the hashes that ``items_of(batch)`` yields for ``df``; ``levels``
+    are rising counts. The broadcast takes len(levels) * 2^(bits - 2) bytes."""
+    bits = sketch_bits(items, max_bits)
     slabs = (df.mapInArrow(_count(items_of, bits), CELLS).groupBy("row", "slab")
-             .applyInArrow(_merge, CELLS))
+             .applyInArrow(_merge(levels), BITS))
     size = (1 << SLAB_BITS) >> 3
-    rows = [np.zeros((1 << bits) >> 3, np.uint8) for _ in range(ROWS)]
-    for r in slabs.toLocalIterator():
-        part = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["cells"]), np.uint8)
-        rows[r["row"]][r["slab"] * size:(r["slab"] + 1) * size] = part
-    return Repeats(df.sparkSession.sparkContext.broadcast(rows), bits)
+    found = [[np.zeros((1 << bits) >> 3, np.uint8) for _ in range(ROWS)] for _ in levels]
+    for r in slabs.collect():
+        part = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), np.uint8)
+        found[r["level"]][r["row"]][r["slab"] * size:(r["slab"] + 1) * size] = part
+    return Repeats(df.sparkSession.sparkContext.broadcast(found), bits)
