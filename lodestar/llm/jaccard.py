@@ -17,9 +17,10 @@ task holds more than two blocks however large a group of copies is.
 
 Defined results: a text without words, or null, has an empty set and is
 linked with nothing (component: itself); with fewer words than a shingle the
-whole sequence is one; null ids come after all others and show as null; rows
-with the same id and set are one node; an empty table gives an empty result;
-other columns are ignored.
+whole sequence is one; ids name documents: of rows with one id and different
+texts (null ids count as one id, the largest, and show as null) links are
+found for one, the smallest text; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -267,7 +268,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.concat_ws("/", "place.cls2", "place.part").alias("block"))
     texts = d.select(key.alias("_id"), "text").join(
         placed.select(F.col("node").alias("_id")), "_id", "left_semi") \
-        .groupBy("_id").agg(F.first("text").alias("text"))
+        .groupBy("_id").agg(F.min("text").alias("text"))
     found = (work.join(texts, F.col("node") == F.col("_id"))
              .select("node", "tie", "left", "right", "block", "text")
              .groupBy("tie", "left", "right").applyInArrow(_compare(shingle, percent), TIES))

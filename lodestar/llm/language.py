@@ -151,7 +151,7 @@ def fit(train: DataFrame, train_per_lang: int = TRAIN_PER_LANG) -> dict[str, np.
             sums.groupBy("lang").applyInArrow(_bundle, "lang string, vec binary").collect()}
 
 
-def _label(names: list[str], prototypes: np.ndarray):
+def _label(names: list[str], prototypes: np.ndarray, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = Profiles()
         for batch in batches:
@@ -166,22 +166,24 @@ def _label(names: list[str], prototypes: np.ndarray):
                     best, top, letters = np.zeros(len(p), int), np.zeros(len(p)), letters * 0
                 lang += [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), letters)]
                 score += np.where(letters > 0, top, 0.0).tolist()
-            rest = [batch.column(i) for i, f in enumerate(batch.schema.names) if f != "text"]
-            kept = [f for f in batch.schema.names if f != "text"]
+            kept = [f for f in batch.schema.names if with_text or f != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                [*(batch.column(f) for f in kept), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*kept, "lang_pred", "score"])
     return run
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *keep: Column | str) -> DataFrame:
-    """(*keep, lang_pred, score) per row of ``docs`` (text); ``text`` itself
-    is kept with the result by asking for it under another name."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *keep: Column | str,
+            with_text: bool = False) -> DataFrame:
+    """(*keep, lang_pred, score) per row of ``docs`` (text), and the text if
+    asked for."""
     names = sorted(prototypes)
     matrix = _unit(np.stack([prototypes[n] for n in names])) if names else np.zeros((0, DIMS))
     d = docs.select(*keep, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
-    return d.mapInArrow(_label(names, matrix), f"{fields}, lang_pred string, score double")
+    shown = d.schema.fields if with_text else d.schema.fields[:-1]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown)
+    return d.mapInArrow(_label(names, matrix, with_text),
+                        f"{fields}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, train_per_lang: int = TRAIN_PER_LANG) -> DataFrame:

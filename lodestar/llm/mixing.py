@@ -65,9 +65,9 @@ def source_targets(sizes: DataFrame, share: float = TARGET_SHARE,
          .withColumn("weight_left", F.sum("weight").over(everything)
                      - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
          .withColumn("level", (F.col("budget") - F.col("full_before")) / F.col("weight_left")))
-    # the level is right at the first source that does not reach its bound
-    s = s.withColumn("final", F.min(F.when(F.col("level") <= F.col("full_at"),
-                                           F.col("level"))).over(everything))
+    # the level is right at the first source that does not pass its bound
+    s = s.withColumn("final", F.min(F.when(F.col("level") <= F.col("full_at"), F.struct(
+        "full_at", "level"))).over(everything)["level"])
     target = F.least(F.col("bound"), F.coalesce(F.col("final"), F.lit(float("inf")))
                      * F.col("weight"))
     return s.select("source", "source_size", target.alias("target"))

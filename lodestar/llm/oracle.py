@@ -26,7 +26,7 @@ cand AS (  -- level if exactly the sources with bound/weight below this one's ar
   FROM w a),
 t AS (SELECT source, source_size,
         least(source_size * 2.0::DOUBLE,
-              (SELECT min(level) FROM cand WHERE level <= full_at) * weight) AS target
+              (SELECT arg_min(level, full_at) FROM cand WHERE level <= full_at) * weight) AS target
       FROM w),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 r AS (SELECT *, greatest(0, floor(target - epochs * source_size))::BIGINT AS rest FROM e),
