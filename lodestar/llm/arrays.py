@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = (1 << 20) - 1
+CHUNK_ROWS = 2048
 U = np.uint64
 
 
@@ -22,21 +23,18 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES
     ``ends`` has the end of each row in the bytes; nulls are empty. A longer
     text is a run of its own, never cut.
     """
-    col = batch.column(column)
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    col = col.cast(pa.large_binary()).fill_null(b"")
-    n = len(col)
-    if n == 0:
-        return
-    offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset: col.offset + n + 1]
-    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
-    lo = 0
-    while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + most, "right")) - 1)
-        hi = min(hi, n)
-        yield slice(lo, hi), data[offs[lo]:offs[hi]], offs[lo + 1:hi + 1] - offs[lo]
-        lo = hi
+    whole = batch.column(column)
+    for at in range(0, len(whole), CHUNK_ROWS):
+        col = whole.slice(at, CHUNK_ROWS).cast(pa.large_binary()).fill_null(b"")
+        n = len(col)
+        offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset: col.offset + n + 1]
+        data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + most, "right")) - 1)
+            hi = min(hi, n)
+            yield slice(at + lo, at + hi), data[offs[lo]:offs[hi]], offs[lo + 1:hi + 1] - offs[lo]
+            lo = hi
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,8 +71,8 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(factor)
-    if have is None or len(have[0]) <= n:
-        size = 1 << max(16, int(n).bit_length())
+    if have is None or len(have[0]) < n:
+        size = 1 << max(16, int(n - 1).bit_length())
         both = []
         for f in (factor, pow(factor, -1, 1 << 64)):
             p = np.full(size, f, np.uint64)

@@ -54,7 +54,7 @@ def op1_substrings(spark, sf_dir):
 
 def op9_suffix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return suffix_dedup.remove_repeats(docs).drop("kept")
+    return suffix_dedup.remove_repeats(docs, with_text=False)
 
 
 def op4_jaccard(spark, sf_dir):

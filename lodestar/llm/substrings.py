@@ -70,11 +70,11 @@ def _items(window: int):
     return items
 
 
-def _planes(*columns: np.ndarray) -> bytes:
+def _planes(*columns: np.ndarray, level: int = 1) -> bytes:
     """Columns of equal length as compressed byte planes."""
     raw = b"".join(np.ascontiguousarray(
         c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
-    return len(columns[0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(raw)
+    return len(columns[0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=level).compress(raw)
 
 
 def _columns(blob: bytes, *kinds: str) -> list[np.ndarray]:
