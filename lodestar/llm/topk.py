@@ -177,6 +177,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = SC
     lists = checkpointed(tiles.mapInArrow(_tiles(k), LISTS))
     while n_shards > fan_in:
         n_shards = math.ceil(n_shards / fan_in)
-        lists = lists.groupBy("block", "dim", F.floor(F.col("shard") / fan_in).alias("shard")) \
-            .applyInArrow(_merge(k), LISTS)
+        lists = lists.withColumn("shard", F.floor(F.col("shard") / fan_in)) \
+            .groupBy("block", "dim", "shard").applyInArrow(_merge(k), LISTS)
     return lists.groupBy("block", "dim").applyInArrow(_finish(k), FOUND)
