@@ -22,7 +22,7 @@ from lodestar.operators.dimensions import OP, dim_merge_scd1, dim_new_members
 from lodestar.operators.facts import (FACT_FINANCE, FACT_HR, FACT_OPERATIONS,
                                       PARTITION_COL, fact_append_rows)
 from lodestar.operators.keys import max_key
-from lodestar.operators.scd2 import SCD2_COLUMNS, apply_scd2, scd2_input
+from lodestar.operators.scd2 import scd2_input, scd2_rows
 from lodestar.sources import schemas
 from lodestar.sources.store import Transaction, Warehouse
 
@@ -60,7 +60,6 @@ def _fact(tx, events, spec, staging, dim_names, months=None):
     dims = {d: _table(tx, d) for d in dim_names}
     rows = fact_append_rows(staging, _table(tx, spec.name), spec, dims,
                             start=_max_key(tx, spec.name, spec.key_col),
-                            dim_rows={d: tx.row_count(d) for d in dim_names},
                             months=months)
     m = tx.write(spec.name, rows, "append", partition_by=[PARTITION_COL], key_col=spec.key_col)
     events.append((spec.name, INCREMENTAL_INSERT, m["rows"]))
@@ -99,11 +98,10 @@ def run_scd2(tx: Transaction, as_of) -> dict:
     Versions opened in this run are counted while writing."""
     incoming = scd2_input(_table(tx, "dim_employee"), _table(tx, "fact_hr"))
     scd2 = _table(tx, SCD2_TABLE)
-    current, closed = apply_scd2(scd2, incoming, as_of)
     opened = F.count(F.when((F.col("iscurrent") == 1) &
                             (F.col("startdate") == as_of_literal(as_of)), 1)).alias("opened")
-    return tx.write_split(SCD2_TABLE, current.unionByName(closed).select(*SCD2_COLUMNS),
-                          "iscurrent", replace_value=1, keep_value=0, observe=[opened])
+    return tx.write_split(SCD2_TABLE, scd2_rows(scd2, incoming, as_of), "iscurrent",
+                          replace_value=1, keep_value=0, observe=[opened])
 
 
 # Optional audit operation types for SCD writes.
@@ -149,6 +147,20 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
     by default only the inserts are audited, as in the reference.
     """
     tx = wh.transaction()
+    try:
+        flat = _run(tx, raw, domains, missing, as_of, scd2, stamp, parallel, audit_scd)
+        if commit:
+            tx.commit()
+        else:
+            tx.abandon()
+    except BaseException:
+        tx.abandon()
+        raise
+    return flat
+
+
+def _run(tx: Transaction, raw: dict, domains, missing, as_of, scd2, stamp, parallel,
+         audit_scd) -> list:
     order = [d for d in DOMAIN_ORDER if d in domains]
     events: dict = {}
 
@@ -180,8 +192,6 @@ def run_domains(wh: Warehouse, raw: dict, domains=DOMAIN_ORDER, missing: str = "
     if audit_scd:
         flat += _scd_events(tx)
     _audit(tx, flat, stamp)
-    if commit:
-        tx.commit()
     return flat
 
 

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when the DataFrame that holds them does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,8 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` / the context's
-    checkpoint dir). Only when nothing is configured - local runs and
-    tests - a fresh local folder is created and set.
+    checkpoint dir). Only when nothing is configured and the master is local,
+    as in tests, a fresh local folder is created and set; on a cluster that
+    is an error, since executors would not share the folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -1,30 +1,89 @@
-"""Raw extract scans with explicit schemas.
+"""Raw extract scans, bound by column name.
 
 The reference reads one Excel workbook per domain with inferred types; here
-extracts land as splittable files (CSV, JSON lines or Parquet) and are read
-with the raw schema, so no inference pass runs and dirty cells stay text.
+extracts land as splittable files (CSV, JSON lines or Parquet). Columns are
+found under their header's names, in any order; columns beyond the raw schema
+are kept as text, since they count in the full-row dedup (P8). Cells that say
+"missing" are missing before any rule runs. Ids and salaries must be numbers:
+anything else raises instead of disappearing (D5).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lodestar.functions import lenient_number, strip
 from lodestar.sources.schemas import RAW
 
 FORMATS = ("csv", "json", "parquet")
 
+# The cell texts that spreadsheet readers take as missing.
+MISSING_MARKERS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+                   "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+                   "nan", "null"]
 
-def read_extract(spark: SparkSession, path: str, domain: str, fmt: str = "csv",
-                 **options) -> DataFrame:
-    """Read a raw extract for ``domain`` (hr, finance, operations)."""
+
+def _strict(text: Column, name: str, whole: bool) -> Column:
+    """A number from text; blank is missing, anything else that is no finite
+    number raises. Whole numbers are cut towards zero."""
+    text = F.when(strip(text) != "", strip(text))
+    value = lenient_number(text)
+    checked = F.when(text.isNotNull() & value.isNull(), F.raise_error(
+        F.concat(F.lit(f"{name} is not a number: "), text)).cast("double")).otherwise(value)
+    if not whole:
+        return checked
+    # plain digits do not go through double, which would round large ids
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.try_cast("bigint")) \
+        .otherwise(checked.cast("bigint"))
+
+
+def bind(df: DataFrame, domain: str) -> DataFrame:
+    """``df`` under the raw schema of ``domain``, by name, extra columns after."""
+    wanted = RAW[domain]
+    lacking = [f.name for f in wanted if f.name not in df.columns]
+    if lacking:
+        raise ValueError(f"{domain} extract lacks {', '.join(lacking)}")
+    out = []
+    for f in [*wanted, *(x for x in df.schema if x.name not in wanted.fieldNames())]:
+        c, have = F.col(f"`{f.name}`"), df.schema[f.name].dataType
+        if isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+            c, have = F.to_json(c), T.StringType()
+        if isinstance(have, T.StringType):
+            c = F.when(~c.isin(MISSING_MARKERS), c)
+        elif isinstance(have, (T.FloatType, T.DoubleType)):
+            c = F.when(~F.isnan(c), c)
+        kind = wanted[f.name].dataType if f.name in wanted.fieldNames() else T.StringType()
+        if isinstance(kind, (T.LongType, T.DoubleType)) and isinstance(have, T.StringType):
+            c = _strict(c, f.name, isinstance(kind, T.LongType))
+        out.append(c.cast(kind).alias(f.name))
+    return df.select(out)
+
+
+def _options(reader, fmt: str, options: dict):
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
-    reader = spark.read.schema(RAW[domain])
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("mode", "PERMISSIVE")
-    for k, v in options.items():
+    # headers are checked against each other, file by file; quoted cells keep
+    # their spaces; JSON numbers stay as they were written
+    preset = {"csv": {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"},
+              "json": {"primitivesAsString": "true"}, "parquet": {}}[fmt]
+    for k, v in (preset | options).items():
         reader = reader.option(k, v)
-    return reader.format(fmt).load(path)
+    return reader.format(fmt)
+
+
+def read_extract(spark: SparkSession, path: str, domain: str, fmt: str = "csv",
+                 **options) -> DataFrame:
+    """Read a raw extract for ``domain`` (hr, finance, operations)."""
+    return bind(_options(spark.read, fmt, options).load(path), domain)
+
+
+def stream_extract(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """The files of a landing folder as a stream under their own columns; each
+    micro-batch is then bound like a batch read."""
+    landed = _options(spark.read, fmt, options).load(path).schema
+    return _options(spark.readStream, fmt, options).schema(landed).load(path)
 
 
 def write_extract(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:

@@ -2,14 +2,14 @@
 from query) and S6 (snapshot replace) without an in-place UPDATE.
 
 Every write goes to a new directory (a *segment*) and is invisible until the
-run commits: ``commit`` writes one small manifest version that names the
-segments of every table. Readers resolve the newest manifest. A failed run
-leaves only unreferenced segments; a plan never overwrites a path it reads.
-Facts append one segment per load (partitioned by month); snapshot tables
-(dimensions after SCD1, staging) are replaced by a new segment.
-
-Only Spark reads and writes touch storage, so the root may be any Hadoop
-file system path the cluster shares.
+run commits: ``commit`` puts one small manifest file in place, atomically,
+that names the segments of every table. Of two writers of one version one
+fails. Readers list the versions and read the newest manifest. A run that
+fails or is given up removes its segments; a plan never overwrites a path it
+reads. Facts append one segment per load (partitioned by month); snapshot
+tables (dimensions after SCD1, staging) are replaced by a new segment.
+
+The root may be any Hadoop file system path the cluster shares.
 """
 
 from __future__ import annotations
@@ -19,14 +19,19 @@ import json
 import threading
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.sources import files
+
 MANIFEST = "_manifest"
 
 
+def _manifest(root: str, version: int) -> str:
+    return f"{root}/{MANIFEST}/{version:010d}.json"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, version: int | None = None,
                  new: bool = False):
@@ -39,20 +44,18 @@ class Warehouse:
 
     # -- manifest -----------------------------------------------------------
     def _load_manifest(self, version: int | None = None):
-        try:
-            versions = self.spark.read.text(f"{self.root}/{MANIFEST}")
-            latest = (versions.agg(F.max("v").alias("v")).collect()[0]["v"]
-                      if version is None else version)
-        except AnalysisException:
-            if version:
-                raise
-            return 0, {}
-        if latest is None:
-            return 0, {}
-        rows = versions.where(F.col("v") == latest).collect()
-        if not rows:
-            raise KeyError(f"warehouse {self.root} has no version {latest}")
-        return int(latest), json.loads(rows[0]["value"])["tables"]
+        known = [int(n[:-5]) for n in files.names(self.spark, f"{self.root}/{MANIFEST}")
+                 if n[:-5].isdigit() and n.endswith(".json")]
+        if version is None:
+            if not known:
+                return 0, {}
+            version = max(known)
+        elif version not in known:
+            if not version:
+                return 0, {}
+            raise KeyError(f"warehouse {self.root} has no version {version}")
+        text = self.spark.read.text(_manifest(self.root, version), wholetext=True).first()[0]
+        return version, json.loads(text)["tables"]
 
     def refresh(self) -> "Warehouse":
         self.version, self.tables = self._load_manifest()
@@ -92,10 +95,9 @@ def _read(spark, root, tables, name, schema=None) -> DataFrame:
     stored = T.StructType.fromJson(json.loads(entry["schema"]))
     if not entry["segments"]:
         return spark.createDataFrame([], stored)
-    df = (spark.read.option("basePath", f"{root}/{name}")
+    df = (spark.read.schema(stored).option("basePath", f"{root}/{name}")
           .parquet(*entry["segments"]))
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields]
-    return df.select(cols)
+    return df.select(stored.fieldNames())
 
 
 class Transaction:
@@ -107,6 +109,7 @@ class Transaction:
         self.spark = wh.spark
         self.tables = copy.deepcopy(wh.tables)
         self.metrics: dict = {}
+        self._written: list = []
         # Independent loads may write different tables from several threads;
         # the bookkeeping below is guarded, the Spark writes run concurrently.
         self._lock = threading.Lock()
@@ -134,6 +137,7 @@ class Transaction:
         columns removed after observing.
         """
         path = self._segment(name)
+        self._written.append(path)
         obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
         exprs = [F.count(F.lit(1)).alias("rows")] + list(observe or [])
         if key_col:
@@ -147,6 +151,8 @@ class Transaction:
         writer.parquet(path)
         metrics = {k: (v if v is not None else 0) for k, v in obs.get.items()}
         schema = out.schema
+        if not metrics["rows"]:
+            files.remove(self.spark, path)
         with self._lock:
             return self._record(name, path, mode, partition_by, key_col, metrics, schema)
 
@@ -178,6 +184,7 @@ class Transaction:
         part replaces the table's previous one, the ``keep_value`` part is
         appended to the earlier ones (SCD2: current vs history)."""
         path = self._segment(name)
+        self._written.append(path)
         obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
         sc = F.col(split_col)
         exprs = [F.count(F.lit(1)).alias("rows"),
@@ -208,7 +215,14 @@ class Transaction:
     def commit(self) -> int:
         version = self.wh.version + 1
         text = json.dumps({"version": version, "tables": self.tables}, sort_keys=True)
-        (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
-         .write.mode("errorifexists").text(f"{self.wh.root}/{MANIFEST}/v={version}"))
+        if not files.publish(self.spark, _manifest(self.wh.root, version), text):
+            self.abandon()
+            raise RuntimeError(f"version {version} of {self.wh.root} was committed by another run")
         self.wh.version, self.wh.tables = version, copy.deepcopy(self.tables)
         return version
+
+    def abandon(self) -> None:
+        """Remove what this transaction wrote."""
+        for path in self._written:
+            files.remove(self.spark, path)
+        self._written = []

@@ -3,9 +3,11 @@
 The reference's "incremental" load means: run the batch load again and insert
 only what is absent. With Structured Streaming a file source tracks which
 extract files were already consumed (in the query's checkpoint), and
-``foreachBatch`` runs the ordinary domain loads on the new files only. With
-``Trigger.AvailableNow`` the query processes everything that has landed and
-stops, so it can be scheduled like a batch job.
+``foreachBatch`` runs the ordinary domain load on all new files together:
+what has landed since the last run is one load, however many files it came
+in, because dedup, median fill and the rule for equal load keys look at the
+whole load. ``Trigger.Once`` semantics come from the file source itself: no
+rate limit is set, so ``availableNow`` makes one micro-batch.
 
 A retried micro-batch is safe for dimensions and facts: every load is
 insert-if-absent on its natural or load key.
@@ -13,36 +15,34 @@ insert-if-absent on its natural or load key.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.plans.loads import run_domains
-from lodestar.sources.schemas import RAW
+from lodestar.sources.extracts import bind, stream_extract
 from lodestar.sources.store import Warehouse
 
 
-def extract_stream(spark: SparkSession, landing_dir: str, domain: str, fmt: str = "parquet",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RAW[domain]).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(landing_dir)
-
-
 def load_new_extracts(spark: SparkSession, landing_dir: str, domain: str, warehouse_root: str,
-                      checkpoint_location: str, fmt: str = "parquet",
-                      max_files_per_trigger: int | None = None, missing: str = "null") -> list:
-    """Load every extract file of ``domain`` that landed since the last run;
-    one warehouse commit per micro-batch. Returns the audit events."""
+                      checkpoint_location: str, fmt: str = "parquet", missing: str = "null",
+                      as_of=None, stamp=None) -> list:
+    """Load every extract file of ``domain`` that landed since the last run as
+    one load and one warehouse commit; HR runs SCD2 at its end (``as_of``).
+    Returns the audit events; none if nothing has landed."""
     events: list = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         wh = Warehouse(spark, warehouse_root)
-        events.extend(run_domains(wh, {domain: batch}, (domain,), missing=missing))
-
-    query = (extract_stream(spark, landing_dir, domain, fmt, max_files_per_trigger)
-             .writeStream.foreachBatch(per_batch)
+        events.extend(run_domains(wh, {domain: bind(batch, domain)}, (domain,), missing=missing,
+                                  scd2=domain == "hr", as_of=as_of, stamp=stamp))
+
+    try:
+        stream = stream_extract(spark, landing_dir, fmt)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return events
+        raise
+    query = (stream.writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True)
              .start())

@@ -57,3 +57,62 @@ def test_command_line_load_and_reports(spark, tmp_root, capsys):
                 ["scd2-report", "--warehouse", wh]):
         assert main(["--limit", "3"] + cmd) == 0
     assert Warehouse(spark, wh).read("dim_employee").count() == 138
+
+
+def test_csv_binds_by_name_and_keeps_extra_columns(spark, tmp_root):
+    path = os.path.join(tmp_root, "x")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.write("ExpenseType,ReceiptNo,EmployeeID,ExpenseDate,ApprovedBy,ExpenseAmount\n"
+                "TRAVEL,r1,12.0,2023-01-05,3,5\n"
+                "TRAVEL,r2,12.0,2023-01-05,3,5\n"       # differs in a column not loaded
+                "TRAVEL,r2,12.0,2023-01-05,3,5\n"
+                "N/A,r3,7,2023-01-05,3,5\n"             # missing marker: required, dropped
+                "FOOD,r4,,2023-01-05,3,5\n")            # blank id: dropped, not an error
+    raw = read_extract(spark, path, "finance", "csv")
+    st = clean_domain(raw, "finance")
+    assert "ReceiptNo" in raw.columns and "ReceiptNo" not in st.columns
+    assert [(r.EmployeeID, r.ExpenseType) for r in st.collect()] == [(12, "TRAVEL")] * 2
+
+
+def test_ids_and_salaries_must_be_numbers(spark, tmp_root):
+    for i, (emp, salary, ok) in enumerate([("abc", "1", False), ("1", "much", False),
+                                           ("9007199254740993", "", True)]):
+        path = os.path.join(tmp_root, str(i))
+        os.makedirs(path)
+        with open(os.path.join(path, "a.csv"), "w") as f:
+            f.write("EmployeeID,Name,Gender,ManagerID,Department,Salary,Status,DateOfJoining\n"
+                    f"{emp},n,F,1,D,{salary},Active,2023-01-05\n")
+        df = read_extract(spark, path, "hr", "csv")
+        if ok:
+            assert df.first().EmployeeID == int(emp) and df.first().Salary is None
+        else:
+            with pytest.raises(Exception, match="is not a number"):
+                df.collect()
+    with pytest.raises(ValueError, match="lacks"):
+        read_extract(spark, path, "finance", "csv")
+
+
+def test_two_landed_files_are_one_load(spark, tmp_root):
+    raw = raw_extracts(spark, SF_SMALL)
+    schema = "EmployeeID long, ExpenseType string, ExpenseAmount string, ApprovedBy string, " \
+             "ExpenseDate string"
+    who = clean_domain(raw["hr"], "hr").first().EmployeeID
+    rows = [(who, "TRAVEL", "10", "1", "2023-01-05"), (who, "TRAVEL", "20", "1", "2023-01-05")]
+    got = []
+    for files in (1, 2):
+        root, land = (os.path.join(tmp_root, f"{x}{files}") for x in ("wh", "land"))
+        run_domains(Warehouse(spark, root, new=True), {"hr": raw["hr"]}, ("hr",))
+        for i in range(files):
+            part = rows if files == 1 else rows[i:i + 1]
+            write_extract(spark.createDataFrame(part, schema).coalesce(1),
+                          os.path.join(land, f"b{i}"), "parquet")
+        load_new_extracts(spark, os.path.join(land, "*"), "finance", root,
+                          os.path.join(tmp_root, f"ckpt{files}"))
+        got.append(sorted(r.expenseamount for r in Warehouse(spark, root).read("fact_finance").collect()))
+    assert got == [[10.0, 20.0]] * 2
+
+
+def test_stream_of_an_empty_folder_loads_nothing(spark, tmp_root):
+    assert load_new_extracts(spark, os.path.join(tmp_root, "none"), "hr",
+                             os.path.join(tmp_root, "wh"), os.path.join(tmp_root, "c")) == []

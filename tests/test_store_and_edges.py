@@ -1,15 +1,12 @@
 """Store concurrency, fact pruning edges and the date dimension."""
 
-import contextlib
 import datetime as dt
-import io
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators.dimensions import date_dimension
 from lodestar.operators.facts import FACT_FINANCE, fact_new_rows
-from lodestar.operators.joins import checked_broadcast
 from lodestar.sources.store import Warehouse
 
 CAND = "employeeid long, expensetypeid long, expenseamount double, approvedby int, datekey int"
@@ -49,16 +46,50 @@ def test_date_dimension(spark):
         (dt.date(2024, 1, 1), 2024, 1, 1, 1, 1, "2024-01")
 
 
-def test_checked_broadcast_hint_only_under_bound(spark):
-    df = spark.range(10)
-    hinted = checked_broadcast(df, max_rows=100)
-    plain = checked_broadcast(df, max_rows=5)
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    def plan(x):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            big.join(x.withColumnRenamed("id", "k"), "k").explain(True)
-        return buf.getvalue().lower()
-    assert "strategy=broadcast" in plan(hinted)
-    assert "strategy=broadcast" not in plan(plain)
-    assert checked_broadcast(df, max_rows=5, rows=3) is not df   # known count, no job
+def test_concurrent_commits_have_one_winner(spark, tmp_root):
+    import threading
+    df = spark.createDataFrame([(1, "A")], "departmentid long, department string")
+    for n in range(8):
+        root, barrier, won, lost = f"{tmp_root}/{n}", threading.Barrier(2), [], []
+        txs = [Warehouse(spark, root, new=True).transaction() for _ in range(2)]
+        for tx in txs:
+            tx.write("dim_department", df)
+
+        def commit(tx):
+            barrier.wait()
+            try:
+                won.append(tx.commit())
+            except RuntimeError:
+                lost.append(tx)
+
+        threads = [threading.Thread(target=commit, args=(tx,)) for tx in txs]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        assert won == [1] and len(lost) == 1
+        assert Warehouse(spark, root).read("dim_department").count() == 1
+        # the loser's segment is gone, one manifest stands
+        from lodestar.sources import files
+        assert len(files.names(spark, f"{root}/_manifest")) == 1
+        assert len([x for x in files.names(spark, f"{root}/dim_department")
+                    if x.startswith("seg=")]) == 1
+
+
+def test_cluster_without_checkpoint_folder_raises(monkeypatch):
+    from lodestar import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {"spark.checkpoint.dir": None}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
