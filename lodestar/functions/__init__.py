@@ -1,19 +1,17 @@
 """Column-level helpers: all built-in Spark expressions, no Python UDFs."""
 
-from lodestar.functions.text import (strip, upper_strip, title_case, title_strip,
-                                     text_cast, fill, value_map, not_blank)
-from lodestar.functions.numbers import (lenient_number, to_int, to_long, to_double,
-                                        percentage, exact_sum, exact_sum_double)
-from lodestar.functions.dates import (DATE_FORMATS, lenient_timestamp, date_key,
-                                      key_to_date, month_of, month_key, as_of_literal)
+from lodestar.functions.text import (strip, title_case, title_strip, text_cast,
+                                     value_map, not_blank)
+from lodestar.functions.numbers import lenient_number, percentage
+from lodestar.functions.dates import (DATE_FORMATS, lenient_timestamp, date_key, key_month,
+                                      key_to_date, month_of, month_key, month_text,
+                                      as_of_literal)
 from lodestar.functions.changes import (differs_3valued, differs_null_safe,
                                         change_text, join_changes)
 
 __all__ = [
-    "strip", "upper_strip", "title_case", "title_strip", "text_cast", "fill",
-    "value_map", "not_blank", "lenient_number", "to_int", "to_long", "to_double",
-    "percentage", "exact_sum", "exact_sum_double", "DATE_FORMATS",
-    "lenient_timestamp", "date_key", "key_to_date", "month_of", "month_key",
-    "as_of_literal", "differs_3valued", "differs_null_safe", "change_text",
-    "join_changes",
+    "strip", "title_case", "title_strip", "text_cast", "value_map", "not_blank",
+    "lenient_number", "percentage", "DATE_FORMATS", "lenient_timestamp", "date_key",
+    "key_month", "key_to_date", "month_of", "month_key", "month_text", "as_of_literal",
+    "differs_3valued", "differs_null_safe", "change_text", "join_changes",
 ]

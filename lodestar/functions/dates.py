@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,36 +12,51 @@ from lodestar.functions.common import as_col
 from lodestar.functions.text import strip
 
 # The accepted date layouts, tried in this order. Month-first
-# wins over day-first for an ambiguous value such as 03/04/2023.
+# wins over day-first for an ambiguous value such as 03/04/2023. The time of
+# day, where there is one, is hours and minutes with optional seconds and
+# fraction. Two-digit years up to 68 are 20xx, the others 19xx.
 DATE_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
+    "yyyy-MM-dd HH:mm[:ss[.SSSSSSSSS]]",
+    "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]",
     "yyyy/MM/dd",
+    "yyyy.MM.dd",
     "M/d/yyyy",
     "d/M/yyyy",
+    "M/d/yyyy H:mm[:ss]",
+    "d/M/yyyy H:mm[:ss]",
+    "M/d/yy",
+    "d/M/yy",
+    "M/d/yy H:mm[:ss]",
+    "d/M/yy H:mm[:ss]",
+    "M-d-yyyy",
+    "d-M-yyyy",
     "d-MMM-yyyy",
+    "d-MMM-yy",
     "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "MMM d yyyy",
+    "MMMM d yyyy",
+    "d MMM yyyy",
     "d MMMM yyyy",
     "yyyyMMdd",
 )
 
 
-_D = r"[+-]?[0-9]+"
-_L = r"\p{L}+"
-# Loose shape of each layout: every text the layout can parse matches it, so
-# skipping the parse on a mismatch never changes a result. It spares the
-# parser a thrown-and-caught exception for each layout that cannot apply.
-LAYOUT_SHAPES = {
-    "yyyy-MM-dd HH:mm:ss": rf"^{_D}-{_D}-{_D} [0-9]+:[0-9]+:[0-9]+$",
-    "yyyy-MM-dd": rf"^{_D}-{_D}-{_D}$",
-    "yyyy/MM/dd": rf"^{_D}/{_D}/{_D}$",
-    "M/d/yyyy": rf"^{_D}/{_D}/{_D}$",
-    "d/M/yyyy": rf"^{_D}/{_D}/{_D}$",
-    "d-MMM-yyyy": rf"^{_D}-{_L}-{_D}$",
-    "MMM d, yyyy": rf"^{_L} {_D}, {_D}$",
-    "d MMMM yyyy": rf"^{_D} {_L} {_D}$",
-    "yyyyMMdd": rf"^{_D}$",
-}
+def _shape(layout: str) -> str:
+    """A loose pattern that every text of the layout matches: digits for
+    digits, letters for month names, the rest as it stands. Skipping a parse
+    on a mismatch never changes a result and spares the parser a thrown
+    exception for each layout that cannot apply."""
+    out = re.sub(r"[.]", r"\\.", layout.replace("'T'", "~"))
+    out = out.replace("[", "(").replace("]", ")?")
+    out = re.sub(r"MMMM?(?!M)", "@", out)
+    out = re.sub(r"[yMdHmsS]+", "[+-]?[0-9]+", out)
+    return "^" + out.replace("@", r"\p{L}+").replace("~", "T") + "$"
+
+
+LAYOUT_SHAPES = {f: _shape(f) for f in DATE_FORMATS}
 
 
 def lenient_timestamp(c, formats=DATE_FORMATS) -> Column:
@@ -49,8 +65,10 @@ def lenient_timestamp(c, formats=DATE_FORMATS) -> Column:
     tries = []
     for fmt in formats:
         parsed = F.try_to_timestamp(s, F.lit(fmt))
-        shape = LAYOUT_SHAPES.get(fmt)
-        tries.append(F.when(s.rlike(shape), parsed) if shape else parsed)
+        if "yy" in fmt and "yyyy" not in fmt:
+            parsed = F.when(F.year(parsed) > 2068,
+                            parsed - F.expr("interval '100' year")).otherwise(parsed)
+        tries.append(F.when(s.rlike(LAYOUT_SHAPES.get(fmt) or _shape(fmt)), parsed))
     return F.coalesce(*tries)
 
 
@@ -65,6 +83,24 @@ def key_to_date(k) -> Column:
         F.try_to_timestamp(as_col(k).cast("string"), F.lit("yyyyMMdd")))
 
 
+def key_month(k) -> Column:
+    """Integer yyyyMM of an integer yyyyMMdd key, NULL for an impossible date;
+    integer arithmetic only, so a scan pays no text parsing."""
+    k = as_col(k).cast("int")
+    year, month, day = (k / 10000).cast("int"), (k / 100).cast("int") % 100, k % 100
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    days = (F.when(month == 2, F.when(leap, 29).otherwise(28))
+            .when(month.isin(4, 6, 9, 11), 30).otherwise(31))
+    good = year.between(1000, 9999) & month.between(1, 12) & day.between(1, days)
+    return F.when(good, year * 100 + month)
+
+
+def month_text(m) -> Column:
+    """F11 for an integer yyyyMM: text yyyy-MM."""
+    t = as_col(m).cast("string")
+    return F.concat(F.substring(t, 1, 4), F.lit("-"), F.substring(t, 5, 2))
+
+
 def month_of(d) -> Column:
     """monthly period as text yyyy-MM."""
     return F.date_format(as_col(d), "yyyy-MM")

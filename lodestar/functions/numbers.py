@@ -1,4 +1,4 @@
-"""Numeric helpers."""
+"""Numeric helpers."""
 
 from __future__ import annotations
 
@@ -20,29 +20,6 @@ def lenient_number(c) -> Column:
     return F.when(F.abs(parsed) != F.lit(float("inf")), parsed)
 
 
-def to_int(c) -> Column:
-    """truncating integer cast that keeps NULL."""
-    return as_col(c).cast("int")
-
-
-def to_long(c) -> Column:
-    return as_col(c).cast("bigint")
-
-
-def to_double(c) -> Column:
-    """F16."""
-    return as_col(c).cast("double")
-
-
 def percentage(part, whole) -> Column:
     """part / whole * 100; NULL when whole is 0."""
     return F.try_divide(as_col(part).cast("double"), as_col(whole).cast("double")) * F.lit(100.0)
-
-
-def exact_sum(c, scale: int = 4) -> Column:
-    """Sum through decimal so totals do not depend on summation order."""
-    return F.sum(as_col(c).cast(f"decimal(18,{scale})"))
-
-
-def exact_sum_double(c, scale: int = 4) -> Column:
-    return exact_sum(c, scale).cast("double")

@@ -19,11 +19,6 @@ def strip(c) -> Column:
     return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
-def upper_strip(c) -> Column:
-    """F1 + F2."""
-    return F.upper(strip(c))
-
-
 def title_case(c) -> Column:
     """Python-style title case, not ``initcap``.
 
@@ -58,11 +53,6 @@ def text_cast(c, missing: str = "null") -> Column:
     return col
 
 
-def fill(c, value) -> Column:
-    """replace missing with a constant."""
-    return F.coalesce(as_col(c), F.lit(value))
-
-
 def value_map(c, mapping: dict) -> Column:
     """whole-value replacement; unmapped values pass through."""
     col = as_col(c)

@@ -48,18 +48,28 @@ def duplicate_keys(tables: dict, keys: dict | None = None) -> DataFrame:
 def orphans(tables: dict, fks=None) -> DataFrame:
     """Per foreign key: child rows whose non-NULL key has no parent.
 
-    Child keys are counted per distinct value first (map-side combined), so
-    the anti join shuffles distinct keys, not every fact row."""
-    fks = fks or FOREIGN_KEYS
-    parts = []
-    for child, col, parent, pcol in fks:
-        if child not in tables or parent not in tables:
-            continue
-        c = (tables[child].select(F.col(col).alias("k")).where(F.col("k").isNotNull())
-             .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
-        p = tables[parent].select(F.col(pcol).alias("k"))
-        n = c.join(p, "k", "left_anti").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
-        parts.append(n.select(F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
-                              F.lit(parent).alias("parent_table"), "orphan_rows"))
-    return reduce(DataFrame.unionByName, parts)
+    One scan of each child counts the values of all its foreign keys (combined
+    map-side), so distinct keys, not rows, are joined with the parents' keys,
+    in one join for all of them."""
+    fks = [f for f in (fks or FOREIGN_KEYS) if f[0] in tables and f[2] in tables]
+    spark = next(iter(tables.values())).sparkSession
+    counts = [spark.createDataFrame([(c, col, p) for c, col, p, _ in fks],
+                                    "table_name string, column_name string, parent_table string")
+              .select("*", F.lit(None).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("n"))]
+    for child in dict.fromkeys(f[0] for f in fks):
+        keys = F.array(*[F.struct(F.lit(col).alias("column_name"), F.lit(p).alias("parent_table"),
+                                  F.col(col).cast("bigint").alias("k"))
+                         for c, col, p, _ in fks if c == child])
+        counts.append(tables[child].select(F.inline(keys)).where(F.col("k").isNotNull())
+                      .groupBy("column_name", "parent_table", "k")
+                      .agg(F.count(F.lit(1)).alias("n"))
+                      .select(F.lit(child).alias("table_name"), "column_name", "parent_table",
+                              "k", "n"))
+    parents = reduce(DataFrame.unionByName, [
+        tables[p].select(F.lit(p).alias("_p"), F.col(pc).cast("bigint").alias("_k"))
+        for p, pc in dict.fromkeys((f[2], f[3]) for f in fks)]).distinct()
+    c = reduce(DataFrame.unionByName, counts)
+    j = c.join(parents, (F.col("parent_table") == F.col("_p")) & (F.col("k") == F.col("_k")), "left")
+    return j.groupBy("table_name", "column_name", "parent_table").agg(
+        F.sum(F.when(F.col("_k").isNull(), F.col("n")).otherwise(0)).cast("bigint")
+        .alias("orphan_rows"))

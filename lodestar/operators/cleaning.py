@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import (lenient_number, lenient_timestamp, not_blank, strip,
                                 text_cast, title_case, value_map)
+from lodestar.sources.schemas import RAW
 from lodestar.operators.stats import approx_median, exact_median
 
 
@@ -84,12 +85,13 @@ def clean_before_dedup(raw: DataFrame, spec: CleanSpec, missing: str = "null",
     for c in spec.fill_median:
         m = fills.get(c)
         base = F.col(c).cast("double")
+        base = F.when(~F.isnan(base), base)
         exprs[c] = base if m is None else F.coalesce(base, F.lit(float(m)))
     for c in spec.lenient_numbers:
         exprs[c] = lenient_number(c)
     for c, mapping in spec.value_maps.items():
         exprs[c] = value_map(exprs.get(c, F.col(c)), mapping)
-    df = raw.select([exprs.get(c, F.col(c)).alias(c) for c in raw.columns])
+    df = raw.select([exprs.get(c, F.col(f"`{c}`")).alias(c) for c in raw.columns])
     # A missing value passes the blank test here (as in pandas) and is then
     # removed by the required-column drop when the column is required.
     for c in spec.nonblank:
@@ -101,11 +103,11 @@ def clean_before_dedup(raw: DataFrame, spec: CleanSpec, missing: str = "null",
     return df
 
 
-def narrow(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """Step 8: cast to the staging types; timestamps become dates here,
-    after the dedup (D3)."""
+def narrow(df: DataFrame, columns, spec: CleanSpec) -> DataFrame:
+    """Step 8: the staging columns in their types; timestamps become dates
+    and columns that are never loaded go here, after the dedup (D3, P8)."""
     out = []
-    for c in df.columns:
+    for c in columns:
         t = spec.narrow.get(c)
         if t == "date":
             out.append(F.to_date(F.col(c)).alias(c))
@@ -117,14 +119,14 @@ def narrow(df: DataFrame, spec: CleanSpec) -> DataFrame:
 
 
 def clean(raw: DataFrame, spec: CleanSpec, missing: str = "null",
-          fill_values: dict | None = None) -> DataFrame:
-    """Raw extract -> staging rows (W1). Dedup is a distinct aggregate with a
+          fill_values: dict | None = None, columns=None) -> DataFrame:
+    """Raw extract -> staging rows (W1); ``columns`` are those to be loaded. Dedup is a distinct aggregate with a
     map-side partial step, so a large group of copies collapses before the
     shuffle."""
     df = clean_before_dedup(raw, spec, missing, fill_values).dropDuplicates()
-    return narrow(df, spec)
+    return narrow(df, columns or raw.columns, spec)
 
 
 def clean_domain(raw: DataFrame, domain: str, missing: str = "null",
                  fill_values: dict | None = None) -> DataFrame:
-    return clean(raw, SPECS[domain], missing, fill_values)
+    return clean(raw, SPECS[domain], missing, fill_values, RAW[domain].fieldNames())

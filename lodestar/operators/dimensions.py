@@ -30,13 +30,6 @@ def dim_new_members(dim: DataFrame, staging: DataFrame, source_col: str, nk: str
     return assign_surrogate_keys(new, key_col, [nk], start=start).select(key_col, nk)
 
 
-def dim_with_new_members(dim: DataFrame, staging: DataFrame, source_col: str, nk: str,
-                         key_col: str) -> DataFrame:
-    """The whole dimension after W3."""
-    return dim.select(key_col, nk).unionByName(
-        dim_new_members(dim, staging, source_col, nk, key_col))
-
-
 # How one winner is chosen among several staging rows of one
 # employee (latest joining date, then name, gender, manager ascending).
 EMPLOYEE_SOURCE = {"employeeid": "EmployeeID", "name": "Name", "gender": "Gender",

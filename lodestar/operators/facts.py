@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions import date_key, month_key
-from lodestar.operators.joins import checked_broadcast
 from lodestar.operators.keys import assign_surrogate_keys, max_key
 
 PARTITION_COL = "datemonth"
@@ -95,21 +94,16 @@ FACT_OPERATIONS = FactSpec(
 FACTS = {s.name: s for s in (FACT_HR, FACT_FINANCE, FACT_OPERATIONS)}
 
 
-def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict,
-                    dim_rows: dict | None = None) -> DataFrame:
-    """Staging rows resolved to fact columns (before the anti join). A
-    lookup or existence dimension is broadcast only under a checked row count
-    (above it the join is a shuffle join and AQE splits hot partitions)."""
+def fact_candidates(staging: DataFrame, spec: FactSpec, dims: dict) -> DataFrame:
+    """Staging rows resolved to fact columns (before the anti join). Whether a
+    dimension is broadcast is left to Spark's byte threshold and to AQE, which
+    also splits a hot key's partition in a shuffle join."""
     df = staging
-    dim_rows = dim_rows or {}
     for lk in spec.lookups:
         dim = dims[lk.table].select(F.col(lk.nk).alias("_nk"), F.col(lk.key))
-        dim = checked_broadcast(dim, rows=dim_rows.get(lk.table))
         df = df.join(dim, df[lk.source_col] == dim["_nk"], "inner").drop("_nk")
     for ex in spec.exists:
-        # only the key column; broadcast under the same checked row bound
         dim = dims[ex.table].select(F.col(ex.dim_col).alias("_ek"))
-        dim = checked_broadcast(dim, rows=dim_rows.get(ex.table))
         df = df.join(dim, df[ex.source_col] == dim["_ek"], "left_semi")
     out = [F.col(src).alias(dst) for dst, src in spec.columns.items()]
     out.append(date_key(F.col(spec.date_col)).alias("datekey"))
@@ -135,11 +129,10 @@ def fact_new_rows(candidates: DataFrame, existing: DataFrame, spec: FactSpec,
 
 
 def fact_append_rows(staging: DataFrame, existing: DataFrame, spec: FactSpec, dims: dict,
-                     start: int | None = None, dim_rows: dict | None = None,
-                     months: list | None = None) -> DataFrame:
+                     start: int | None = None, months: list | None = None) -> DataFrame:
     """The keyed rows one load appends to the fact, with the month partition
     column. Keys follow ``spec.key_order``."""
-    cand = fact_candidates(staging, spec, dims, dim_rows)
+    cand = fact_candidates(staging, spec, dims)
     new = fact_new_rows(cand, existing, spec, months)
     if start is None:
         start = max_key(existing, spec.key_col)

@@ -1,24 +1,12 @@
-"""Join helpers: size-checked broadcast and skew-safe 'one row per key'."""
+"""Skew-safe 'one row per key'."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a row count shows it is this small;
-# otherwise the join stays a shuffle join (and AQE may still broadcast it at
-# runtime from measured sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      rows: int | None = None) -> DataFrame:
-    """Broadcast hint only under a row count: ``rows`` when the caller knows
-    it (the warehouse manifest records it at write time), else counted."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _rank_field(c: str, descending: bool, dtype: str) -> list[Column]:
     """Fields whose ascending struct order equals the requested order with
     NULLs last."""
@@ -38,64 +26,45 @@ def _rank_field(c: str, descending: bool, dtype: str) -> list[Column]:
 def first_per_key(df: DataFrame, keys, order, payload) -> DataFrame:
     """One row per key: the first under ``order`` [(column, descending)].
 
-    Same answer as ``row_number() OVER (PARTITION BY keys ORDER BY ...) = 1``
-    but planned as min(struct) aggregation, which combines map-side: a key
-    holding a third of all rows is reduced before the shuffle instead of being
-    sorted inside one task. Payload columns take part in the order last, so
-    ties resolve to the smallest payload and the result is reproducible.
+    Same answer as ``row_number() OVER (PARTITION BY keys ORDER BY ...) = 1``.
+    The first order column (a number or a date) is reduced alone by a hash
+    aggregate that combines map-side; only the rows that carry a key's best
+    value go on to the min(struct) that settles ties, so text is neither
+    sorted nor kept for the other rows. Payload columns take part in the order
+    last, so ties resolve to the smallest payload.
     """
     types = dict(df.dtypes)
+    head, desc = order[0]
+    best = df.groupBy(*keys).agg((F.max if desc else F.min)(head).alias("_head"))
+    on = None
+    for k in keys:
+        best = best.withColumnRenamed(k, f"_k_{k}")
+        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        on = c if on is None else on & c
+    left = df.join(best, on & F.col(head).eqNullSafe(F.col("_head")), "left_semi")
     fields = []
-    for i, (c, desc) in enumerate(order):
-        for j, f in enumerate(_rank_field(c, desc, types[c])):
+    for i, (c, d) in enumerate(order):
+        for j, f in enumerate(_rank_field(c, d, types[c])):
             fields.append(f.alias(f"o{i}_{j}"))
     payload = [p for p in payload if p not in keys]
     for i, p in enumerate(payload):
         fields.append(F.col(p).isNull().alias(f"pn{i}"))
         fields.append(F.col(p).alias(f"p{i}"))
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.p{i}").alias(p) for i, p in enumerate(payload)])
-
-
-def last_per_key(df: DataFrame, keys, order_cols, value_cols) -> DataFrame:
-    """One row per key: the one with the highest ``order_cols`` (map-side
-    combinable max(struct))."""
-    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]
-    fields += [F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.v{i}").alias(c) for i, c in enumerate(value_cols)])
-
-
-# Rows per key above which a key is joined apart from the others. Read from
-# the session (``spark.lodestar.hotKeyRows``) so a cluster can size it to its
-# partitions.
-HOT_KEY_ROWS = 1_000_000
-
-
-def hot_key_rows(spark) -> int:
-    return int(spark.conf.get("spark.lodestar.hotKeyRows", str(HOT_KEY_ROWS)))
-
-
-def split_hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                   threshold: int | None = None, max_hot: int | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys split off.
-
-    ``small`` must be unique on ``key`` (a dimension). Keys holding more than
-    ``threshold`` rows of ``big`` are found with a map-side-combined count; at
-    most ``max_hot`` of them (the largest; default two per shuffle partition)
-    are joined against a broadcast of just their dimension rows - a proven
-    bound - so their rows never pile onto one join task. Every other row takes
-    the ordinary shuffle join (where AQE may still split). The union is the
-    complete join result.
-    """
-    from lodestar.session import shuffle_partitions
-    spark = big.sparkSession
-    threshold = hot_key_rows(spark) if threshold is None else threshold
-    max_hot = max_hot or 2 * shuffle_partitions(spark)
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(counts.where(F.col("_n") > threshold)
-                      .orderBy(F.col("_n").desc()).limit(max_hot).select(key))
-    cold_rows = big.join(hot, key, "left_anti").join(small, key, how)
-    hot_rows = big.join(hot, key, "left_semi").join(
-        F.broadcast(small.join(hot, key, "left_semi")), key, how)
-    return cold_rows.unionByName(hot_rows)
+    one = left.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
+    return one.select(*keys, *[F.col(f"_best.p{i}").alias(p) for i, p in enumerate(payload)])
+
+
+def last_per_key(df: DataFrame, key: str, order_cols, value_cols) -> DataFrame:
+    """One row per key: the one with the highest ``order_cols``, two
+    non-negative integers of which the second is unique. They are compared as
+    one decimal, a fixed-width value that a hash aggregate keeps, and the
+    values are fetched for the winning rows only."""
+    major, minor = order_cols
+    scale = F.lit(Decimal(10 ** 19)).cast("decimal(20,0)")
+    packed = (F.coalesce(F.col(major), F.lit(0)).cast("decimal(17,0)") * scale
+              + F.col(minor).cast("decimal(19,0)")).cast("decimal(38,0)")
+    best = (df.where(F.col(key).isNotNull()).select(key, packed.alias("_p"))
+            .groupBy(key).agg(F.max("_p").alias("_p"))
+            .select((F.col("_p") % scale).cast("bigint").alias("_minor")))
+    return (df.join(best, F.col(minor) == F.col("_minor"), "left_semi")
+            .select(key, *value_cols))

@@ -26,39 +26,18 @@ def max_key(df: DataFrame, key_col: str) -> int:
     return int(row["m"] or 0)
 
 
-# Batches up to this many rows are numbered in one task (a checked bound);
-# larger ones take the distributed path. Both give the same keys. A session
-# may set ``spark.lodestar.smallBatchRows``.
-SMALL_BATCH_ROWS = 200_000
-
-
-def small_batch_rows(spark) -> int:
-    return int(spark.conf.get("spark.lodestar.smallBatchRows", str(SMALL_BATCH_ROWS)))
-
-
 def assign_surrogate_keys(df: DataFrame, key_col: str, order_by, start: int = 0,
-                          num_partitions: int | None = None,
-                          small_rows: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start + global 1-based rank by ``order_by``
     (ascending, NULLs last). Rows equal in every ordering column are
     interchangeable, so order by all columns for a reproducible result."""
     spark = df.sparkSession
     checkpoint_root(spark)
     parts = num_partitions or shuffle_partitions(spark)
-    if small_rows is None:
-        small_rows = small_batch_rows(spark)
     order = [F.col(c).asc_nulls_last() for c in order_by]
     # Range partitioning samples its input in a job of its own; reading the
     # rows from a checkpoint keeps the upstream joins from running twice.
     src = df.checkpoint()
-    n = src.count()
-    if n == 0:
-        return src.select(F.lit(None).cast("bigint").alias(key_col), *df.columns).limit(0)
-    if n <= small_rows:
-        # A batch under a checked bound is numbered by one ordered window.
-        rank = F.row_number().over(Window.orderBy(*order))
-        return src.select((F.lit(int(start)) + rank).cast("bigint").alias(key_col),
-                          *[F.col(c) for c in df.columns])
     laid = (src.repartitionByRange(parts, *order)
             .sortWithinPartitions(*order)
             .withColumn("_ls_mid", F.monotonically_increasing_id())
@@ -69,6 +48,6 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by, start: int = 0,
     before = Window.orderBy("_ls_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_ls_pid", F.coalesce(F.sum("_ls_n").over(before), F.lit(0)).alias("_ls_off"))
-    keyed = laid.join(F.broadcast(offsets), pid == F.col("_ls_pid"))
+    keyed = laid.join(F.broadcast(offsets), pid == F.col("_ls_pid"))  # one row per partition
     key = (F.lit(int(start)) + F.col("_ls_off") + pos + F.lit(1)).cast("bigint")
     return keyed.select(key.alias(key_col), *[F.col(c) for c in df.columns])

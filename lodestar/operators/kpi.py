@@ -2,9 +2,10 @@
 
 Plans aggregate facts by surrogate keys first (partial + final hash
 aggregate, so a hot key is combined map-side), then attach dimension names to
-the few aggregated rows. Sums go through ``decimal(18,4)`` and become double
-once, so totals do not depend on summation order. NULL group keys are dropped
-as pandas ``groupby`` does (P15); an all-NULL group sums to 0, as in pandas.
+the few aggregated rows. Sums are double sums, as in pandas, so no value is
+narrowed or refused; their last digits may depend on the summation order.
+NULL group keys are dropped as pandas ``groupby`` does (P15); an all-NULL
+group sums to 0, as in pandas.
 """
 
 from __future__ import annotations
@@ -12,18 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions import key_to_date, month_of, percentage
+from lodestar.functions import key_month, month_text, percentage
 from lodestar.operators.joins import last_per_key
 
-DEC = "decimal(18,4)"
-
-
-def _dec_sum(c):
-    return F.sum(F.col(c).cast(DEC))
-
 
 def _total(c):
-    return F.coalesce(F.col(c), F.lit(0)).cast("double")
+    return F.coalesce(F.col(c), F.lit(0.0)).cast("double")
 
 
 def headcount(fact_hr: DataFrame) -> DataFrame:
@@ -36,10 +31,11 @@ def headcount(fact_hr: DataFrame) -> DataFrame:
 def attrition(fact_hr: DataFrame) -> DataFrame:
     """A3: distinct resigned / distinct employees * 100, rounded to 2 places;
     NULL with no employees (D21)."""
-    resigned = F.lower(F.col("status")) == F.lit("resigned")
-    counts = fact_hr.agg(
-        F.count_distinct(F.when(resigned, F.col("employeeid"))).alias("resigned"),
-        F.count_distinct("employeeid").alias("employees"))
+    resigned = F.coalesce(F.lower(F.col("status")) == F.lit("resigned"), F.lit(False))
+    per_emp = (fact_hr.where(F.col("employeeid").isNotNull())
+               .groupBy("employeeid").agg(F.max(resigned.cast("int")).alias("r")))
+    counts = per_emp.agg(F.coalesce(F.sum("r"), F.lit(0)).cast("bigint").alias("resigned"),
+                         F.count(F.lit(1)).alias("employees"))
     return counts.select("resigned", "employees",
                          F.round(percentage("resigned", "employees"), 2).alias("attrition_rate"))
 
@@ -47,24 +43,21 @@ def attrition(fact_hr: DataFrame) -> DataFrame:
 def salary_by_gender(fact_hr: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """A4: mean salary per gender over HR fact rows (not per person)."""
     per_emp = fact_hr.groupBy("employeeid").agg(
-        _dec_sum("salary").alias("s"), F.count("salary").alias("n"))
+        F.sum("salary").alias("s"), F.count("salary").alias("n"))
     genders = dim_employee.select("employeeid", "gender")
     by_gender = (per_emp.join(genders, "employeeid", "left")
                  .where(F.col("gender").isNotNull())
                  .groupBy("gender").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
     return by_gender.select(
-        "gender", F.try_divide(F.col("s").cast("double"), F.col("n").cast("double"))
+        "gender", F.try_divide(F.col("s"), F.col("n").cast("double"))
         .alias("avg_salary"), F.col("n").alias("fact_rows"))
 
 
 def _finance_by_month(fact_finance: DataFrame, by_employee: bool) -> DataFrame:
-    d = key_to_date("datekey")
     keys = (["employeeid"] if by_employee else []) + ["month", "expensetypeid"]
-    return (fact_finance.select("employeeid", "expensetypeid", "expenseamount",
-                                d.alias("d"))
-            .where(F.col("d").isNotNull())
-            .withColumn("month", month_of("d"))
-            .groupBy(*keys).agg(_dec_sum("expenseamount").alias("amt")))
+    return (fact_finance.withColumn("month", key_month("datekey"))
+            .where(F.col("month").isNotNull())
+            .groupBy(*keys).agg(F.sum("expenseamount").alias("amt")))
 
 
 def expense_by_month_department_type(fact_finance: DataFrame, fact_hr: DataFrame,
@@ -81,19 +74,19 @@ def expense_by_month_department_type(fact_finance: DataFrame, fact_hr: DataFrame
     """
     fin = _finance_by_month(fact_finance, by_employee=True)
     if latest_assignment:
-        assign = (last_per_key(fact_hr, ["employeeid"], ["datekey", "hrid"], ["departmentid"])
+        assign = (last_per_key(fact_hr, "employeeid", ["datekey", "hrid"], ["departmentid"])
                   .withColumn("m", F.lit(1).cast("bigint")))
     else:
         assign = fact_hr.groupBy("employeeid", "departmentid").agg(F.count(F.lit(1)).alias("m"))
     by_ids = (fin.join(assign, "employeeid")
               .groupBy("month", "departmentid", "expensetypeid")
-              .agg(F.sum(F.col("amt") * F.col("m").cast("decimal(18,0)")).alias("amt")))
+              .agg(F.sum(F.col("amt") * F.col("m")).alias("amt")))
     named = (by_ids.join(dim_department.select("departmentid", "department"), "departmentid")
              .join(dim_expensetype.select("expensetypeid", "expensetype"), "expensetypeid")
              .where(F.col("department").isNotNull() & F.col("expensetype").isNotNull()))
     return (named.groupBy("month", "department", "expensetype")
             .agg(F.sum("amt").alias("amt"))
-            .select("month", "department", "expensetype", _total("amt").alias("total_expense")))
+            .select(month_text("month").alias("month"), "department", "expensetype", _total("amt").alias("total_expense")))
 
 
 def expense_by_month_type(fact_finance: DataFrame, dim_expensetype: DataFrame) -> DataFrame:
@@ -102,14 +95,14 @@ def expense_by_month_type(fact_finance: DataFrame, dim_expensetype: DataFrame) -
     named = (fin.join(dim_expensetype.select("expensetypeid", "expensetype"), "expensetypeid")
              .where(F.col("expensetype").isNotNull()))
     return (named.groupBy("month", "expensetype").agg(F.sum("amt").alias("amt"))
-            .select("month", "expensetype", _total("amt").alias("total_expense")))
+            .select(month_text("month").alias("month"), "expensetype", _total("amt").alias("total_expense")))
 
 
 def downtime_by_process_department(fact_operations: DataFrame, dim_process: DataFrame,
                                    dim_department: DataFrame) -> DataFrame:
     """Total downtime by process and department."""
     by_ids = fact_operations.groupBy("processid", "departmentid").agg(
-        _dec_sum("downtimehours").alias("h"))
+        F.sum("downtimehours").alias("h"))
     named = (by_ids.join(dim_process.select("processid", "processname"), "processid")
              .join(dim_department.select("departmentid", "department"), "departmentid")
              .where(F.col("processname").isNotNull() & F.col("department").isNotNull()))

@@ -16,8 +16,8 @@ open       in input, and (no current row or diff)       new values, ``startdate
 =========  ===========================================  ========================
 
 A second change on the same day replaces the current row (D16). History is
-append-only: ``apply_scd2`` returns the new current rows and the rows to
-append to history separately, so a run never rewrites old history.
+append-only: ``scd2_rows`` gives the new current rows and the rows to append
+to history, so a run never rewrites old history.
 """
 
 from __future__ import annotations
@@ -38,60 +38,50 @@ def scd2_input(dim_employee: DataFrame, fact_hr: DataFrame) -> DataFrame:
     """Every employee with one status - from the HR fact with the
     highest date key, then the highest fact key (D15). Employees without an
     HR fact get a NULL status."""
-    status = last_per_key(fact_hr, ["employeeid"], ["datekey", "hrid"], ["status"])
+    status = last_per_key(fact_hr, "employeeid", ["datekey", "hrid"], ["status"])
     return (dim_employee.select("employeeid", "name", "gender", "managerid")
             .join(status, "employeeid", "left"))
 
 
-def apply_scd2(scd2: DataFrame, incoming: DataFrame, as_of, key: str = "employeeid",
-               tracked=TRACKED) -> tuple[DataFrame, DataFrame]:
-    """W5. Returns ``(current, history_append)``: the complete set of current
-    rows after the run and the rows that become history in this run.
+def scd2_rows(scd2: DataFrame, incoming: DataFrame, as_of, key: str = "employeeid",
+              tracked=TRACKED) -> DataFrame:
+    """All current rows after the run (``iscurrent = 1``) and the rows that
+    become history in it (``iscurrent = 0``), from one full outer join whose
+    every row gives an array of the one or two versions it leads to.
 
     ``incoming`` must hold one row per key (W6 guarantees it). A current row
     that starts after ``as_of`` raises.
     """
     day = as_of_literal(as_of)
     attrs = [c for c in SCD2_COLUMNS if c not in (key, "startdate", "enddate", "iscurrent")]
-    cur = (scd2.where(F.col("iscurrent") == 1).select(*SCD2_COLUMNS)
-           .withColumn("_in_c", F.lit(True)))
-    inc = incoming.select(key, *attrs).withColumn("_in_i", F.lit(True))
-    j = cur.alias("c").join(inc.alias("i"), key, "full_outer")
-    in_c = F.coalesce(F.col("c._in_c"), F.lit(False))
-    in_i = F.coalesce(F.col("i._in_i"), F.lit(False))
-    start = F.col("c.startdate")
-    start = F.when(in_c & (start > day), F.raise_error(
-        F.lit("SCD2 as_of date is before the start of a current version"))).otherwise(start)
+    cur = scd2.where(F.col("iscurrent") == 1).select(
+        F.col(key).alias("ck"), F.struct("startdate", "enddate", *attrs).alias("c"))
+    inc = incoming.select(F.col(key).alias("ik"), F.struct(*attrs).alias("i"))
+    j = cur.join(inc, F.col("ck") == F.col("ik"), "full_outer")
+    in_c, in_i = F.col("c").isNotNull(), F.col("i").isNotNull()
+    start = F.when(in_c & (F.col("c.startdate") > day), F.raise_error(
+        F.lit("SCD2 as_of date is before the start of a current version"))) \
+        .otherwise(F.col("c.startdate"))
     diff = in_c & in_i & differs_null_safe([(F.col(f"c.{a}"), F.col(f"i.{a}")) for a in tracked])
-    opens = in_i & (~in_c | diff)
-    closes = diff & (start < day)
-    keeps = in_c & ~diff
-    decided = j.select(
-        F.col(key), *[F.col(f"c.{a}").alias(f"c_{a}") for a in attrs],
-        *[F.col(f"i.{a}").alias(f"i_{a}") for a in attrs],
-        start.alias("c_startdate"), F.col("c.enddate").alias("c_enddate"),
-        opens.alias("_open"), closes.alias("_close"), keeps.alias("_keep"))
-    kept = decided.where("_keep").select(
-        key, *[F.col(f"c_{a}").alias(a) for a in attrs],
-        F.col("c_startdate").alias("startdate"), F.col("c_enddate").alias("enddate"),
-        F.lit(1).alias("iscurrent"))
-    opened = decided.where("_open").select(
-        key, *[F.col(f"i_{a}").alias(a) for a in attrs],
-        day.alias("startdate"), F.lit(None).cast("date").alias("enddate"),
-        F.lit(1).alias("iscurrent"))
-    closed = decided.where("_close").select(
-        key, *[F.col(f"c_{a}").alias(a) for a in attrs],
-        F.col("c_startdate").alias("startdate"), day.alias("enddate"),
-        F.lit(0).alias("iscurrent"))
-    current = kept.unionByName(opened).select(*SCD2_COLUMNS)
-    return current, closed.select(*SCD2_COLUMNS)
+
+    def version(side, begin, end, current):
+        return F.struct(begin.alias("startdate"), end.cast("date").alias("enddate"),
+                        F.lit(current).alias("iscurrent"),
+                        *[F.col(f"{side}.{a}").alias(a) for a in attrs])
+
+    keeps = F.when(in_c & ~diff, version("c", F.col("_start"), F.col("c.enddate"), 1))
+    opens = F.when(in_i & (~in_c | diff), version("i", day, F.lit(None), 1))
+    closes = F.when(diff & (F.col("_start") < day), version("c", F.col("_start"), day, 0))
+    return (j.withColumn("_start", start)
+            .select(F.coalesce("ck", "ik").alias(key), F.inline(F.filter(
+                F.array(keeps, opens, closes), lambda v: v.isNotNull())))
+            .select(*SCD2_COLUMNS))
 
 
 def apply_scd2_full(scd2: DataFrame, incoming: DataFrame, as_of, **kw) -> DataFrame:
-    """The whole table after W5: old history + newly closed + current."""
-    current, closed = apply_scd2(scd2, incoming, as_of, **kw)
+    """The whole table after W5: old history, newly closed and current."""
     history = scd2.where(F.col("iscurrent") == 0).select(*SCD2_COLUMNS)
-    return history.unionByName(closed).unionByName(current)
+    return history.unionByName(scd2_rows(scd2, incoming, as_of, **kw))
 
 
 def change_report(scd2: DataFrame, tracked=("name", "gender", "managerid"),

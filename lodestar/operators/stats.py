@@ -7,8 +7,6 @@ row map-side - then range-partitioned. A running count inside each range
 partition plus the prefix of the per-partition totals (one row per partition,
 a proven size bound, so broadcast) gives every distinct value its rank
 interval; the one or two values covering the middle ranks are the answer.
-When the distinct values number fewer than a checked bound, one ordered
-window ranks them instead (same answer, fewer jobs).
 """
 
 from __future__ import annotations
@@ -19,14 +17,8 @@ from pyspark.sql import functions as F
 from lodestar.session import checkpoint_root, shuffle_partitions
 
 
-# Up to this many distinct values are ranked in one task (a checked bound);
-# a session may set ``spark.lodestar.smallBatchRows``.
-SMALL_DISTINCT_VALUES = 200_000
-
-
 def exact_median_df(df: DataFrame, column: str, alias: str = "median",
-                    num_partitions: int | None = None,
-                    small_values: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """One-row DataFrame: median of ``column`` skipping NULL and NaN; the mean
     of the two middle values for an even count; NULL without values."""
     spark = df.sparkSession
@@ -36,22 +28,9 @@ def exact_median_df(df: DataFrame, column: str, alias: str = "median",
               .where(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     parts = num_partitions or shuffle_partitions(spark)
-    if small_values is None:
-        small_values = int(spark.conf.get("spark.lodestar.smallBatchRows",
-                                          str(SMALL_DISTINCT_VALUES)))
-    # The distinct values are materialised once; a cheap count then picks the
-    # path. Under a checked bound one ordered window ranks them; above it they
-    # are range-partitioned and the range layout is materialised too, so the
-    # per-partition totals and running counts see one layout.
+    # The distinct values are materialised before their ranges are sampled, and
+    # so is the range layout: totals and running counts see one layout.
     distinct = counts.checkpoint()
-    if distinct.count() <= small_values:
-        running_all = Window.orderBy("v").rowsBetween(Window.unboundedPreceding,
-                                                      Window.currentRow)
-        ranked = distinct.select(
-            "v", (F.sum("n").over(running_all) - F.col("n")).alias("lo"),
-            F.sum("n").over(running_all).alias("hi"),
-            F.sum("n").over(Window.partitionBy()).alias("total"))
-        return _pick_middle(ranked, alias)
     laid = (distinct.repartitionByRange(parts, "v")
             .withColumn("pid", F.spark_partition_id())
             .checkpoint())
@@ -78,10 +57,9 @@ def _pick_middle(ranked: DataFrame, alias: str) -> DataFrame:
     return ranked.where(covers).agg(((F.min("v") + F.max("v")) / 2).alias(alias))
 
 
-def exact_median(df: DataFrame, column: str, num_partitions: int | None = None,
-                 small_values: int | None = None):
+def exact_median(df: DataFrame, column: str, num_partitions: int | None = None):
     """The median as a Python float (``None`` without values)."""
-    return exact_median_df(df, column, "m", num_partitions, small_values).collect()[0]["m"]
+    return exact_median_df(df, column, "m", num_partitions).collect()[0]["m"]
 
 
 def approx_median(df: DataFrame, column: str, accuracy: int = 10000):

@@ -1,10 +1,9 @@
 """Role views V1-V6.
 
-Each view is a DataFrame over the warehouse tables; joins to the small
-dimensions are left to Catalyst, which broadcasts them when their measured or
-file size is under the broadcast threshold. The join with ``dim_employee``,
-which grows with the data, splits off employees that hold a large share of a
-fact (``split_hot_join``). Authentication is not built:
+Each view is a DataFrame of plain joins over the warehouse tables, so a
+user's filter reaches the fact scan. Catalyst broadcasts a dimension whose
+size is under the broadcast threshold; otherwise AQE splits the partition of
+an employee that holds a large share of a fact. Authentication is not built:
 ``role_view`` only maps a role to its data (V5).
 """
 
@@ -13,13 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.operators.joins import split_hot_join
-
 
 def _with_employee(fact: DataFrame, dim_employee: DataFrame, cols) -> DataFrame:
-    """fact ⋈ dim_employee on employeeid; an employee holding a large share
-    of the fact is joined apart (``split_hot_join``)."""
-    return split_hot_join(fact, dim_employee.select("employeeid", *cols), "employeeid")
+    return fact.join(dim_employee.select("employeeid", *cols), "employeeid")
 
 
 def view_hr(t: dict) -> DataFrame:
@@ -42,13 +37,12 @@ def view_finance(t: dict) -> DataFrame:
 
 def view_operations(t: dict) -> DataFrame:
     """V3."""
-    ops, proc, loc, dept = (t["fact_operations"].alias("ops"), t["dim_process"].alias("proc"),
-                            t["dim_location"].alias("loc"), t["dim_department"].alias("dept"))
-    return (ops.join(proc, F.col("ops.processid") == F.col("proc.processid"))
-            .join(loc, F.col("ops.locationid") == F.col("loc.locationid"))
-            .join(dept, F.col("ops.departmentid") == F.col("dept.departmentid"))
-            .select("ops.operationsid", "proc.processname", "loc.location", "dept.department",
-                    "ops.downtimehours", "ops.datekey"))
+    named = t["fact_operations"]
+    for dim, key in (("dim_process", "processid"), ("dim_location", "locationid"),
+                     ("dim_department", "departmentid")):
+        named = named.join(t[dim], key)
+    return named.select("operationsid", "processname", "location", "department",
+                        "downtimehours", "datekey")
 
 
 # The super view's columns and branch labels.

@@ -50,10 +50,9 @@ def test_staging_types(raw):
 
 def test_exact_median_edges(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (10.0,), (20.0,)], "v double")
-    for small in (0, 10):
-        assert exact_median(df, "v", small_values=small) == 6.0
-        assert exact_median(df.where("v < 15"), "v", small_values=small) == 2.0
-        assert exact_median(df.where("v > 100"), "v", small_values=small) is None
+    assert exact_median(df, "v") == 6.0
+    assert exact_median(df.where("v < 15"), "v") == 2.0
+    assert exact_median(df.where("v > 100"), "v") is None
 
 
 def test_exact_median_hot_value_many_partitions(spark):
@@ -63,10 +62,9 @@ def test_exact_median_hot_value_many_partitions(spark):
     s = sorted(vals)
     n = len(s)
     want = (s[(n - 1) // 2] + s[n // 2]) / 2
-    for small in (0, 10_000):   # range-partitioned path and single-window path
-        assert exact_median(df, "v", num_partitions=5, small_values=small) == want
-        assert exact_median(df.where("v <> 5"), "v", num_partitions=5, small_values=small) \
-            == sorted(x for x in vals if x != 5)[(n - 2) // 2]
+    assert exact_median(df, "v", num_partitions=5) == want
+    assert exact_median(df.where("v <> 5"), "v", num_partitions=5) \
+        == sorted(x for x in vals if x != 5)[(n - 2) // 2]
 
 
 def test_dedup_keeps_one_of_null_equal_rows(spark):
@@ -82,3 +80,29 @@ def test_group_keys_and_all_null_sum(spark):
     rows = expense_by_month_type(fin, types).collect()
     # NULL type key excluded; an impossible date key dropped; all-NULL sum -> 0.0
     assert [tuple(r) for r in rows] == [("2023-01", "A", 0.0)]
+
+
+def test_nan_salary_is_filled(spark):
+    df = spark.createDataFrame(
+        [(1, "A", None, None, "x", float("nan"), "s", "2023-01-05"),
+         (2, "B", "F", "1", "x", 10.0, "s", "2023-01-05")],
+        "EmployeeID long, Name string, Gender string, ManagerID string, Department string, "
+        "Salary double, Status string, DateOfJoining string")
+    assert {r.Salary for r in clean_domain(df, "hr").collect()} == {10.0}
+
+
+def test_kpi_sums_take_any_value(spark):
+    fin = spark.createDataFrame([(1, 1, 1e15, 20230105), (1, 2, 0.00004, 20230105)] +
+                                [(1, 2, 0.00004, 20230105)] * 99_999,
+                                "employeeid long, expensetypeid long, expenseamount double, datekey int")
+    types = spark.createDataFrame([(1, "A"), (2, "B")], "expensetypeid long, expensetype string")
+    got = {r.expensetype: r.total_expense for r in expense_by_month_type(fin, types).collect()}
+    assert got["A"] == 1e15 and abs(got["B"] - 4.0) < 1e-6
+
+
+def test_month_of_a_key(spark):
+    from lodestar.functions import key_month, month_text
+    keys = [20230105, 20230230, 20240229, 20230229, 20231301, 20230400, 0, None, 19000229, 20000229]
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    got = [r[0] for r in df.select(month_text(key_month("k"))).collect()]
+    assert got == ["2023-01", None, "2024-02", None, None, None, None, None, None, "2000-02"]

@@ -13,19 +13,15 @@ def test_keys_equal_global_row_number(spark):
     df = spark.createDataFrame(rows, "a int, b string, c int").repartition(7)
     ref = df.withColumn("k", F.row_number().over(Window.orderBy("a", "b", "c")) + 100)
     want = sorted(map(tuple, ref.select(F.col("k").cast("long"), "a", "b", "c").collect()))
-    for small_rows in (0, 10_000):   # distributed path and small-batch path
-        keyed = assign_surrogate_keys(df, "k", ["a", "b", "c"], start=100, num_partitions=5,
-                                      small_rows=small_rows)
-        assert keyed.count() == 3000
-        assert sorted(map(tuple, keyed.select("k", "a", "b", "c").collect())) == want
+    keyed = assign_surrogate_keys(df, "k", ["a", "b", "c"], start=100, num_partitions=5)
+    assert keyed.count() == 3000
+    assert sorted(map(tuple, keyed.select("k", "a", "b", "c").collect())) == want
 
 
 def test_keys_nulls_last_and_empty(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
-    for small_rows in (0, 10):
-        got = {r.x: r.k for r in assign_surrogate_keys(df, "k", ["x"],
-                                                        small_rows=small_rows).collect()}
-        assert got == {"a": 1, "b": 2, None: 3}
+    got = {r.x: r.k for r in assign_surrogate_keys(df, "k", ["x"]).collect()}
+    assert got == {"a": 1, "b": 2, None: 3}
     empty = df.where("x = 'zz'")
     assert assign_surrogate_keys(empty, "k", ["x"], start=9).count() == 0
 
@@ -42,18 +38,4 @@ def test_first_per_key_matches_row_number(spark):
 def test_last_per_key(spark):
     df = spark.createDataFrame([(1, 20200101, 5, "A"), (1, 20200101, 7, "B"), (1, 20190101, 9, "C")],
                                "id int, dk int, hid int, s string")
-    assert [tuple(r) for r in last_per_key(df, ["id"], ["dk", "hid"], ["s"]).collect()] == [(1, "B")]
-
-
-def test_split_hot_join_equals_plain_join(spark):
-    from lodestar.operators.joins import split_hot_join
-    # key 0 holds a third of the rows; key 99 has no dimension row
-    big = spark.createDataFrame([(0 if i % 3 == 0 else i % 50 + 1, i) for i in range(3000)] +
-                                [(99, -1)], "k int, v int")
-    small = spark.createDataFrame([(k, f"n{k}") for k in range(0, 51)], "k int, name string")
-    want = sorted(map(tuple, big.join(small, "k").select("k", "v", "name").collect()))
-    for threshold in (100, 10**9):       # hot key split off / nothing hot
-        got = split_hot_join(big, small, "k", threshold=threshold)
-        assert sorted(map(tuple, got.select("k", "v", "name").collect())) == want
-    left = split_hot_join(big, small, "k", how="left", threshold=100)
-    assert left.count() == 3001 and left.where("k = 99 and name is null").count() == 1
+    assert [tuple(r) for r in last_per_key(df, "id", ["dk", "hid"], ["s"]).collect()] == [(1, "B")]
