@@ -20,8 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodestar.operators import checks, kpi, views  # noqa: E402
 from lodestar.operators.cleaning import clean_domain  # noqa: E402
-from lodestar.operators.scd2 import (apply_scd2, apply_scd2_full, change_report,  # noqa: E402
-                                     scd2_input)
+from lodestar.operators.scd2 import (apply_scd2_full, change_report, scd2_input,  # noqa: E402
+                                     scd2_rows)
 from lodestar.plans import scenarios as sc  # noqa: E402
 from lodestar.plans.loads import run_all, run_domains, warehouse_tables  # noqa: E402
 from lodestar.session import get_session, scratch_path  # noqa: E402
@@ -80,8 +80,7 @@ def main() -> None:
         "downtime_A7": lambda: noop(kpi.downtime_by_process_department(
             t["fact_operations"], t["dim_process"], t["dim_department"])),
         "view_super_V4": lambda: noop(views.view_super(t)),
-        "scd2_apply_W5": lambda: [noop(x) for x in apply_scd2(
-            t["dim_employee_scd2"], day2, sc.DAY2)],
+        "scd2_apply_W5": lambda: noop(scd2_rows(t["dim_employee_scd2"], day2, sc.DAY2)),
         "hr_kpis_A2_A4": lambda: [noop(kpi.headcount(t["fact_hr"])),
                                   noop(kpi.attrition(t["fact_hr"])),
                                   noop(kpi.salary_by_gender(t["fact_hr"], t["dim_employee"]))],

@@ -10,10 +10,52 @@ are provided by the caller.
 
 from __future__ import annotations
 
-from lodestar.operators.cleaning import SPECS
-from lodestar.operators.facts import FACT_FINANCE, FACT_HR, FACT_OPERATIONS, FactSpec
+from types import SimpleNamespace as Rules
+
 from lodestar.plans import scenarios as sc
 
+# What each extract's cleaning and each fact's load ask for,
+# written out here on their own, so a wrong rule in the operators shows.
+CLEAN = {
+    "hr": Rules(upper=["Department"], title=[], constant={"Gender": "Unknown"},
+                median=["Salary"], number=["ManagerID"], mapping={}, nonblank=[],
+                required=["EmployeeID", "Department"], date="DateOfJoining",
+                types={"EmployeeID": "bigint", "ManagerID": "int", "Salary": "double",
+                       "DateOfJoining": "date"}),
+    "finance": Rules(upper=["ExpenseType"], title=[], constant={}, median=[],
+                     number=["ExpenseAmount", "ApprovedBy"],
+                     mapping={"ExpenseType": ("TRAVELL", "TRAVEL")}, nonblank=["ExpenseType"],
+                     required=["EmployeeID", "ExpenseType", "ExpenseAmount"], date="ExpenseDate",
+                     types={"EmployeeID": "bigint", "ExpenseAmount": "double",
+                            "ApprovedBy": "int", "ExpenseDate": "date"}),
+    "operations": Rules(upper=["ProcessName", "Department"], title=["Location"], constant={},
+                        median=[], number=["DowntimeHours"], mapping={},
+                        nonblank=["ProcessName", "Department", "Location"],
+                        required=["ProcessName", "Department", "Location", "DowntimeHours"],
+                        date="ProcessDate",
+                        types={"DowntimeHours": "double", "ProcessDate": "date"}),
+}
+FACT_HR = Rules(
+    name="fact_hr", key="hrid", date="DateOfJoining", known=None,
+    lookups=[("dim_department", "Department", "department", "departmentid")],
+    columns=["employeeid", "departmentid", "salary", "status"],
+    source=["s.EmployeeID", "departmentid", "s.Salary", "s.Status"],
+    load_keys=["employeeid", "datekey"])
+FACT_FINANCE = Rules(
+    name="fact_finance", key="financeid", date="ExpenseDate", known=("EmployeeID", "dim_employee"),
+    lookups=[("dim_expensetype", "ExpenseType", "expensetype", "expensetypeid")],
+    columns=["employeeid", "expensetypeid", "expenseamount", "approvedby"],
+    source=["s.EmployeeID", "expensetypeid", "s.ExpenseAmount", "s.ApprovedBy"],
+    load_keys=["employeeid", "expensetypeid", "datekey"])
+FACT_OPERATIONS = Rules(
+    name="fact_operations", key="operationsid", date="ProcessDate", known=None,
+    lookups=[("dim_process", "ProcessName", "processname", "processid"),
+             ("dim_location", "Location", "location", "locationid"),
+             ("dim_department", "Department", "department", "departmentid")],
+    columns=["processid", "locationid", "departmentid", "downtimehours"],
+    source=["processid", "locationid", "departmentid", "s.DowntimeHours"],
+    load_keys=["processid", "locationid", "departmentid", "datekey"])
+
 # -- raw extracts (same derivation as lodestar.sources.fixtures) --------------
 
 RAW_HR = """
@@ -103,10 +145,15 @@ RAW_COLUMNS = {
 
 # -- column expressions ---------------------------------------------------------
 
-# The date layouts in DuckDB spelling, same order as
-# lodestar.functions.dates.DATE_FORMATS.
-SQL_DATE_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y",
-                    "%d-%b-%Y", "%b %d, %Y", "%d %B %Y", "%Y%m%d")
+# The date layouts in DuckDB spelling, in the order of
+# lodestar.functions.dates.DATE_FORMATS (optional parts written out).
+SQL_DATE_FORMATS = (
+    "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S.%n",
+    "%Y-%m-%dT%H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%n", "%Y/%m/%d", "%Y.%m.%d",
+    "%m/%d/%Y", "%d/%m/%Y", "%m/%d/%Y %H:%M", "%m/%d/%Y %H:%M:%S", "%d/%m/%Y %H:%M",
+    "%d/%m/%Y %H:%M:%S", "%m/%d/%y", "%d/%m/%y", "%m/%d/%y %H:%M", "%m/%d/%y %H:%M:%S",
+    "%d/%m/%y %H:%M", "%d/%m/%y %H:%M:%S", "%m-%d-%Y", "%d-%m-%Y", "%d-%b-%Y", "%d-%b-%y",
+    "%b %d, %Y", "%B %d, %Y", "%b %d %Y", "%B %d %Y", "%d %b %Y", "%d %B %Y", "%Y%m%d")
 NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -149,37 +196,37 @@ def median_sql(raw: str, col: str) -> str:
 
 def clean_steps(domain: str, raw: str, missing: str = "null", median_cte: str | None = None):
     """(before_dedup_sql, staging_sql) for a domain."""
-    spec = SPECS[domain]
+    spec = CLEAN[domain]
     cols = RAW_COLUMNS[domain]
 
     def txt(c):
         return f"coalesce(CAST({c} AS VARCHAR), 'nan')" if missing == "literal" \
             else f"CAST({c} AS VARCHAR)"
     ex = {}
-    for c in spec.upper_text:
+    for c in spec.upper:
         ex[c] = f"upper({strip(txt(c))})"
-    for c in spec.title_text:
+    for c in spec.title:
         ex[c] = title(strip(txt(c)))
-    for c, v in spec.fill_const.items():
+    for c, v in spec.constant.items():
         ex[c] = f"coalesce({c}, '{v}')"
-    for c in spec.fill_median:
-        ex[c] = f"coalesce(CAST({c} AS DOUBLE), (SELECT m FROM {median_cte}))"
-    for c in spec.lenient_numbers:
+    for c in spec.median:
+        ex[c] = (f"coalesce(CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END,"
+                 f" (SELECT m FROM {median_cte}))")
+    for c in spec.number:
         ex[c] = num(c)
-    for c, mapping in spec.value_maps.items():
+    for c, (old, new) in spec.mapping.items():
         e = ex.get(c, c)
-        ex[c] = "(CASE " + " ".join(f"WHEN {e} = '{o}' THEN '{n}'" for o, n in mapping.items()) \
-            + f" ELSE {e} END)"
+        ex[c] = f"(CASE WHEN {e} = '{old}' THEN '{new}' ELSE {e} END)"
     step1 = "SELECT " + ", ".join(f"{ex.get(c, c)} AS {c}" for c in cols) + f" FROM {raw}"
     conds = [f"({c} IS NULL OR {strip(c)} <> '')" for c in spec.nonblank]
     conds += [f"{c} IS NOT NULL" for c in spec.required]
     step2 = f"SELECT * FROM ({step1}) WHERE " + (" AND ".join(conds) or "TRUE")
-    step3 = ("SELECT " + ", ".join(f"{ts(c)} AS {c}" if c in spec.dates else c for c in cols)
+    step3 = ("SELECT " + ", ".join(f"{ts(c)} AS {c}" if c == spec.date else c for c in cols)
              + f" FROM ({step2})")
-    step3 = f"SELECT * FROM ({step3}) WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in spec.dates)
+    step3 = f"SELECT * FROM ({step3}) WHERE {spec.date} IS NOT NULL"
     narrowed = []
     for c in cols:
-        t = spec.narrow.get(c)
+        t = spec.types.get(c)
         if t == "date":
             narrowed.append(f"CAST({c} AS DATE) AS {c}")
         elif t == "int":
@@ -224,31 +271,28 @@ def scd1_sql(dim: str, winners: str) -> str:
             + f" FROM {dim} d FULL OUTER JOIN ({winners}) w ON d.employeeid = w.employeeid")
 
 
-def fact_sql(spec: FactSpec, staging: str, dims: dict, prev: str | None = None) -> str:
-    joins, sel, lookup_keys = [], [], {}
-    for i, lk in enumerate(spec.lookups):
-        joins.append(f"JOIN {dims[lk.table]} l{i} ON s.{lk.source_col} = l{i}.{lk.nk}")
-        lookup_keys[lk.key] = f"l{i}.{lk.key}"
-    for dst, src in spec.columns.items():
-        sel.append(f"{lookup_keys.get(src, 's.' + src)} AS {dst}")
-    sel.append(f"{date_key('s.' + spec.date_col)} AS datekey")
-    where = [f"s.{e.source_col} IN (SELECT {e.dim_col} FROM {dims[e.table]})" for e in spec.exists]
-    cand = (f"SELECT {', '.join(sel)} FROM {staging} s {' '.join(joins)}"
-            + (f" WHERE {' AND '.join(where)}" if where else ""))
-    cols = spec.value_columns
+def fact_sql(spec: Rules, staging: str, dims: dict, prev: str | None = None) -> str:
+    joins = " ".join(f"JOIN {dims[d]} AS {d} ON {d}.{nk} = s.{src}" for d, src, nk, _ in spec.lookups)
+    owner = {key: f"{d}.{key}" for d, _, _, key in spec.lookups}
+    sel = [f"{owner.get(e, e)} AS {c}" for c, e in zip(spec.columns, spec.source)]
+    sel.append(f"{date_key('s.' + spec.date)} AS datekey")
+    where = (f" WHERE s.{spec.known[0]} IN (SELECT employeeid FROM {dims[spec.known[1]]})"
+             if spec.known else "")
+    cand = f"SELECT {', '.join(sel)} FROM {staging} s {joins}{where}"
+    cols = [*spec.columns, "datekey"]
     order = ["datekey"] + [k for k in spec.load_keys if k != "datekey"] + \
-        [c for c in cols if c not in spec.load_keys and c != "datekey"]
+        [c for c in spec.columns if c not in spec.load_keys]
     if prev is None:
         new, start = cand, "0"
     else:
         match = " AND ".join(f"p.{k} = c.{k}" for k in spec.load_keys)
         new = f"SELECT * FROM ({cand}) c WHERE NOT EXISTS (SELECT 1 FROM {prev} p WHERE {match})"
-        start = f"(SELECT coalesce(max({spec.key_col}), 0) FROM {prev})"
+        start = f"(SELECT coalesce(max({spec.key}), 0) FROM {prev})"
     keyed = (f"SELECT CAST({start} + row_number() OVER (ORDER BY {order_by(order)}) AS BIGINT)"
-             f" AS {spec.key_col}, {', '.join(cols)} FROM ({new})")
+             f" AS {spec.key}, {', '.join(cols)} FROM ({new})")
     if prev is None:
         return keyed
-    return f"SELECT {spec.key_col}, {', '.join(cols)} FROM {prev} UNION ALL {keyed}"
+    return f"SELECT {spec.key}, {', '.join(cols)} FROM {prev} UNION ALL {keyed}"
 
 
 SCD2_COLS = ["employeeid", "name", "gender", "managerid", "startdate", "enddate", "iscurrent",
@@ -386,9 +430,6 @@ def scd2_ctes() -> list:
 
 # -- per-query SQL ----------------------------------------------------------------
 
-DEC = "DECIMAL(18,4)"
-
-
 def _q_literal_counts() -> str:
     ctes = [("raw_hr", RAW_HR), ("raw_finance", RAW_FINANCE), ("raw_operations", RAW_OPERATIONS),
             ("hr_med", median_sql("raw_hr", "Salary"))]
@@ -439,7 +480,7 @@ def _q_expense(latest: bool) -> str:
           " WHERE rn = 1)") if latest else "(SELECT employeeid, departmentid FROM fact_hr)"
     return with_base(
         f"SELECT strftime(d, '%Y-%m') AS month, dd.department, e.expensetype, "
-        f"CAST(coalesce(sum(CAST(f.expenseamount AS {DEC})), 0) AS DOUBLE) AS total_expense "
+        f"round(coalesce(sum(f.expenseamount), 0.0), 4) AS total_expense "
         f"FROM (SELECT *, {_month()} AS d FROM fact_finance f) f "
         f"LEFT JOIN dim_expensetype e ON f.expensetypeid = e.expensetypeid "
         f"LEFT JOIN {hr} h ON f.employeeid = h.employeeid "
@@ -448,19 +489,22 @@ def _q_expense(latest: bool) -> str:
         f"GROUP BY 1, 2, 3")
 
 
-VIEW_HR = ("SELECT hr.hrid, hr.employeeid, emp.name, emp.gender, emp.managerid, dept.department,"
-           " hr.salary, hr.status, hr.datekey FROM fact_hr hr"
-           " JOIN dim_employee emp ON hr.employeeid = emp.employeeid"
-           " JOIN dim_department dept ON hr.departmentid = dept.departmentid")
-VIEW_FINANCE = ("SELECT fin.financeid, fin.employeeid, emp.name, exp.expensetype, fin.expenseamount,"
-                " fin.approvedby, fin.datekey FROM fact_finance fin"
-                " JOIN dim_employee emp ON fin.employeeid = emp.employeeid"
-                " JOIN dim_expensetype exp ON fin.expensetypeid = exp.expensetypeid")
-VIEW_OPERATIONS = ("SELECT ops.operationsid, proc.processname, loc.location, dept.department,"
-                   " ops.downtimehours, ops.datekey FROM fact_operations ops"
-                   " JOIN dim_process proc ON ops.processid = proc.processid"
-                   " JOIN dim_location loc ON ops.locationid = loc.locationid"
-                   " JOIN dim_department dept ON ops.departmentid = dept.departmentid")
+def star_sql(fact: str, columns: str, *dims: tuple[str, str]) -> str:
+    """A fact with the dimensions its foreign keys lead to."""
+    return f"SELECT {columns} FROM {fact} " + " ".join(
+        f"JOIN {d} USING ({key})" for d, key in dims)
+
+
+EMPLOYEE, DEPARTMENT = ("dim_employee", "employeeid"), ("dim_department", "departmentid")
+VIEW_HR = star_sql(
+    "fact_hr", "hrid, employeeid, name, gender, managerid, department, salary, status, datekey",
+    EMPLOYEE, DEPARTMENT)
+VIEW_FINANCE = star_sql(
+    "fact_finance", "financeid, employeeid, name, expensetype, expenseamount, approvedby, datekey",
+    EMPLOYEE, ("dim_expensetype", "expensetypeid"))
+VIEW_OPERATIONS = star_sql(
+    "fact_operations", "operationsid, processname, location, department, downtimehours, datekey",
+    ("dim_process", "processid"), ("dim_location", "locationid"), DEPARTMENT)
 VIEW_SUPER = (
     "SELECT 'HR' AS Source, hrid AS ID, employeeid, name, gender, managerid, department,"
     " salary AS Amount, status, datekey FROM (" + VIEW_HR + ")"
@@ -471,6 +515,13 @@ VIEW_SUPER = (
     " CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), department, downtimehours,"
     " CAST(NULL AS VARCHAR), datekey FROM (" + VIEW_OPERATIONS + ")")
 
+DOWNTIME = (
+    "SELECT p.processname, dd.department, round(coalesce(sum(o.downtimehours), 0.0), 4)"
+    " AS total_downtime FROM fact_operations o LEFT JOIN dim_process p ON"
+    " o.processid = p.processid LEFT JOIN dim_department dd ON o.departmentid ="
+    " dd.departmentid WHERE p.processname IS NOT NULL AND dd.department IS NOT NULL"
+    " GROUP BY 1, 2")
+
 AUDIT_ORDER = [("dim_department", "dim_department"), ("dim_employee", "dim_employee"),
                ("fact_hr", "fact_hr"), ("dim_expensetype", "dim_expensetype"),
                ("fact_finance", "fact_finance"), ("dim_process", "dim_process"),
@@ -506,6 +557,23 @@ def _q_change_report() -> str:
         " WHERE changes <> ''", scd2_ctes())
 
 
+def _q_audit_listing() -> str:
+    """Three loads: what the first put in, what the second added, nothing."""
+    before = {"dim_department": "dim_department", "dim_employee": "dim_employee"}
+    rows = []
+    for load in (1, 2, 3):
+        for name, _ in AUDIT_ORDER:
+            one, two = before.get(name, f"{name}_1"), f"{name}_2"
+            n = {1: f"(SELECT count(*) FROM {one})", 3: "0",
+                 2: "0" if name == "dim_employee"
+                    else f"(SELECT count(*) FROM {two}) - (SELECT count(*) FROM {one})"}[load]
+            rows.append(f"SELECT {len(rows) + 1} AS id, 'INCREMENTAL_INSERT' AS operation_type, "
+                        f"'{name}' AS table_name, {n} AS row_count, "
+                        f"TIMESTAMP '2024-01-0{load} 12:00:00' AS timestamp")
+    return with_base("SELECT *, row_number() OVER (ORDER BY timestamp DESC, id DESC) AS place FROM ("
+                     + " UNION ALL ".join(rows) + ")", incremental_ctes())
+
+
 def _q_dim_date() -> str:
     return with_base(
         "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS datekey, CAST(d AS DATE) AS full_date,"
@@ -617,27 +685,34 @@ def oracle_sql() -> dict:
             " 'resigned' THEN employeeid END) AS resigned, count(DISTINCT employeeid) AS employees"
             " FROM fact_hr)"),
         "kpi_salary_by_gender": with_base(
-            f"SELECT e.gender, CAST(sum(CAST(h.salary AS {DEC})) AS DOUBLE) / count(h.salary)"
+            "SELECT e.gender, round(sum(h.salary) / count(h.salary), 4)"
             " AS avg_salary, count(h.salary) AS fact_rows FROM fact_hr h LEFT JOIN dim_employee e"
             " ON h.employeeid = e.employeeid WHERE e.gender IS NOT NULL GROUP BY e.gender"),
         "kpi_expense_month_dept_type": _q_expense(latest=False),
         "kpi_expense_latest_assignment": _q_expense(latest=True),
         "kpi_expense_month_type": with_base(
-            f"SELECT strftime(d, '%Y-%m') AS month, e.expensetype, CAST(coalesce(sum(CAST("
-            f"f.expenseamount AS {DEC})), 0) AS DOUBLE) AS total_expense FROM (SELECT *, {_month()}"
+            "SELECT strftime(d, '%Y-%m') AS month, e.expensetype, round(coalesce(sum("
+            f"f.expenseamount), 0.0), 4) AS total_expense FROM (SELECT *, {_month()}"
             " AS d FROM fact_finance f) f LEFT JOIN dim_expensetype e ON f.expensetypeid ="
             " e.expensetypeid WHERE f.d IS NOT NULL AND e.expensetype IS NOT NULL GROUP BY 1, 2"),
-        "kpi_downtime": with_base(
-            f"SELECT p.processname, dd.department, CAST(coalesce(sum(CAST(o.downtimehours AS {DEC})),"
-            " 0) AS DOUBLE) AS total_downtime FROM fact_operations o LEFT JOIN dim_process p ON"
-            " o.processid = p.processid LEFT JOIN dim_department dd ON o.departmentid ="
-            " dd.departmentid WHERE p.processname IS NOT NULL AND dd.department IS NOT NULL"
-            " GROUP BY 1, 2"),
+        "kpi_downtime": with_base(DOWNTIME),
+        "kpi_downtime_sorted": with_base(
+            "SELECT *, row_number() OVER (ORDER BY processname, department) AS place"
+            f" FROM ({DOWNTIME})"),
         "view_hr": with_base(VIEW_HR),
         "view_finance": with_base(VIEW_FINANCE),
         "view_operations": with_base(VIEW_OPERATIONS),
         "view_super": with_base(VIEW_SUPER),
         "audit_rows": with_base(audit),
+        "audit_listing": _q_audit_listing(),
+        "view_super_sql": with_base(
+            "SELECT Source, count(*) AS n, count(employeeid) AS with_employee, min(datekey)"
+            f" AS first_key, max(datekey) AS last_key FROM ({VIEW_SUPER}) GROUP BY Source"),
+        "hr_load_alone_scd2": with_base(f"SELECT {scd2_cols} FROM scd2_first"),
+        "finance_load_alone": with_base("SELECT * FROM fact_finance"),
+        "operations_load_alone": with_base("SELECT * FROM fact_operations"),
+        "csv_load_finance": with_base("SELECT * FROM fact_finance"),
+        "stream_hr_scd2": with_base(f"SELECT {scd2_cols} FROM scd2_first"),
         "check_orphans": with_base(orph),
         "check_duplicate_keys": with_base(dup),
         "dim_date": _q_dim_date(),

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import (lenient_number, lenient_timestamp, strip, title_strip,
                                 value_map)
 from lodestar.operators import checks, kpi, views
+from lodestar.operators.audit import audit_listing
 from lodestar.operators.cleaning import SPECS, clean_before_dedup, clean_domain
 from lodestar.operators.dimensions import OP, date_dimension, dim_merge_scd1
 from lodestar.operators.scd2 import SCD2_COLUMNS, change_report
@@ -118,6 +119,7 @@ def _base(name):
     return q
 
 
+# Dimension, surrogate key and natural key.
 SURROGATE_DIMS = [("dim_department", "departmentid", "department"),
                   ("dim_expensetype", "expensetypeid", "expensetype"),
                   ("dim_process", "processid", "processname"),
@@ -170,6 +172,15 @@ def scd2_change_report(spark, sf):
 
 
 # -- KPIs ---------------------------------------------------------------------
+# Totals are double sums, whose last digits depend on the order of the terms;
+# only here, for the comparison, they are rounded.
+
+DIGITS = 4
+
+
+def _rounded(df, column):
+    return df.withColumn(column, F.round(column, DIGITS))
+
 
 def kpi_headcount(spark, sf):
     return kpi.headcount(sc.base_tables(spark, sf)["fact_hr"])
@@ -181,31 +192,40 @@ def kpi_attrition(spark, sf):
 
 def kpi_salary_by_gender(spark, sf):
     t = sc.base_tables(spark, sf)
-    return kpi.salary_by_gender(t["fact_hr"], t["dim_employee"])
+    return _rounded(kpi.salary_by_gender(t["fact_hr"], t["dim_employee"]), "avg_salary")
 
 
 def kpi_expense_month_dept_type(spark, sf):
     t = sc.base_tables(spark, sf)
-    return kpi.expense_by_month_department_type(
-        t["fact_finance"], t["fact_hr"], t["dim_expensetype"], t["dim_department"])
+    return _rounded(kpi.expense_by_month_department_type(
+        t["fact_finance"], t["fact_hr"], t["dim_expensetype"], t["dim_department"]),
+        "total_expense")
 
 
 def kpi_expense_latest_assignment(spark, sf):
     t = sc.base_tables(spark, sf)
-    return kpi.expense_by_month_department_type(
+    return _rounded(kpi.expense_by_month_department_type(
         t["fact_finance"], t["fact_hr"], t["dim_expensetype"], t["dim_department"],
-        latest_assignment=True)
+        latest_assignment=True), "total_expense")
 
 
 def kpi_expense_month_type(spark, sf):
     t = sc.base_tables(spark, sf)
-    return kpi.expense_by_month_type(t["fact_finance"], t["dim_expensetype"])
+    return _rounded(kpi.expense_by_month_type(t["fact_finance"], t["dim_expensetype"]),
+                    "total_expense")
 
 
 def kpi_downtime(spark, sf):
     t = sc.base_tables(spark, sf)
-    return kpi.downtime_by_process_department(t["fact_operations"], t["dim_process"],
-                                              t["dim_department"])
+    return _rounded(kpi.downtime_by_process_department(
+        t["fact_operations"], t["dim_process"], t["dim_department"]), "total_downtime")
+
+
+def kpi_downtime_sorted(spark, sf):
+    """O2: the KPI in display order, with each row's place in it."""
+    shown = kpi.for_display(kpi_downtime(spark, sf), "processname", "department")
+    return shown.withColumn("place", F.row_number().over(
+        Window.orderBy("processname", "department")))
 
 
 # -- views, audit, checks, date dimension, pipeline -----------------------------
@@ -222,6 +242,28 @@ def audit_rows(spark, sf):
     return audit.select("id", "operation_type", "table_name", "row_count")
 
 
+def audit_listing_q(spark, sf):
+    """The trail newest first, with stamp and place in the list."""
+    listed = audit_listing(sc.incremental_tables(spark, sf, version=3)["audit_log"])
+    return listed.withColumn("place", F.row_number().over(
+        Window.orderBy(F.col("timestamp").desc(), F.col("id").desc())))
+
+
+def view_super_sql(spark, sf):
+    """V6: SQL over the registered views."""
+    views.register_views(spark, sc.base_tables(spark, sf))
+    return spark.sql("SELECT Source, count(*) AS n, count(employeeid) AS with_employee, "
+                     "min(datekey) AS first_key, max(datekey) AS last_key "
+                     "FROM view_super_user GROUP BY Source")
+
+
+def _domain_table(name, root=sc.domain_by_domain_root):
+    def q(spark, sf):
+        df = Warehouse(spark, root(spark, sf)).read(name)
+        return _select(df, schemas.WAREHOUSE[name])
+    return q
+
+
 def check_orphans(spark, sf):
     return checks.orphans(sc.base_tables(spark, sf))
 
@@ -295,6 +337,14 @@ QUERIES = {
     "view_operations": _view("Operations"),
     "view_super": _view("Super"),
     "audit_rows": audit_rows,
+    "audit_listing": audit_listing_q,
+    "view_super_sql": view_super_sql,
+    "kpi_downtime_sorted": kpi_downtime_sorted,
+    "hr_load_alone_scd2": _domain_table("dim_employee_scd2"),
+    "finance_load_alone": _domain_table("fact_finance"),
+    "operations_load_alone": _domain_table("fact_operations"),
+    "csv_load_finance": _domain_table("fact_finance", sc.csv_root),
+    "stream_hr_scd2": _domain_table("dim_employee_scd2", sc.streamed_hr_root),
     "check_orphans": check_orphans,
     "check_duplicate_keys": check_duplicate_keys,
     "dim_date": dim_date,

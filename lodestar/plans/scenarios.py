@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import lenient_timestamp
 from lodestar.operators.scd2 import apply_scd2_full, scd2_input
-from lodestar.plans.loads import run_all, run_domains, warehouse_tables
+from lodestar.plans.loads import (run_all, run_domains, run_finance, run_hr, run_operations,
+                                  warehouse_tables)
 from lodestar.session import scratch_path
 from lodestar.sources.fixtures import land_extracts
 from lodestar.sources.store import Warehouse
@@ -179,3 +180,57 @@ def streamed_finance_root(spark: SparkSession, sf_dir: str) -> str:
         load_new_extracts(spark, f"{landing}/*", "finance", root, ckpt)
         return root
     return _once(spark, sf_dir, "stream", build)
+
+
+STAMP = _dt.datetime(2024, 1, 1, 12, 0, 0)
+
+
+def domain_by_domain_root(spark: SparkSession, sf_dir: str) -> str:
+    """L1, L2 and L3 run alone, one commit each: HR with SCD2, finance,
+    operations."""
+    def build():
+        root = scratch_path(spark, "wh-domains")
+        raw = landed_extracts(spark, sf_dir)
+        wh = Warehouse(spark, root, new=True)
+        run_hr(wh, raw["hr"], as_of=DAY1, stamp=STAMP)
+        run_finance(wh, raw["finance"], stamp=STAMP)
+        run_operations(wh, raw["operations"], stamp=STAMP)
+        return root
+    return _once(spark, sf_dir, "domains", build)
+
+
+def csv_root(spark: SparkSession, sf_dir: str) -> str:
+    """HR by Parquet, then finance from CSV files whose columns stand in
+    another order, whose ids are written as decimals (as a column with blanks
+    is exported) and which have one column more."""
+    from lodestar.sources.extracts import read_extract, write_extract
+
+    def build():
+        root, landing = scratch_path(spark, "wh-csv"), scratch_path(spark, "landing-csv")
+        raw = landed_extracts(spark, sf_dir)
+        wh = Warehouse(spark, root, new=True)
+        run_hr(wh, raw["hr"], as_of=DAY1, stamp=STAMP)
+        f = raw["finance"]
+        shown = f.select(
+            *[c for c in reversed(f.columns) if c != "EmployeeID"],
+            F.col("EmployeeID").cast("decimal(20,1)").cast("string").alias("EmployeeID"),
+            F.concat(F.lit("R-"), F.coalesce("ExpenseAmount", F.lit("none"))).alias("ReceiptNo"))
+        write_extract(shown, landing, "csv")
+        run_finance(wh, read_extract(spark, landing, "finance", "csv"), stamp=STAMP)
+        return root
+    return _once(spark, sf_dir, "csv", build)
+
+
+def streamed_hr_root(spark: SparkSession, sf_dir: str) -> str:
+    """HR fed through the file-source stream as one landed extract in several
+    files: one load, with SCD2 at its end."""
+    from lodestar.sources.extracts import write_extract
+    from lodestar.streaming.incremental import load_new_extracts
+
+    def build():
+        root, landing = scratch_path(spark, "wh-stream-hr"), scratch_path(spark, "landing-hr")
+        write_extract(landed_extracts(spark, sf_dir)["hr"].repartition(3), landing, "parquet")
+        load_new_extracts(spark, landing, "hr", root, scratch_path(spark, "ckpt-hr"), as_of=DAY1,
+                          stamp=STAMP)
+        return root
+    return _once(spark, sf_dir, "stream-hr", build)
