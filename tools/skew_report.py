@@ -51,7 +51,6 @@ def main() -> None:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
-        "spark.lodestar.hotKeyRows": "10000",
         # small dimensions stay broadcast; dim_employee, which grows with the
         # data, is joined by shuffle as it would be at scale
         "spark.sql.autoBroadcastJoinThreshold": "8k",
