@@ -236,6 +236,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         ties = ties.join(to, F.col(end) == F.col("_id")).withColumn(end, F.col("_node")) \
             .drop("_id", "_node")
     tied = checkpointed(components(ties).withColumnRenamed("component", "tie"))
+    filter_.release()
 
     # blocks of a component of ties, and the pairs of blocks with near sizes
     cls = F.floor(F.ln(F.greatest("n_shingles", F.lit(1))) / F.lit(-np.log(percent / 100))

@@ -109,13 +109,29 @@ def _merge(levels: tuple[int, ...]):
 
 
 class Repeats:
-    """The merged sketch as one broadcast bit array per level and row."""
+    """The merged sketch as one broadcast bit array per level and row,
+    compressed on its way and on disk; a worker unpacks it once."""
+
+    _open: tuple[object, list[list[np.ndarray]]] | None = None
 
     def __init__(self, handle, bits: int):
         self._handle, self._bits = handle, bits
 
+    def _levels(self) -> list[list[np.ndarray]]:
+        packed = self._handle.value
+        if Repeats._open is None or Repeats._open[0] is not packed:
+            Repeats._open = None
+            unpack = zstandard.ZstdDecompressor().decompress
+            Repeats._open = (packed, [[np.frombuffer(unpack(r), np.uint8) for r in rows]
+                                      for rows in packed])
+        return Repeats._open[1]
+
+    def release(self) -> None:
+        """Drop the executors' copies, once nothing uses the filter any more."""
+        self._handle.unpersist()
+
     def _reached(self, hashes: np.ndarray, level: int) -> np.ndarray:
-        rows = self._handle.value[level]
+        rows = self._levels()[level]
         out = np.ones(len(hashes), bool)
         for row in range(ROWS):
             at = np.flatnonzero(out)
@@ -131,7 +147,7 @@ class Repeats:
         """How many of the levels each item is estimated to reach."""
         out = np.zeros(len(hashes), np.int8)
         at = np.arange(len(hashes))
-        for level in range(len(self._handle.value)):
+        for level in range(len(self._levels())):
             at = at[self._reached(hashes[at], level)]
             out[at] += 1
         return out
@@ -149,4 +165,7 @@ def repeats(df: DataFrame, items_of: Callable, items: int, levels: tuple[int, ..
     for r in slabs.collect():
         part = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), np.uint8)
         found[r["level"]][r["row"]][r["slab"] * size:(r["slab"] + 1) * size] = part
-    return Repeats(df.sparkSession.sparkContext.broadcast(found), bits)
+    packed = []
+    while found:   # one array at a time, so the driver holds few of them twice
+        packed.append([zstandard.ZstdCompressor(level=1).compress(a.data) for a in found.pop(0)])
+    return Repeats(df.sparkSession.sparkContext.broadcast(packed), bits)
