@@ -49,7 +49,7 @@ def op2_html(spark, sf_dir):
 
 def op1_substrings(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return substrings.remove_repeats(docs).drop("kept")
+    return substrings.remove_repeats(docs, with_text=False)
 
 
 def op9_suffix(spark, sf_dir):

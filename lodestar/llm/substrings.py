@@ -180,7 +180,7 @@ def _covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def _removed(filter_: Repeats, window: int):
+def _removed(filter_: Repeats, window: int, with_text: bool):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, firsts: pa.Table) -> pa.Table:
         if firsts.num_rows:
             got = [_columns(b.as_py(), "<i8", "<u4") for b in firsts["firsts"]]
@@ -214,19 +214,20 @@ def _removed(filter_: Repeats, window: int):
                     k = kept[lo[i]:lo[i + 1]]
                     text = b" ".join([raw[a:b] for a, b in zip(w0[k].tolist(), w1[k].tolist())])
                     out.append((shown[rows][i], int(first[i + 1] - first[i]), int(n_gone[i]),
-                                hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
+                                hashlib.sha256(text).hexdigest(),
+                                text.decode("utf-8", "replace") if with_text else None))
         cols = list(zip(*out)) or [[]] * 5
-        return pa.table({"doc_id": pa.array(cols[0], pa.int64()),
-                         "n_words": pa.array(cols[1], pa.int64()),
-                         "n_removed": pa.array(cols[2], pa.int64()),
-                         "kept_sha256": pa.array(cols[3], pa.string()),
-                         "kept": pa.array(cols[4], pa.string())})
+        kinds = [pa.int64()] * 3 + [pa.string()] * 2
+        t = pa.table([pa.array(c, k) for c, k in zip(cols, kinds)],
+                     names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+        return t if with_text else t.drop_columns("kept")
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) per row of ``docs``
-    (doc_id, text); ``kept`` is the text left, its words joined by a space."""
+    (doc_id, text); ``kept``, if asked for, is the text left, its words joined
+    by a space."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_bytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_words = n_bytes // 4  # an upper guess; only the sketch's width follows it
@@ -236,4 +237,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     firsts = (d.mapInArrow(_entries(filter_, window, buckets), ENTRIES)
               .groupBy("bucket").applyInArrow(_firsts(blocks), FIRSTS))
     return (d.withColumn("block", block_column(F.col("doc_id"), blocks)).groupBy("block").cogroup(firsts.groupBy("block"))
-            .applyInArrow(_removed(filter_, window), RESULT + ", kept string"))
+            .applyInArrow(_removed(filter_, window, with_text),
+                          RESULT + ", kept string" * with_text))
