@@ -141,10 +141,13 @@ def _bundle(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
 def fit(train: DataFrame, train_per_lang: int = TRAIN_PER_LANG) -> dict[str, np.ndarray]:
     """Prototype of each language from (doc_id, text, lang)."""
     rows = train.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("n"))
-    chosen = (rows.join(n, F.col("lang") == F.col("_lang"))
-              .where(F.coalesce(uniform(F.col("doc_id")), F.lit(0.0))
-                     < F.lit(float(train_per_lang)) / F.col("n"))
+    # one number per language, as later one vector: texts are not shuffled
+    shares = [F.lit(x) for r in rows.groupBy("lang").count().collect()
+              for x in (r["lang"], float(train_per_lang) / r["count"])]
+    if not shares:
+        return {}
+    chosen = (rows.where(F.coalesce(uniform(F.col("doc_id")), F.lit(0.0))
+                         < F.try_element_at(F.create_map(*shares), F.col("lang")))
               .select("text", "lang"))
     sums = chosen.mapInArrow(_sums, "lang string, vec binary")
     return {r["lang"]: np.frombuffer(r["vec"], "<f8") for r in
