@@ -7,8 +7,14 @@ headers, footers, sidebars, notices, adverts, forms, scripts, reader comments
 a part with most of the page's text. For every remaining node the
 link-adjusted density is its characters per tag, scaled by the logarithm of
 how far characters and tags are not links; the node whose children's densities
-have the largest sum is the article. Parts beside the path from it to the body
-are added if they are at least as dense as every node on that path.
+have the largest sum is where the article is. Parts beside the path from it to
+the body belong to it if they are at least as dense as the least dense node of
+that path (the body, as a rule). The choice is lifted to the node that holds
+them all: of an <article> or <main> all is taken, of another node what lies
+from the first to the last such part, headings above and paragraphs below
+included, blocks of links between them left out. A choice inside an <article>
+is always lifted to it; what is not an <article> and stands beside one must be
+as dense as every node of the path.
 
 All text of the chosen nodes is kept, whole, one line per block: character
 references decoded, white space (that of str.split) turned into one space.
@@ -57,6 +63,8 @@ OUT_WORDS = re.compile(
     r"footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pager|"
     r"pagination|popup|promo|promoted|recommended|related|respond|share|sharing|sidebar|social|"
     r"sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+FLOW = HEADINGS | frozenset("p ul ol dl pre blockquote figure hr".split())
 KEEP_TAGS = frozenset("html body main article".split())
 E = math.e
 
@@ -199,7 +207,14 @@ def _measure(nodes: list[Node]) -> None:
             n.parent.total += n.density
 
 
-def _chosen(nodes: list[Node]) -> list[Node]:
+def _flow(k) -> bool:
+    """Text, a heading, a paragraph or a list that is not mostly links."""
+    if isinstance(k, str):
+        return True
+    return (k.tag in FLOW or k.tag in INLINE) and 2 * k.link_chars <= k.chars
+
+
+def _chosen(nodes: list[Node]) -> list:
     # a block of text is not split: only nodes that hold blocks are compared
     holders = {id(n.parent): n.parent for n in nodes[1:] if n.tag not in INLINE}
     best = max(holders.values(), key=lambda n: n.total, default=nodes[0])
@@ -207,12 +222,40 @@ def _chosen(nodes: list[Node]) -> list[Node]:
     while n is not None:
         path.append(n)
         n = n.parent
-    threshold = max(n.density for n in path)
-    out = {id(best)}
-    for child, parent in zip(path, path[1:]):
-        out |= {id(k) for k in parent.kids if not isinstance(k, str) and k is not child
-                and k.density >= threshold > 0 and k.tag not in INLINE}
-    return [n for n in nodes if id(n) in out]
+    threshold, most, dense = min(n.density for n in path), max(n.density for n in path), set()
+    article = False
+    for n, parent in zip(path, path[1:]):
+        article |= n.tag == "article"
+        dense |= {id(k) for k in parent.kids if not isinstance(k, str) and k.tag not in INLINE
+                  and k.density >= (most if article and k.tag != "article" else threshold) > 0}
+    # the highest node with a dense part beside the path, or the article around the choice
+    top = 0
+    for i in range(1, len(path)):
+        beside = any(id(k) in dense and k is not path[i - 1] for k in path[i].kids)
+        if beside or path[i].tag == "article" and "article" not in [n.tag for n in path[:i]]:
+            top = i
+    if path[top].tag in ("article", "main"):
+        return [path[top]]
+    # nothing beside the choice: only a heading may still stand above it
+    alone = top == 0
+    if alone and len(path) > 1:
+        top = 1
+    if top == 0:
+        return [best]
+    kids = path[top].kids
+    at = [i for i, k in enumerate(kids) if k is path[top - 1] or not alone and id(k) in dense]
+    first, last = at[0], at[-1]
+    for i in range(first - 1, -1, -1):
+        if not _flow(kids[i]):
+            break
+        if not isinstance(kids[i], str) and kids[i].tag in HEADINGS:
+            first = i
+    while not alone and path[top].parent is not None and last + 1 < len(kids) \
+            and _flow(kids[last + 1]):
+        last += 1
+    # between two parts only what is mostly links is no part of the article
+    return [k for i, k in enumerate(kids[first:last + 1], first) if i in at or isinstance(k, str)
+            or 2 * k.link_chars <= k.chars]
 
 
 def _blocks(node: Node) -> list[str]:
@@ -250,18 +293,9 @@ def main_text(page: str | None) -> str:
     nodes = _order(root)
     _measure(nodes)
     chosen = _chosen(nodes)
-    if len(chosen) == 1:
-        return "\n".join(_blocks(chosen[0]))
-    # in page order, through the tree
-    ids = {id(n) for n in chosen}
-    lines, todo = [], [root]
-    while todo:
-        n = todo.pop()
-        if id(n) in ids:
-            lines += _blocks(n)
-        else:
-            todo.extend(k for k in reversed(n.kids) if not isinstance(k, str))
-    return "\n".join(lines)
+    whole = Node("body", None)
+    whole.kids = chosen
+    return "\n".join(_blocks(whole))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,6 +32,33 @@ def test_html_cases():
     assert m("<article><p>" + "word " * 50_000 + "</article>").count("word") == 50_000
 
 
+def _paragraphs(n, chars):
+    return "".join(f"<p>{'word ' * (chars // 5)}</p>" for _ in range(n))
+
+
+def test_html_articles_of_many_sections():
+    m = html_text.main_text
+    sections = (f"<h1>Title</h1><section>{_paragraphs(5, 300)}</section><h2>Between</h2>"
+                f"<section>{_paragraphs(4, 300)}</section>")
+    for page in (f"<article>{sections}</article>", f"<div>{sections}</div>", sections,
+                 f"<div class=page><div>{sections}</div></div><div><a href=1>More of the site</a></div>",
+                 f"<main>{sections}</main>", sections.replace("section>", "div>")):
+        got = m(f"<body>{page}</body>").split("\n")
+        assert got[0] == "Title" and got[6] == "Between" and len(got) == 11, page
+    # a list that outweighs the paragraphs around it
+    items = "".join(f"<li>{'item ' * 80}</li>" for _ in range(8))
+    for tag in ("article", "div"):
+        got = m(f"<{tag}><h1>T</h1>{_paragraphs(2, 300)}<ul>{items}</ul>{_paragraphs(2, 300)}"
+                f"<p>The end.</p></{tag}><div><a href=1>x y</a> <a href=2>z</a></div>").split("\n")
+        assert (got[0], got[-1], len(got)) == ("T", "The end.", 14)
+    # links between sections and text beside the article are no part of it
+    assert m(f"<div><div>{_paragraphs(5, 300)}</div><div><a href=1>read this too</a></div>"
+             f"<div>{_paragraphs(4, 300)}</div></div><p>Copyright</p>").count("\n") == 8
+    beside = f"<article>{_paragraphs(5, 300)}</article><div><div>{_paragraphs(2, 200)}</div></div>"
+    assert m(beside).count("\n") == 4
+    assert m(f"<h1>T</h1><div>{_paragraphs(3, 300)}</div>").startswith("T\nword")
+
+
 def test_html_pages(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)],
                                "page_id long, url string, html string").withColumn("text", F.lit(1))
