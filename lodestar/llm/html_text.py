@@ -3,8 +3,10 @@
 A page is parsed into a tree of elements (unclosed and stray tags as browsers
 take them, where text is concerned). Parts that say what they are - menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, reader comments
-- are taken out by tag, role, class or id; a class or id alone never takes out
-a part with most of the page's text. For every remaining node the
+- are taken out by tag, role, class or id, at any length. A class or id alone
+does not take out the only part with a title, a main or an article with a
+heading, nor the largest part if all else on the page is links and headings.
+For every remaining node the
 link-adjusted density is its characters per tag, scaled by the logarithm of
 how far characters and tags are not links; the node whose children's densities
 have the largest sum is where the article is. Parts beside the path from it to
@@ -26,6 +28,7 @@ is no text; repeated rows and null ids are ordinary; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -65,18 +68,21 @@ OUT_WORDS = re.compile(
     r"sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 FLOW = HEADINGS | frozenset("p ul ol dl pre blockquote figure hr".split())
+# Words of a layout that only say whether such a part is on the page.
+LAYOUT = re.compile(r"(?<![^\s_-])(?:has|with|without|no)[_-][\w-]*")
 KEEP_TAGS = frozenset("html body main article".split())
 E = math.e
 
 
 class Node:
     __slots__ = ("tag", "parent", "kids", "out", "own", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total")
+                 "density", "total", "core")
 
     def __init__(self, tag, parent):
         self.tag, self.parent, self.kids, self.out, self.own = tag, parent, [], 0, 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.core = 0  # 2: holds a title, a main or an article with a heading; 1: a heading
 
 
 def _marked(tag: str, attrs: str, inside: bool) -> int:
@@ -92,7 +98,7 @@ def _marked(tag: str, attrs: str, inside: bool) -> int:
                 name == "aria-hidden" and value == "true" or \
                 name == "style" and "display:none" in value.replace(" ", ""):
             return 2
-        if name in ("class", "id") and OUT_WORDS.search(value):
+        if name in ("class", "id") and OUT_WORDS.search(LAYOUT.sub("", value)):
             mark = 1
     return mark
 
@@ -168,17 +174,57 @@ def _order(root: Node) -> list[Node]:
 
 
 def _prune(root: Node) -> None:
+    """Takes out marked parts by what remains without them."""
     nodes = _order(root)
     if not any(n.out for n in nodes):
         return
+    for n in nodes:
+        n.kids = [k for k in n.kids if isinstance(k, str) or k.out != 2]
+    nodes = _order(root)
     for n in reversed(nodes):
         n.chars += n.own
+        # reader comments are articles too, but without a heading
+        if n.chars and (n.tag in ("main", "h1") or n.tag == "article" and n.core):
+            n.core = 2
+        elif n.chars and n.tag in HEADINGS and n.tag != "header":
+            n.core = max(n.core, 1)
         if n.parent is not None:
             n.parent.chars += n.chars
-    whole = root.chars
+            n.parent.core = max(n.parent.core, n.core)
+    chars, core, marked = 0, False, []
+
+    def open_up(part: Node) -> list[Node]:
+        """Counts what is outside the marked parts of ``part``, which are returned."""
+        nonlocal chars, core
+        part.out, todo, found = 0, [(part, False, True)], []
+        while todo:
+            n, title, plain = todo.pop()
+            if n.out:
+                found.append(n)
+                continue
+            title = title or n.tag in ("main", "h1") or n.tag == "article" and n.core > 1
+            plain = plain and n.tag != "a" and n.tag not in HEADINGS
+            core = core or title and n.own > 0
+            chars += n.own * plain
+            todo.extend((k, title, plain) for k in n.kids if not isinstance(k, str))
+        return found
+
+    # marked parts around the only title or article are wrappers of it
+    new = open_up(root)
+    while new:
+        around, wrappers = not core, []
+        for n in new:
+            (wrappers if around and n.core > 1 else marked).append(n)
+        new = [k for n in wrappers for k in open_up(n)]
+    # if all else is links and headings, the largest marked part is not taken out
+    heap = [(-n.chars, i, n) for i, n in enumerate(marked)]
+    heapq.heapify(heap)
+    while not chars and heap and heap[0][2].chars:
+        for n in open_up(heapq.heappop(heap)[2]):
+            heapq.heappush(heap, (-n.chars, len(marked), n))
+            marked.append(n)
     for n in nodes:
-        n.kids = [k for k in n.kids if isinstance(k, str) or not (
-            k.out == 2 or k.out == 1 and 2 * k.chars <= whole)]
+        n.kids = [k for k in n.kids if isinstance(k, str) or not k.out]
 
 
 def _measure(nodes: list[Node]) -> None:

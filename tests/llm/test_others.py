@@ -59,6 +59,24 @@ def test_html_articles_of_many_sections():
     assert m(f"<h1>T</h1><div>{_paragraphs(3, 300)}</div>").startswith("T\nword")
 
 
+def test_html_marked_parts_go_at_any_length():
+    m = html_text.main_text
+    said = "".join(f"<div class=item><p>{'said ' * 20}</p></div>" for _ in range(20))
+    for mark in ("id=comments", "class='post-comments'", "class=sidebar", "class='cookie notice'",
+                 "class=related-posts"):
+        for article in (f"<article>{_paragraphs(1, 500)}</article>", f"<div>{_paragraphs(1, 500)}</div>"):
+            got = m(f"<body>{article}<div {mark}>{said}</div>")
+            assert "said" not in got and got.count("word") == 100, mark
+    # what is around the article, or the only text, is not taken out by its class
+    for page in (f"<div class='layout sidebar'><main>{_paragraphs(2, 300)}</main></div><p>Copyright</p>",
+                 f"<div class='has-sidebar'>{_paragraphs(2, 300)}</div><div class=sidebar>{said}</div>",
+                 f"<h1>T</h1><a href=1>Home</a><div class=widget>{_paragraphs(2, 300)}</div>",
+                 f"<div class=widget>{_paragraphs(2, 300)}<div class=comments>said</div></div>"):
+        got = m(page)
+        assert "said" not in got and "Copyright" not in got and got.count("word") == 120, page
+    assert m("<div class=sidebar>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+
+
 def test_html_pages(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)],
                                "page_id long, url string, html string").withColumn("text", F.lit(1))
