@@ -5,7 +5,9 @@ take them, where text is concerned). Parts that say what they are - menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, reader comments
 - are taken out by tag, role, class or id, at any length. A class or id alone
 does not take out the only part with a title, a main or an article with a
-heading, nor the largest part if all else on the page is links and headings.
+heading, nor the largest part if all else on the page is links and headings;
+the same holds for forms, dialogs and objects. A form around most paragraphs,
+or around headings and most of the text, only loses its controls and labels.
 For every remaining node the
 link-adjusted density is its characters per tag, scaled by the logarithm of
 how far characters and tags are not links; the node whose children's densities
@@ -57,10 +59,15 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "option": ({"option"}, {"select"})}
 # Parts that are not the article, by tag, role, and words of class or id.
-OUT_TAGS = frozenset("nav footer aside form button select dialog menu object embed canvas "
-                     "fieldset head".split())
-OUT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog "
-                      "form menu menubar".split())
+OUT_TAGS = frozenset("nav footer aside button select menu embed canvas head".split())
+OUT_ROLES = frozenset("navigation banner contentinfo complementary menu menubar".split())
+# Parts that may be around the article, looked into before they go.
+FORM_TAGS = frozenset("form fieldset".split())
+FORM_ROLES = frozenset("form search".split())
+BOX_TAGS = frozenset("dialog object".split())
+BOX_ROLES = frozenset("alert alertdialog dialog".split())
+CONTROLS = frozenset("label legend option optgroup datalist output".split())
+FIELDS = frozenset("input select textarea button label".split())
 OUT_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|"
     r"footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pager|"
@@ -76,30 +83,38 @@ E = math.e
 
 class Node:
     __slots__ = ("tag", "parent", "kids", "out", "own", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total", "core")
+                 "density", "total", "core", "form", "field", "text", "para")
 
     def __init__(self, tag, parent):
         self.tag, self.parent, self.kids, self.out, self.own = tag, parent, [], 0, 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        self.core = 0  # 2: holds a title, a main or an article with a heading; 1: a heading
+        self.core = 0  # it holds 3: a main or an article with a heading; 2: a title; 1: a heading
+        self.form = self.field = False
+        self.text = self.para = 0  # characters but links and controls, and in paragraphs
 
 
 def _marked(tag: str, attrs: str, inside: bool) -> int:
-    """2: not the article by tag or role, 1: by class or id, 0: neither."""
+    """2: not the article by tag or role, 4: a box, 3: a form, 1: by class or
+    id, 0: none of these."""
     if tag in OUT_TAGS or (tag == "header" and not inside):
         return 2
-    if tag in KEEP_TAGS or not attrs:
+    if tag in KEEP_TAGS:
         return 0
-    mark = 0
+    mark = 3 if tag in FORM_TAGS else 4 if tag in BOX_TAGS else 0
     for m in ATTR.finditer(attrs):
         name, value = m["name"].lower(), (m["a"] or m["b"] or m["c"] or "").lower()
-        if name == "role" and value.strip() in OUT_ROLES or name == "hidden" or \
+        role = value.strip() if name == "role" else ""
+        if role in OUT_ROLES or name == "hidden" or \
                 name == "aria-hidden" and value == "true" or \
                 name == "style" and "display:none" in value.replace(" ", ""):
             return 2
-        if name in ("class", "id") and OUT_WORDS.search(LAYOUT.sub("", value)):
-            mark = 1
+        if role in FORM_ROLES:
+            mark = mark or 3
+        elif role in BOX_ROLES:
+            mark = 4
+        elif name in ("class", "id") and OUT_WORDS.search(LAYOUT.sub("", value)):
+            mark = mark if mark == 4 else 1
     return mark
 
 
@@ -179,29 +194,45 @@ def _prune(root: Node) -> None:
     if not any(n.out for n in nodes):
         return
     for n in nodes:
-        n.kids = [k for k in n.kids if isinstance(k, str) or k.out != 2]
+        n.form = n.out == 3 or n.tag in FORM_TAGS or n.parent is not None and n.parent.form
+        gone = {id(k) for k in n.kids if not isinstance(k, str)
+                and (k.out == 2 or n.form and k.tag in CONTROLS)}
+        n.field = any(id(k) in gone and k.tag in FIELDS for k in n.kids) or n.tag in FIELDS
+        n.kids = [k for k in n.kids if id(k) not in gone]
     nodes = _order(root)
     for n in reversed(nodes):
         n.chars += n.own
         # reader comments are articles too, but without a heading
-        if n.chars and (n.tag in ("main", "h1") or n.tag == "article" and n.core):
-            n.core = 2
+        if n.chars and (n.tag == "main" or n.tag == "article" and n.core):
+            n.core = 3
         elif n.chars and n.tag in HEADINGS and n.tag != "header":
-            n.core = max(n.core, 1)
+            n.core = max(n.core, 2 if n.tag == "h1" else 1)
+        n.text = 0 if n.tag == "a" else n.text + n.own
+        if n.tag == "p":
+            n.para = 0 if n.field else n.text
         if n.parent is not None:
             n.parent.chars += n.chars
             n.parent.core = max(n.parent.core, n.core)
+            n.parent.field |= n.field
+            if n.out not in (1, 4):
+                n.parent.text += n.text
+                n.parent.para += n.para
     chars, core, marked = 0, False, []
 
+    def around(n: Node) -> bool:
+        """A form around most paragraphs, or around headings and most text."""
+        return n.out == 3 and (2 * n.para > root.para or n.core > 0 and 2 * n.text > root.text)
+
     def open_up(part: Node) -> list[Node]:
         """Counts what is outside the marked parts of ``part``, which are returned."""
         nonlocal chars, core
         part.out, todo, found = 0, [(part, False, True)], []
         while todo:
             n, title, plain = todo.pop()
-            if n.out:
+            if n.out and not around(n):
                 found.append(n)
                 continue
+            n.out = 0
             title = title or n.tag in ("main", "h1") or n.tag == "article" and n.core > 1
             plain = plain and n.tag != "a" and n.tag not in HEADINGS
             core = core or title and n.own > 0
@@ -212,9 +243,9 @@ def _prune(root: Node) -> None:
     # marked parts around the only title or article are wrappers of it
     new = open_up(root)
     while new:
-        around, wrappers = not core, []
+        sole, wrappers = not core, []
         for n in new:
-            (wrappers if around and n.core > 1 else marked).append(n)
+            (wrappers if sole and n.core > (2 if n.out == 4 else 1) else marked).append(n)
         new = [k for n in wrappers for k in open_up(n)]
     # if all else is links and headings, the largest marked part is not taken out
     heap = [(-n.chars, i, n) for i, n in enumerate(marked)]

@@ -77,6 +77,28 @@ def test_html_marked_parts_go_at_any_length():
     assert m("<div class=sidebar>" * 5000 + "deep" + "</div>" * 5000) == "deep"
 
 
+def test_html_page_inside_a_form():
+    m = html_text.main_text
+    fields = ("<label>Search</label><input name=q><button>Go</button><select><option>one</select>"
+              "<textarea>typed</textarea>")
+    article = f"<h1>T</h1>{_paragraphs(3, 300)}"
+    want = m(article)
+    assert want.count("word") == 180 and want.startswith("T\n")
+    for body in (article, f"<article>{article}</article>", f"<main>{article}</main>",
+                 article.replace("h1", "h2"), f"<div>{article}</div>"):
+        for a, b in (("<form method=post>", "</form>"), ("<div role=form>", "</div>"),
+                     ("<form><fieldset><legend>Name</legend>", "</fieldset></form>"),
+                     ("<object>", "</object>"), ("<dialog open>", "</dialog>")):
+            assert m(f"<body>{a}{fields if 'f' in a else ''}{body}{b}</body>") == want, (a, body)
+    assert m(f"<form>{fields}{article}<div class=comments>{_paragraphs(9, 300)}</div></form>"
+             "<div>Copyright</div>") == want
+    # without paragraphs and headings; forms that are only forms; a notice longer than the article
+    assert m(f"<form><div>{'word ' * 50}</div>{fields}</form>").count("word") == 50
+    assert m(f"<form>{fields}</form>") == ""
+    assert m(f"<div>{article}</div><form><h3>Leave a reply</h3><p>Your name <input></p></form>") == want
+    assert m(f"{article}<dialog><h1>Notice</h1>{_paragraphs(9, 300)}</dialog>") == want
+
+
 def test_html_pages(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)],
                                "page_id long, url string, html string").withColumn("text", F.lit(1))
