@@ -2,8 +2,12 @@
 
 Documents of equal text are linked. Every linked document starts in a shard
 given by its id; in each round a group's documents move to the shard that
-already holds most of it, as far as that shard's quota allows. A group is
-seen through its (group, shard) counts, so neither the links within it nor
+already holds most of it (of equal ones, any by a hash), as far as that shard's
+quota allows: what two shards want of each other is swapped, the rest goes into
+free room. Rounds go on while the number of documents outside their group's
+main shard falls by a tenth; groups still apart then (larger than what is free,
+or than a shard) go there whole and the final cut makes the counts equal. A
+group is seen through its (group, shard) counts, so neither the links within it nor
 its members meet in one task: counting combines map-side, the join of members
 to their group's target is a plain join that AQE splits when a group is hot,
 and quotas are kept through a histogram of gains with a fixed number of bins.
@@ -12,8 +16,8 @@ linked ones leave free.
 
 Last, documents are laid out by (shard label, slice) and cut into shards of
 exactly equal counts. A label's linked documents lie between two halves of
-its unlinked ones, so the cut corrects small differences without parting
-groups. Slices hold a bounded share of rows (a hot group gets several), and
+its unlinked ones, so the cut corrects differences, and a cut between two
+shards parts one group at most. Slices hold a bounded share of rows (a hot group gets several), and
 only one row per slice meets in one task to give each slice its offset.
 
 Law ``rows``: counts differ by at most one. ``grown_shard`` is null under it.
@@ -30,48 +34,77 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.tables import checkpointed, uniform
 
-ROUNDS = 3
 GAIN_BINS = 64
 SLICES_PER_PARTITION = 4
 
 
-def _round(linked: DataFrame, shards: int, quota: int) -> DataFrame:
-    """One propagation step over (…, grp, n_grp, label)."""
-    counts = linked.groupBy("grp", "label").agg(F.count("*").alias("n"))
-    best = (counts.groupBy("grp")
-            .agg(F.max(F.struct("n", (-F.col("label")).alias("neg"))).alias("b"))
+def _best(counts: DataFrame, salt: int) -> DataFrame:
+    """Per group the shard with most of it; ties are spread by a hash."""
+    tie = F.xxhash64("grp", "label", F.lit(salt))
+    return (counts.groupBy("grp")
+            .agg(F.max(F.struct("n", tie.alias("tie"), "label")).alias("b"))
             .select(F.col("grp").alias("_g"), F.col("b.n").alias("best_n"),
-                    (-F.col("b.neg")).alias("best")))
+                    F.col("b.label").alias("best")))
+
+
+def _round(linked: DataFrame, counts: DataFrame, quota: int, salt: int) -> DataFrame:
+    """One propagation step over (…, grp, n_grp, label) and its (grp, label, n)."""
     # gain of a move: neighbours in the new shard less those in the old one
-    moves = (counts.join(best, F.col("grp") == F.col("_g")).where(F.col("label") != F.col("best"))
-             .select("best", "n", F.floor(4 * F.log2(F.col("best_n") - F.col("n") + 1.0))
-                     .cast("int").alias("bin0"))
-             .withColumn("bin", F.least(F.col("bin0"), F.lit(GAIN_BINS - 1)))
-             .groupBy("best", "bin").agg(F.sum("n").alias("want")))
-    load = counts.groupBy("label").agg(F.sum("n").alias("load"))
-    above = Window.partitionBy("best").orderBy(F.col("bin").desc()) \
+    wish = (counts.join(_best(counts, salt), F.col("grp") == F.col("_g"))
+            .where(F.col("label") != F.col("best"))
+            .select(F.col("_g").alias("_go"), F.col("label").alias("_l"), "best", "n", F.least(
+                F.floor(4 * F.log2(F.col("best_n") - F.col("n") + 1.0)).cast("int"),
+                F.lit(GAIN_BINS - 1)).alias("bin")))
+    moves = wish.groupBy("_l", "best", "bin").agg(F.sum("n").alias("want"))
+    # what two shards want of each other is swapped, the rest goes into free room
+    flow = moves.groupBy("_l", "best").agg(F.sum("want").alias("flow"))
+    back = flow.select(F.col("_l").alias("best"), F.col("best").alias("_l"),
+                       F.col("flow").alias("back"))
+    load = counts.groupBy(F.col("label").alias("best")).agg(F.sum("n").alias("load"))
+    rest = F.col("flow") - F.col("swap")
+    room = F.greatest(F.lit(0), F.lit(quota) - F.coalesce("load", F.lit(0)))
+    flow = (flow.join(back, ["_l", "best"], "left").join(load, "best", "left")
+            .withColumn("swap", F.least("flow", F.coalesce("back", F.lit(0))))
+            .withColumn("rest", F.sum(rest).over(Window.partitionBy("best")))
+            .select("_l", "best", (F.col("swap") + rest * F.least(F.lit(1.0), room / F.greatest(
+                F.lit(1), F.col("rest")))).alias("admitted")))
+    above = Window.partitionBy("_l", "best").orderBy(F.col("bin").desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     admit = (moves.withColumn("ahead", F.coalesce(F.sum("want").over(above), F.lit(0)))
-             .join(load, F.col("best") == F.col("label"), "left")
-             .select(F.col("best").alias("_t"), F.col("bin").alias("_bin"), F.greatest(
-                 F.lit(0.0), F.least(F.lit(1.0), (
-                     F.lit(quota) - F.coalesce("load", F.lit(0)) - F.col("ahead"))
-                     / F.col("want"))).alias("share")))
-    own = counts.select(F.col("grp").alias("_go"), F.col("label").alias("_l"), F.col("n").alias("own_n"))
-    target = (own.join(best, F.col("_go") == F.col("_g"))
-              .where(F.col("_l") != F.col("best"))
-              .withColumn("_b", F.least(F.floor(4 * F.log2(F.col("best_n") - F.col("own_n") + 1.0))
-                                        .cast("int"), F.lit(GAIN_BINS - 1)))
-              .join(admit, (F.col("best") == F.col("_t")) & (F.col("_b") == F.col("_bin")))
-              .select("_go", "_l", "best", "share"))
+             .join(flow, ["_l", "best"])
+             .select("_l", "best", "bin", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (
+                 F.col("admitted") - F.col("ahead")) / F.col("want"))).alias("share")))
+    target = wish.join(admit, ["_l", "best", "bin"]).select("_go", "_l", "best", "share")
     moved = linked.join(target, (F.col("grp") == F.col("_go")) & (F.col("label") == F.col("_l")),
                         "left")
-    go = uniform(F.col("doc_id"), F.col("label"), F.lit("move")) < F.col("share")
+    go = uniform(F.col("doc_id"), F.col("grp"), F.lit("move"), F.lit(salt)) < F.col("share")
     return moved.withColumn("label", F.when(go, F.col("best")).otherwise(F.col("label"))) \
         .select(*linked.columns)
 
 
-def shard(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS) -> DataFrame:
+def _propagate(linked: DataFrame, quota: int, rounds: int | None = None) -> DataFrame:
+    """Rounds while the documents outside their group's main shard fall by a
+    tenth; then the groups still apart go there whole."""
+    salt, before = 0, None
+    while True:
+        counts = checkpointed(linked.groupBy("grp", "label").agg(F.count("*").alias("n")))
+        outside = counts.groupBy("grp").agg((F.sum("n") - F.max("n")).alias("n")) \
+            .agg(F.sum("n")).first()[0] or 0
+        if not outside:
+            return linked
+        if salt == rounds or before is not None and 10 * outside > 9 * before:
+            break
+        linked, before = checkpointed(_round(linked, counts, quota, salt)), outside
+        salt += 1
+    # only groups that are apart are joined
+    apart = _best(counts, salt).join(
+        counts.groupBy(F.col("grp").alias("_go")).agg(F.count("*").alias("labels"))
+        .where("labels > 1"), F.col("_g") == F.col("_go"), "left_semi").select("_g", "best")
+    return checkpointed(linked.join(apart, F.col("grp") == F.col("_g"), "left")
+                        .withColumn("label", F.coalesce("best", "label")).select(*linked.columns))
+
+
+def shard(docs: DataFrame, shards: int = 16, rounds: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row of
     ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -91,8 +124,7 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS) -> DataFrame:
     d = checkpointed(d.join(groups, F.col("grp") == F.col("_grp"), "left").drop("_grp")
                      .withColumn("label", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")))
     linked, loose = d.where("n_grp is not null"), d.where("n_grp is null")
-    for _ in range(rounds):
-        linked = checkpointed(_round(linked, shards, -(-total // shards)))
+    linked = _propagate(linked, -(-total // shards), rounds)
 
     # unlinked documents fill the quotas; one row per shard is read here
     held = {r["label"]: r["n"] for r in

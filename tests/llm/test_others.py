@@ -311,3 +311,19 @@ def test_sharding_keeps_groups_together(spark):
     assert len(where["hot"]) < 16
     counts = collections.Counter(r.shard for r in got)
     assert max(counts.values()) - min(counts.values()) <= 1
+
+
+@pytest.mark.parametrize("copies, lone", [(2, 0), (2, 450), (5, 0)])
+def test_sharding_of_a_table_of_copies(spark, copies, lone):
+    rows = [(i, f"text {i // copies}") for i in range(4000)] + \
+        [(9000 + i, f"lone {i}") for i in range(lone)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == sorted(x for x, _ in rows)
+    counts = collections.Counter(r.shard for r in got)
+    assert len(counts) == 16 and max(counts.values()) - min(counts.values()) <= 1
+    where = collections.defaultdict(set)
+    for r in got:
+        if r.doc_id < 9000:
+            where[r.doc_id // copies].add(r.shard)
+    # a cut between two shards parts one group at most
+    assert sum(len(v) - 1 for v in where.values()) <= 15
