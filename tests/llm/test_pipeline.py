@@ -65,3 +65,39 @@ def test_empty_table(spark, no_docs):
     for _, f in p.STAGES:
         d = f(spark, d, None)
     assert d.count() == 0
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _rows(*rows):
+    return [(i, t, None, s, len(t)) for i, t, s in rows]
+
+
+def test_language_stage_without_labels(spark):
+    d = spark.createDataFrame(_rows((1, "some words", "a"), (2, "12 34", "a"), (3, "\u4e2d", "a")), SCHEMA)
+    assert sorted(r.doc_id for r in p.language_id(spark, d, None).collect()) == [1, 3]
+
+
+def test_near_duplicates_of_rows_without_own_ids(spark):
+    texts = [" ".join(f"{w}{k}" for w in "abcdefghijklmnopqrst") for k in range(5)]
+    d = spark.createDataFrame(_rows((7, texts[0], "a"), (7, texts[1], "a"), (None, texts[2], "b"),
+                                    (None, texts[3], "b"), (None, texts[0], "b"), (9, texts[4], "a"),
+                                    (8, texts[4], "a"), (None, "", "c")), SCHEMA)
+    got = [(r.doc_id, r.text, r.source) for r in p.near_duplicates(spark, d, None).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(7, texts[0], "a"), (7, texts[1], "a"), (None, texts[2], "b"), (None, texts[3], "b"),
+         (8, texts[4], "a"), (None, "", "c")], key=str)
+
+
+def test_mixing_of_rows_without_own_ids(spark):
+    d = spark.createDataFrame(_rows(*[(1, f"one two w{k}", "a") for k in range(4)],
+                                    *[(None, f"three four w{k}", "b") for k in range(4)],
+                                    *[(5 + k, f"five six w{k}", None) for k in range(4)]), SCHEMA)
+    want = collections.Counter()
+    for r in mixing.mix(d).collect():
+        want[r.doc_id] += r.taken
+    got = collections.Counter()
+    for r in p.mix_sources(spark, d, None).collect():
+        got[r.doc_id] += len(r.text.split())
+    assert got == +want and got[1] and got[None]
