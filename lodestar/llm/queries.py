@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, html_text, jaccard, language, mixing, packing, sharding, substrings, \
-    suffix_dedup, topk
+from lodestar.llm import fingerprints, hard_negatives, html_text, jaccard, language, mixing, packing, sharding, \
+    substrings, suffix_dedup, topk
 from lodestar.llm.tables import table
 
 
@@ -61,7 +61,14 @@ def op4_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings", "vec_id", flipped.alias("label"), F.col("embedding").alias("vec"))
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
+    "op11_hard_negatives": op11_hard_negatives,
     "op4_jaccard": op4_jaccard,
     "op9_suffix": op9_suffix,
     "op1_substrings": op1_substrings,
