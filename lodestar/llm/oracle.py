@@ -73,4 +73,30 @@ n AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
 
-SQL = {"op11_hard_negatives": OP11, "op8_topk": OP8, "op6_mixing": OP6}
+OP13 = r"""
+WITH t AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+m AS (SELECT row, 100 - 50 + (50 * n * docs) // terms AS m FROM n, total),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, total GROUP BY term),
+q AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)),
+s AS (
+  SELECT item, any_value(item_id) AS item_id, any_value(tf.doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item, row),
+r AS (SELECT *, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+SQL = {"op13_lexical": OP13, "op11_hard_negatives": OP11, "op8_topk": OP8, "op6_mixing": OP6}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, hard_negatives, html_text, jaccard, language, mixing, packing, sharding, \
+from lodestar.llm import fingerprints, hard_negatives, html_text, jaccard, language, lexical, mixing, packing, sharding, \
     substrings, suffix_dedup, topk
 from lodestar.llm.tables import table
 
@@ -67,7 +67,13 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+def op13_lexical(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
+    "op13_lexical": op13_lexical,
     "op11_hard_negatives": op11_hard_negatives,
     "op4_jaccard": op4_jaccard,
     "op9_suffix": op9_suffix,
