@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.llm import fingerprints, hard_negatives, html_text, jaccard, language, lexical, mixing, packing, sharding, \
-    substrings, suffix_dedup, topk
+from lodestar.llm import fingerprints, hard_negatives, html_text, jaccard, language, lexical, mixing, packing, pii, \
+    sharding, substrings, suffix_dedup, topk
 from lodestar.llm.tables import table
 
 
@@ -72,7 +72,24 @@ def op13_lexical(spark, sf_dir):
                         table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def _listed(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _of_kind(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
+def op12_pii(spark, sf_dir):
+    found = pii.find(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[_of_kind(base, k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
+    "op12_pii": op12_pii,
     "op13_lexical": op13_lexical,
     "op11_hard_negatives": op11_hard_negatives,
     "op4_jaccard": op4_jaccard,
