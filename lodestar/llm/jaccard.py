@@ -1,26 +1,29 @@
 """N-gram Jaccard self-join with signature trees.
 
 A document's set holds its distinct shingles of ``SHINGLE`` words, as 64-bit
-hashes. Equal sets become one node (the smallest id). A count-min sketch with
-levels puts shingles into one global order, rare ones first; two sets with
-Jaccard >= t share one of the first ``n - ceil(t n) + 1`` in it, so sets
-that share no such shingle estimated repeated cannot be linked. Sets under one
-shingle are tied to its smallest node, per size class, instead of paired; the
-components of these ties bound where links can be. Inside each, sets are
-compared through signature trees (``sigtree``), which find a link between any
-two similar sets that are not connected yet. Components of the links give the
-result.
-
-A component of ties with more than ``BLOCK_SETS`` sets is cut into blocks by
-size class and hash, and pairs of blocks with near sizes are compared, so no
-task holds more than two blocks however large a group of copies is.
+hashes, and has a 128-bit name; equal sets are one class, whatever rows have
+it. A count-min sketch with levels puts shingles into one global order, rare
+ones first; two sets with Jaccard >= t share one of the first
+``n - ceil(t n) + 1`` in it, so sets that share no such shingle estimated
+repeated cannot be linked. Sets under one shingle are tied to its first one,
+per size class, instead of paired; the components of these ties bound where
+links can be. Inside each, sets are compared through signature trees
+(``sigtree``), which find a link between any two similar sets that are not
+connected yet. Components of the links are the groups.
+
+A component of ties beyond ``BLOCK_ITEMS`` shingles or ``BLOCK_SETS`` sets is
+cut into blocks by size class and hash, and pairs of blocks with near sizes
+are compared, so no task holds more than two blocks however large a group of
+copies is. A tied class sends its shingles once for every block of documents
+that holds it; texts are not sent again.
 
 Defined results: a text without words, or null, has an empty set and is
-linked with nothing (component: itself); with fewer words than a shingle the
-whole sequence is one; ids name documents: of rows with one id and different
-texts (null ids count as one id, the largest, and show as null) links are
-found for one, the smallest text; an empty table gives an empty result; other
-columns are ignored.
+linked with nothing (component: its id); with fewer words than a shingle the
+whole sequence is one; every row is compared by its own text, rows without an
+id too, which have the smallest id of their group, or null if no row of it has
+one; an id that several texts share connects them, so all of them have the
+smallest id that any of them reaches; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ from lodestar.llm.arrays import U, chunks, mixed, rolled, words
 from lodestar.llm.graph import components
 from lodestar.llm.sigtree import links
 from lodestar.llm.sketch import Repeats, repeats
-from lodestar.llm.substrings import LAST_ID, _columns, _ids, _planes
-from lodestar.llm.tables import checkpointed
+from lodestar.llm.substrings import _columns, _planes
+from lodestar.llm.tables import checkpointed, stored
 
 SHINGLE = 5
 PERCENT = 80
@@ -46,8 +49,10 @@ SKETCH_BITS = 27
 BLOCK_BYTES = 1 << 22
 GROUP_ITEMS = 1 << 20
 BLOCK_SETS = 2048
+BLOCK_ITEMS = 1 << 18
 
-SETS = "doc_id long, n_shingles long, s1 long, s2 long"
+NAMES = "n_shingles long, s1 long, s2 long"
+SETS = "s1 long, s2 long, codes binary"
 KEYS = "bucket int, entries binary"
 TIES = "u long, v long"
 
@@ -93,14 +98,14 @@ def _names(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _describe(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            kept = [f for f in batch.schema.names if f != "text"]
             for rows, data, ends in chunks(batch, "text"):
                 codes, stop = shingle_sets(data, ends, shingle)
                 s1, s2 = _names(codes, stop)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(rows.start, rows.stop - rows.start),
+                    [*(batch.column(f).slice(rows.start, rows.stop - rows.start) for f in kept),
                      pa.array(np.diff(stop, prepend=0).astype(np.int64)), pa.array(s1),
-                     pa.array(s2)], names=["doc_id", "n_shingles", "s1", "s2"])
+                     pa.array(s2)], names=[*kept, "n_shingles", "s1", "s2"])
     return run
 
 
@@ -116,15 +121,46 @@ def _size_class(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / -np.log(percent / 100) + 1e-9).astype(np.int32)
 
 
+def _fresh(filter_: Repeats, shingle: int, percent: int, batches: Iterator[pa.RecordBatch]):
+    """Per chunk the sets that may be linked, once for a block of documents:
+    (codes, row of each, which of them are first shingles in the global order
+    that are estimated repeated, sizes, names, whether the block ends)."""
+    size, known = 0, set()
+    for batch in batches:
+        for _, data, ends in chunks(batch, "text"):
+            codes, stop = shingle_sets(data, ends, shingle)
+            n = np.diff(stop, prepend=0)
+            s1, s2 = _names(codes, stop)
+            row = np.repeat(np.arange(len(ends)), n)
+            level = filter_.level(codes)
+            order = np.lexsort((codes, level, row))
+            rank = np.empty(len(codes), np.int64)
+            rank[order] = np.arange(len(codes)) - np.repeat(stop - n, n)
+            first = n + (-percent * n) // 100 + 1   # n - ceil(percent n / 100) + 1
+            use = (rank < first[row]) & (level > 0)
+            tied = np.bincount(row[use], minlength=len(ends)) > 0
+            fresh = np.zeros(len(ends), bool)  # its copies have the same name
+            for i in np.flatnonzero(tied).tolist():
+                name = int(s1[i]), int(s2[i])
+                fresh[i] = name not in known
+                known.add(name)
+            size += len(data)
+            at = fresh[row]
+            yield codes[at], row[at], use[at], n, s1, s2, size >= BLOCK_BYTES
+            if size >= BLOCK_BYTES:
+                size, known = 0, set()
+
+
 def _keys(filter_: Repeats, shingle: int, percent: int, buckets: int):
-    """Per block and bucket: (shingle, id, size class) of each different set's
-    first shingles in the global order that are estimated repeated."""
+    """Per block and bucket: (shingle, name, size class) of each different
+    set's first shingles. The first half of a name is enough here: ties only
+    bound where links can be."""
     def flush(held):
-        key, doc, cls = (np.concatenate(x) for x in zip(*held))
+        key, name, cls = (np.concatenate(x) for x in zip(*held))
         bucket = (key >> U(32)) * U(buckets) >> U(32)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        made = [(b, _planes(key[order[x:y]], doc[order[x:y]], cls[order[x:y]]))
+        made = [(b, _planes(key[order[x:y]], name[order[x:y]], cls[order[x:y]]))
                 for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
         for lo in range(0, len(made), 256):
             b, blobs = zip(*made[lo:lo + 256])
@@ -132,54 +168,46 @@ def _keys(filter_: Repeats, shingle: int, percent: int, buckets: int):
                 [pa.array(b, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "entries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, known = [], 0, {}
-        for batch in batches:
-            ids = _ids(batch)
-            for rows, data, ends in chunks(batch, "text"):
-                codes, stop = shingle_sets(data, ends, shingle)
-                n = np.diff(stop, prepend=0)
-                names = list(zip(*(s.tolist() for s in _names(codes, stop))))
-                doc = ids[rows]
-                row = np.repeat(np.arange(len(ends)), n)
-                level = filter_.level(codes)
-                order = np.lexsort((codes, level, row))
-                codes, level = codes[order], level[order]
-                rank = np.arange(len(codes)) - np.repeat(stop - n, n)
-                first = n + (-percent * n) // 100 + 1   # n - ceil(percent n / 100) + 1
-                use = (rank < first[row]) & (level > 0)
-                # a set stands once in a block; its copies are tied by name
-                fresh = np.zeros(len(ends), bool)
-                for i, name in enumerate(names):
-                    if n[i] and name not in known:
-                        known[name] = True
-                        fresh[i] = True
-                use &= fresh[row]
-                cls = _size_class(n, percent)
-                held.append((codes[use], doc[row[use]], cls[row[use]]))
-                size += len(data)
-                if size >= BLOCK_BYTES:
-                    yield from flush(held)
-                    held, size, known = [], 0, {}
+        held = []
+        for codes, row, use, n, s1, _, end in _fresh(filter_, shingle, percent, batches):
+            held.append((codes[use], s1[row[use]], _size_class(n, percent)[row[use]]))
+            if end:
+                yield from flush(held)
+                held = []
         if held:
             yield from flush(held)
     return run
 
 
+def _codes(filter_: Repeats, shingle: int, percent: int):
+    """The shingles of the sets that may be linked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, row, _, n, s1, s2, _ in _fresh(filter_, shingle, percent, batches):
+            at = np.unique(row)
+            if len(at):
+                stop = np.cumsum(n[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s1[at]), pa.array(s2[at]),
+                     pa.array([codes[a:b].tobytes() for a, b in zip(stop - n[at], stop)], pa.binary())],
+                    names=["s1", "s2", "codes"])
+    return run
+
+
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Under one shingle, each size class to its smallest id, and the smallest
-    ids of neighbouring classes to each other."""
+    """Under one shingle, each size class to its smallest name, and the
+    smallest names of neighbouring classes to each other."""
     def tied(parts):
-        key, doc, cls = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((doc, cls, key))
-        key, doc, cls = key[order], doc[order], cls[order]
+        key, name, cls = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((name, cls, key))
+        key, name, cls = key[order], name[order], cls[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
         head = np.flatnonzero(new)
-        hub = doc[head][np.cumsum(new) - 1]
+        hub = name[head][np.cumsum(new) - 1]
         near = np.flatnonzero((key[head][1:] == key[head][:-1])
                               & (cls[head][1:] == cls[head][:-1] + 1))
-        u = np.concatenate([doc, doc[head[near + 1]]])
-        v = np.concatenate([hub, doc[head[near]]])
+        u = np.concatenate([name, name[head[near + 1]]])
+        v = np.concatenate([hub, name[head[near]]])
         return np.unique(np.stack([u, v], 1)[u != v], axis=0)
 
     parts = [_columns(b.as_py(), "<u8", "<i8", "<i4") for batch in batches
@@ -191,16 +219,12 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(pairs[lo:lo + 65536, k].copy()) for k in (0, 1)], names=["u", "v"])
 
 
-def _compare(shingle: int, percent: int):
+def _compare(percent: int):
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         left, right = (k.as_py() for k in key[1:])
         u, v = [], []
-        sets, nodes, blocks = [], [], t["block"].to_pylist()
-        for batch in t.combine_chunks().to_batches():
-            for _, data, ends in chunks(batch, "text"):
-                codes, stop = shingle_sets(data, ends, shingle)
-                sets += np.split(codes, stop[:-1])
-            nodes += batch.column("node").to_pylist()
+        nodes, blocks = t["node"].to_pylist(), t["block"].to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["codes"]]
         # similar sets often share their smallest shingle: neighbours in leaves
         order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])))
         a = [i for i in order if blocks[i] == left]
@@ -214,45 +238,44 @@ def _compare(shingle: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *keep, n_shingles, group) per row of ``docs`` (doc_id, text,
+    *keep): a number for each set of texts that links connect; null for a text
+    without words."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, "text")
     n_bytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    described = checkpointed(d.mapInArrow(_describe(shingle), SETS))
-    key = F.coalesce("doc_id", F.lit(LAST_ID))
-    reps = (described.where("n_shingles > 0").groupBy("s1", "s2")
-            .agg(F.min(key).alias("node")))
-    named = checkpointed(described.join(reps, ["s1", "s2"], "left")
-                         .select("doc_id", "n_shingles", F.coalesce("node", key).alias("node")))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name != "text")
+    rows = checkpointed(d.mapInArrow(_describe(shingle), f"{fields}, {NAMES}"))
+    classes = checkpointed(rows.where("n_shingles > 0").groupBy("s1", "s2")
+                           .agg(F.max("n_shingles").alias("n_shingles"))
+                           .withColumn("node", F.monotonically_increasing_id()))
 
     filter_ = repeats(d, _items(shingle), n_bytes // 5, LEVELS, SKETCH_BITS)
     buckets = max(1, n_bytes // 5 // GROUP_ITEMS)
-    ties = (d.mapInArrow(_keys(filter_, shingle, percent, buckets), KEYS)
+    ties = (d.select("text").mapInArrow(_keys(filter_, shingle, percent, buckets), KEYS)
             .groupBy("bucket").applyInArrow(_ties, TIES))
-    # ids of a block's copies to the nodes of their sets
-    to = named.where("n_shingles > 0").select(key.alias("_id"), F.col("node").alias("_node")) \
-        .groupBy("_id").agg(F.min("_node").alias("_node"))
-    for end in ("u", "v"):
-        ties = ties.join(to, F.col(end) == F.col("_id")).withColumn(end, F.col("_node")) \
-            .drop("_id", "_node")
-    tied = checkpointed(components(ties).withColumnRenamed("component", "tie"))
+    tied = checkpointed(components(ties).select(F.col("node").alias("s1"), F.col("component").alias("tie")))
+    sets = stored(d.select("text").mapInArrow(_codes(filter_, shingle, percent), SETS)
+                  .join(tied, "s1", "left_semi").groupBy("s1", "s2")
+                  .agg(F.any_value("codes").alias("codes")), "sets")
     filter_.release()
 
     # blocks of a component of ties, and the pairs of blocks with near sizes
     cls = F.floor(F.ln(F.greatest("n_shingles", F.lit(1))) / F.lit(-np.log(percent / 100))
                   + 1e-9).cast("int")
-    sized = (named.where("n_shingles > 0 and node = coalesce(doc_id, %d)" % LAST_ID)
-             .groupBy("node").agg(F.max("n_shingles").alias("n_shingles"))
-             .join(tied, "node").withColumn("cls", cls))
-    per = sized.groupBy("tie", "cls").agg(F.count("*").alias("n"))
-    whole = per.groupBy("tie").agg(F.sum("n").alias("n_tie"))
+    sized = classes.join(tied, "s1").withColumn("cls", cls)
+    per = sized.groupBy("tie", "cls").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("items"))
+    whole = per.groupBy("tie").agg(F.sum("n").alias("n_tie"), F.sum("items").alias("items_tie"))
+    large = (F.col("n_tie") > BLOCK_SETS) | (F.col("items_tie") > BLOCK_ITEMS)
     per = (per.join(whole, "tie")
-           .withColumn("cls2", F.when(F.col("n_tie") > BLOCK_SETS, F.col("cls")).otherwise(0))
-           .withColumn("cut", F.when(F.col("n_tie") > BLOCK_SETS, F.ceil(F.col("n") / BLOCK_SETS))
+           .withColumn("cls2", F.when(large, F.col("cls")).otherwise(0))
+           .withColumn("cut", F.when(large, F.greatest(F.ceil(F.col("n") / BLOCK_SETS),
+                                                       F.ceil(F.col("items") / BLOCK_ITEMS)))
                        .otherwise(1)))
     placed = checkpointed(
         sized.join(per.select("tie", "cls", "cls2", "cut"), ["tie", "cls"])
-        .select("node", "tie", "cls2", F.struct(
+        .select("node", "s1", "s2", "tie", "cls2", F.struct(
             "cls2", F.pmod(F.xxhash64("node"), F.col("cut")).alias("part")).alias("place")))
     blocks = placed.select("tie", "cls2", "place").distinct()
     other = blocks.select(F.col("tie").alias("_tie"), F.col("cls2").alias("_cls"),
@@ -264,17 +287,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     ends = pairs.select("tie", "left", "right", F.explode(F.array_distinct(
         F.array("left", "right"))).alias("place"))
     work = placed.join(ends, ["tie", "place"]).select(
-        "node", "tie", *[F.concat_ws("/", f"{c}.cls2", f"{c}.part").alias(c)
-                         for c in ("left", "right")],
+        "node", "s1", "s2", "tie", *[F.concat_ws("/", f"{c}.cls2", f"{c}.part").alias(c)
+                                     for c in ("left", "right")],
         F.concat_ws("/", "place.cls2", "place.part").alias("block"))
-    texts = d.select(key.alias("_id"), "text").join(
-        placed.select(F.col("node").alias("_id")), "_id", "left_semi") \
-        .groupBy("_id").agg(F.min("text").alias("text"))
-    found = (work.join(texts, F.col("node") == F.col("_id"))
-             .select("node", "tie", "left", "right", "block", "text")
-             .groupBy("tie", "left", "right").applyInArrow(_compare(shingle, percent), TIES))
-    joined = components(found)
-    return (named.join(joined, "node", "left")
-            .withColumn("c", F.coalesce("component", "node"))
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("c") != LAST_ID, F.col("c")).alias("component_id")))
+    found = (work.join(sets, ["s1", "s2"]).select("node", "tie", "left", "right", "block", "codes")
+             .groupBy("tie", "left", "right").applyInArrow(_compare(percent), TIES))
+    named = (classes.join(components(found), "node", "left")
+             .select("s1", "s2", F.coalesce("component", "node").alias("group")))
+    return rows.join(named, ["s1", "s2"], "left").drop("s1", "s2")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
+    rows = checkpointed(groups(docs, shingle, percent))
+    # ids that stand for texts of several groups connect these
+    shared = (rows.where("doc_id is not null and group is not null").groupBy("doc_id")
+              .agg(F.min("group").alias("least"), F.max("group").alias("last")).where("least < last"))
+    joined = components(rows.join(shared, "doc_id").where("group > least")
+                        .select(F.col("group").alias("u"), F.col("least").alias("v")))
+    rows = (rows.join(joined.withColumnRenamed("node", "group"), "group", "left")
+            .withColumn("whole", F.coalesce("component", "group")))
+    least = rows.where("whole is not null").groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    return (rows.join(least, "whole", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("whole").isNull(), F.col("doc_id"))
+                    .otherwise(F.col("component_id")).alias("component_id")))

@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Hand texts to Python workers in batches of bounded bytes, not only of a
+    bounded number of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's shared folder."""
     checkpoint_root(df.sparkSession)

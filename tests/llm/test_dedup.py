@@ -112,6 +112,21 @@ def test_near_duplicates(docs, no_docs, corpus):
     assert jaccard.near_duplicates(no_docs).count() == 0
 
 
+def test_links_of_rows_without_own_ids(spark):
+    """Rows are linked by their own texts; an id that two texts share
+    connects them."""
+    w, v = (" ".join(f"{c}{k}" for k in range(500)) for c in "wv")
+
+    def found(*rows):
+        df = spark.createDataFrame(list(rows), "doc_id long, text string")
+        return sorted(((r.doc_id, r.component_id) for r in jaccard.near_duplicates(df).collect()), key=str)
+
+    more = ((3, w + " extra"), (4, v + " extra"))
+    assert found((None, w), (None, v), *more) == [(3, 3), (4, 4), (None, 3), (None, 4)]
+    assert found((7, w), (7, v), *more) == [(3, 3), (4, 3), (7, 3), (7, 3)]
+    assert found((None, w), (None, w), (9, v), (9, "")) == [(9, 9), (9, 9), (None, None), (None, None)]
+
+
 def test_blocks_of_large_groups(spark, monkeypatch):
     """A component of ties cut into many blocks gives the same groups."""
     rng = random.Random(8)
@@ -121,6 +136,9 @@ def test_blocks_of_large_groups(spark, monkeypatch):
     whole = sorted(map(tuple, jaccard.near_duplicates(df).collect()))
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 7)
     assert sorted(map(tuple, jaccard.near_duplicates(df).collect())) == whole
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 2048)
+    monkeypatch.setattr(jaccard, "BLOCK_ITEMS", 200)
+    assert sorted(map(tuple, jaccard.near_duplicates(df).collect())) == whole
 
 
 def test_signature_trees_find_all_links():

@@ -25,16 +25,39 @@ def test_columns_and_order():
 
 
 def test_language_stage(stages, corpus):
-    keep = {d for d, t, *_ in corpus if d is not None and any(c.isalpha() for c in t or "")}
+    keep = {d for d, t, *_ in corpus if any(c.isalpha() for c in t or "")}
+    assert None in keep
     rows = stages[0].collect()
     assert stages[0].columns == list(p.COLUMNS)
-    assert {r.doc_id for r in rows} == keep
+    assert {r.doc_id for r in rows} == keep and len(rows) == len(keep)
     assert {(r.doc_id, r.text, r.lang, r.source) for r in rows} == {x for x in corpus if x[0] in keep}
 
 
+def _shingles(text):
+    import re
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
 def test_near_duplicate_stage(stages):
-    groups = jaccard.near_duplicates(stages[0]).collect()
-    assert sorted(r.doc_id for r in stages[1].collect()) == sorted({r.component_id for r in groups})
+    """Brute force: the smallest id of every group of linked texts."""
+    rows = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in stages[0].collect()))
+    sets, left = [_shingles(t) for *_, t in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if j < i and 100 * len(a & b) >= 80 * len(a | b) > 0:
+                lo, hi = sorted((left[i], left[j]))
+                left = [lo if x == hi else x for x in left]
+    want = [rows[i] for i in sorted(set(left))]
+    assert len(want) < len(rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in stages[1].collect()) == want
+
+
+def test_language_choice(spark, stages):
+    d = stages[0]
+    assert p.language_id(spark, d, None, languages=("xx",)).count() == 0
+    assert p.language_id(spark, d, None, least=1.01).count() == 0
+    assert p.language_id(spark, d, None, languages=("en",)).count() == d.count()
 
 
 def test_repeated_string_stage(stages):
@@ -90,6 +113,22 @@ def test_near_duplicates_of_rows_without_own_ids(spark):
          (8, texts[4], "a"), (None, "", "c")], key=str)
 
 
+def test_repeated_rows(spark):
+    """Of repeated rows one stays as a document, and the mix takes each."""
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text, "a")] * 3 + [(None, text + " more", "a")] * 2 + [(4, "", "b")] * 2
+    d = spark.createDataFrame(_rows(*rows), SCHEMA)
+    got = sorted((str(r.doc_id), r.text) for r in p.near_duplicates(spark, d, None).collect())
+    assert got == [("1", text), ("4", ""), ("4", "")]
+    mixed = collections.Counter()
+    for r in p.mix_sources(spark, d, None).collect():
+        mixed[r.doc_id] += len(r.text.split())
+    want = collections.Counter()
+    for r in mixing.mix(d).collect():
+        want[r.doc_id] += r.taken
+    assert mixed == +want and mixed[1] > 90
+
+
 def test_mixing_of_rows_without_own_ids(spark):
     d = spark.createDataFrame(_rows(*[(1, f"one two w{k}", "a") for k in range(4)],
                                     *[(None, f"three four w{k}", "b") for k in range(4)],
