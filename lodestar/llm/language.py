@@ -5,7 +5,8 @@ trigram is the product of its letters' vectors, each rotated by its place; a
 document's profile is the sum of the vectors of all its trigrams (runs of
 other characters count as one boundary letter). A language's prototype is the
 sum of the unit profiles of its training documents, and a document gets the
-language whose prototype has the largest cosine with its profile.
+language whose prototype has the largest cosine with its profile; the score is
+that cosine, or 0 if it is negative.
 
 Training reads at most about ``train_per_lang`` documents of each language
 (chosen by a hash of the id), a bound on the fit alone; predictions read every
@@ -163,8 +164,8 @@ def _label(names: list[str], prototypes: np.ndarray, with_text: bool):
             for part in _pieces(texts):
                 p, letters = profiles.of(texts[part])
                 if names:
-                    cos = np.clip(_unit(p.astype(float)) @ prototypes.T, 0.0, 1.0)
-                    best, top = cos.argmax(1), cos.max(1)
+                    cos = _unit(p.astype(float)) @ prototypes.T
+                    best, top = cos.argmax(1), np.clip(cos.max(1), 0.0, 1.0)
                 else:
                     best, top, letters = np.zeros(len(p), int), np.zeros(len(p)), letters * 0
                 lang += [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), letters)]
