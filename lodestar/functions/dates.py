@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,65 +10,65 @@ from pyspark.sql import functions as F
 from lodestar.functions.common import as_col
 from lodestar.functions.text import strip
 
-# The accepted date layouts, tried in this order. Month-first
-# wins over day-first for an ambiguous value such as 03/04/2023. The time of
-# day, where there is one, is hours and minutes with optional seconds and
-# fraction. Two-digit years up to 68 are 20xx, the others 19xx.
-DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm[:ss[.SSSSSSSSS]]",
-    "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]",
-    "yyyy/MM/dd",
-    "yyyy.MM.dd",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M/d/yyyy H:mm[:ss]",
-    "d/M/yyyy H:mm[:ss]",
-    "M/d/yy",
-    "d/M/yy",
-    "M/d/yy H:mm[:ss]",
-    "d/M/yy H:mm[:ss]",
-    "M-d-yyyy",
-    "d-M-yyyy",
-    "d-MMM-yyyy",
-    "d-MMM-yy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "yyyyMMdd",
-)
-
-
-def _shape(layout: str) -> str:
-    """A loose pattern that every text of the layout matches: digits for
-    digits, letters for month names, the rest as it stands. Skipping a parse
-    on a mismatch never changes a result and spares the parser a thrown
-    exception for each layout that cannot apply."""
-    out = re.sub(r"[.]", r"\\.", layout.replace("'T'", "~"))
-    out = out.replace("[", "(").replace("]", ")?")
-    out = re.sub(r"MMMM?(?!M)", "@", out)
-    out = re.sub(r"[yMdHmsS]+", "[+-]?[0-9]+", out)
-    return "^" + out.replace("@", r"\p{L}+").replace("~", "T") + "$"
-
-
-LAYOUT_SHAPES = {f: _shape(f) for f in DATE_FORMATS}
-
-
-def lenient_timestamp(c, formats=DATE_FORMATS) -> Column:
-    """first layout that parses wins; NULL when none does."""
+# The accepted date layouts, by the shape of a value. Month-first
+# wins over day-first for an ambiguous value such as 03/04/2023. Two-digit years
+# up to 68 are 20xx, the others 19xx. Month names are English, in any case.
+#   year first:     yyyy-MM-dd, with HH:mm[:ss[.fraction]] after a space or T
+#                   yyyy/MM/dd  yyyy.MM.dd  yyyyMMdd
+#   numbers:        M/d/yyyy  d/M/yyyy  M/d/yy  d/M/yy, with H:mm[:ss]
+#                   M-d-yyyy  d-M-yyyy
+#   month names:    d-MMM-yyyy  d-MMM-yy  MMM d[,] yyyy  d MMM yyyy
+#                   and the last two with the full name
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+_YEAR = "(?!0000)[0-9]{4}"
+_ISO = f"^{_YEAR}" + "-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,9})?)?)?$"
+_YEAR_FIRST = f"^({_YEAR})" + "([/.]?)([0-9]{2})\\2([0-9]{2})$"
+_NUMBERS = "^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]"
+_TIME = "((?: [0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)?)$"
+_NO_DASH_TIME = "^(?![^ ]*-.* )"
+_MONTH_FIRST = _NO_DASH_TIME + "(0?[1-9]|1[0-2])([/-])([0-9]{1,2})\\2" + f"({_YEAR})" + _TIME
+_DAY_FIRST = _NO_DASH_TIME + "([0-9]{1,2})([/-])([0-9]{1,2})\\2" + f"({_YEAR})" + _TIME
+_SHORT_YEARS = (("20", "(?:[0-5][0-9]|6[0-8])"), ("19", "[0-9]{2}"))
+_NAMED = (("^([0-9]{1,2})-([A-Za-z]{3})-" + f"({_YEAR})$", "$3-$2-$1"),
+          ("^([A-Za-z]+) ([0-9]{1,2}),? " + f"({_YEAR})$", "$3-$1-$2"),
+          ("^([0-9]{1,2}) ([A-Za-z]+) " + f"({_YEAR})$", "$3-$2-$1"))
+
+
+def _full_year(text: Column, before: str, after: str) -> Column:
+    """Two digits between the two patterns become four."""
+    for century, digits in _SHORT_YEARS:
+        text = F.regexp_replace(text, f"^({before})(?={digits}{after})", f"$1{century}")
+    return text
+
+
+def _from_numbers(s: Column) -> Column:
+    s = _full_year(s, "[0-9]{1,2}/[0-9]{1,2}/", "(?: [0-9:]+)?$")
+    return F.regexp_replace(F.regexp_replace(s, _MONTH_FIRST, "$4-$1-$3$5"), _DAY_FIRST, "$4-$3-$1$5")
+
+
+def _from_names(s: Column) -> Column:
+    s = _full_year(s, "[0-9]{1,2}-[A-Za-z]{3}-", "$")
+    for pattern, fields in _NAMED:
+        s = F.regexp_replace(s, pattern, fields)
+    parts = F.split(s, "-")  # year, name, day
+    name = F.lower(F.try_element_at(parts, F.lit(2)))
+    number = F.greatest(F.array_position(F.array(*map(F.lit, MONTHS)), name),
+                        F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), name))
+    return F.concat_ws("-", F.try_element_at(parts, F.lit(1)), number, F.try_element_at(parts, F.lit(3)))
+
+
+def lenient_timestamp(c) -> Column:
+    """the value's shape decides which layouts can apply; it is rewritten
+    year first and parsed once. NULL when no layout fits. No parser is tried
+    on a value that it would reject with an exception, and the expression is
+    short enough to stay in generated code."""
     s = strip(as_col(c).cast("string"))
-    tries = []
-    for fmt in formats:
-        parsed = F.try_to_timestamp(s, F.lit(fmt))
-        if "yy" in fmt and "yyyy" not in fmt:
-            parsed = F.when(F.year(parsed) > 2068,
-                            parsed - F.expr("interval '100' year")).otherwise(parsed)
-        tries.append(F.when(s.rlike(LAYOUT_SHAPES.get(fmt) or _shape(fmt)), parsed))
-    return F.coalesce(*tries)
+    year_first = (F.when(s.rlike(_ISO), s)
+                  .when(s.rlike(_NUMBERS), _from_numbers(s))
+                  .when(s.rlike(_YEAR_FIRST), F.regexp_replace(s, _YEAR_FIRST, "$1-$3-$4"))
+                  .when(s.rlike("[A-Za-z]{3}"), _from_names(s)))
+    return year_first.try_cast("timestamp")
 
 
 def date_key(d) -> Column:

@@ -146,7 +146,7 @@ RAW_COLUMNS = {
 # -- column expressions ---------------------------------------------------------
 
 # The date layouts in DuckDB spelling, in the order of
-# lodestar.functions.dates.DATE_FORMATS (optional parts written out).
+# lodestar.functions.dates (optional parts written out).
 SQL_DATE_FORMATS = (
     "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S.%n",
     "%Y-%m-%dT%H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%n", "%Y/%m/%d", "%Y.%m.%d",
@@ -194,10 +194,12 @@ def median_sql(raw: str, col: str) -> str:
             f"AND NOT isnan(CAST({col} AS DOUBLE)))) WHERE rn IN ((n + 1) // 2, (n + 2) // 2)")
 
 
-def clean_steps(domain: str, raw: str, missing: str = "null", median_cte: str | None = None):
-    """(before_dedup_sql, staging_sql) for a domain."""
+def clean_steps(domain: str, raw: str, missing: str = "null", median_cte: str | None = None,
+                extra: tuple = ()):
+    """(before_dedup_sql, staging_sql) for a domain; ``extra`` columns count
+    in the dedup only."""
     spec = CLEAN[domain]
-    cols = RAW_COLUMNS[domain]
+    cols = RAW_COLUMNS[domain] + list(extra)
 
     def txt(c):
         return f"coalesce(CAST({c} AS VARCHAR), 'nan')" if missing == "literal" \
@@ -225,14 +227,14 @@ def clean_steps(domain: str, raw: str, missing: str = "null", median_cte: str |
              + f" FROM ({step2})")
     step3 = f"SELECT * FROM ({step3}) WHERE {spec.date} IS NOT NULL"
     narrowed = []
-    for c in cols:
+    for c in RAW_COLUMNS[domain]:
         t = spec.types.get(c)
         if t == "date":
             narrowed.append(f"CAST({c} AS DATE) AS {c}")
         elif t == "int":
             narrowed.append(f"CAST(trunc({c}) AS INTEGER) AS {c}")
         elif t == "bigint":
-            narrowed.append(f"CAST(trunc({c}) AS BIGINT) AS {c}")
+            narrowed.append(f"CAST({c} AS BIGINT) AS {c}")
         elif t == "double":
             narrowed.append(f"CAST({c} AS DOUBLE) AS {c}")
         else:
@@ -409,6 +411,23 @@ def incremental_ctes() -> list:
     return ctes
 
 
+def drift_ctes() -> list:
+    """Ids of 19 digits; finance rows with and without a receipt number."""
+    other = {d: ", ".join(c for c in RAW_COLUMNS[d] if c != "EmployeeID") for d in ("hr", "finance")}
+    raw = {d: f"SELECT EmployeeID + {sc.DRIFT_ID} AS EmployeeID, {other[d]} FROM raw_{d}" for d in other}
+    ctes = [("raw_hr_d", raw["hr"]),
+            ("raw_finance_d", f"SELECT *, CAST(NULL AS VARCHAR) AS ReceiptNo FROM ({raw['finance']})"
+                              " UNION ALL SELECT *, concat('R-', coalesce(ExpenseAmount, 'none'))"
+                              f" FROM ({raw['finance']})"),
+            ("staging_hr_d", clean_steps("hr", "raw_hr_d", median_cte="hr_med")[1]),
+            ("staging_finance_d", clean_steps("finance", "raw_finance_d", extra=("ReceiptNo",))[1]),
+            ("dim_employee_d", employee_winner_sql("staging_hr_d")),
+            ("dim_expensetype_d", dim_sql("staging_finance_d", "ExpenseType", "expensetype",
+                                          "expensetypeid"))]
+    dims = {"dim_employee": "dim_employee_d", "dim_expensetype": "dim_expensetype_d"}
+    return ctes + [("fact_finance_d", fact_sql(FACT_FINANCE, "staging_finance_d", dims))]
+
+
 def scd2_ctes() -> list:
     s = sc
     return [
@@ -712,6 +731,8 @@ def oracle_sql() -> dict:
         "finance_load_alone": with_base("SELECT * FROM fact_finance"),
         "operations_load_alone": with_base("SELECT * FROM fact_operations"),
         "csv_load_finance": with_base("SELECT * FROM fact_finance"),
+        "drift_load_employee": with_base("SELECT * FROM dim_employee_d", drift_ctes()),
+        "drift_load_finance": with_base("SELECT * FROM fact_finance_d", drift_ctes()),
         "stream_hr_scd2": with_base(f"SELECT {scd2_cols} FROM scd2_first"),
         "check_orphans": with_base(orph),
         "check_duplicate_keys": with_base(dup),

@@ -344,6 +344,8 @@ QUERIES = {
     "finance_load_alone": _domain_table("fact_finance"),
     "operations_load_alone": _domain_table("fact_operations"),
     "csv_load_finance": _domain_table("fact_finance", sc.csv_root),
+    "drift_load_employee": _domain_table("dim_employee", sc.drift_root),
+    "drift_load_finance": _domain_table("fact_finance", sc.drift_root),
     "stream_hr_scd2": _domain_table("dim_employee_scd2", sc.streamed_hr_root),
     "check_orphans": check_orphans,
     "check_duplicate_keys": check_duplicate_keys,

@@ -32,6 +32,7 @@ RENAME_SUFFIX_DAY2 = " II"
 RENAME_SUFFIX_AGAIN = " III"
 SCD1_RENAME_SUFFIX = " Jr"
 SCD1_NULL_MANAGER = 5
+DRIFT_ID = 1234567890000000000
 
 _lock = threading.RLock()
 _built: dict = {}
@@ -234,3 +235,32 @@ def streamed_hr_root(spark: SparkSession, sf_dir: str) -> str:
                           stamp=STAMP)
         return root
     return _once(spark, sf_dir, "stream-hr", build)
+
+
+def drift_root(spark: SparkSession, sf_dir: str) -> str:
+    """Landings whose files disagree, with ids of 19 digits: HR in two files,
+    ids as text in one and as numbers, beside one column more, in the other;
+    finance twice, once without and once with receipt numbers, through the
+    file-source stream."""
+    from lodestar.sources.extracts import read_extract, write_extract
+    from lodestar.streaming.incremental import load_new_extracts
+
+    def build():
+        root, landing = scratch_path(spark, "wh-drift"), scratch_path(spark, "landing-drift")
+        raw = {d: df.withColumn("EmployeeID", F.col("EmployeeID") + F.lit(DRIFT_ID))
+               for d, df in landed_extracts(spark, sf_dir).items() if d != "operations"}
+        odd = F.coalesce(F.col("EmployeeID") % 2 == 1, F.lit(False))
+        write_extract(raw["hr"].where(~odd).withColumn("EmployeeID", F.col("EmployeeID").cast("string")),
+                      f"{landing}/hr/one", "parquet")
+        write_extract(raw["hr"].where(odd).withColumn("Badge", F.concat(F.lit("B-"), "Name")),
+                      f"{landing}/hr/two", "parquet")
+        run_hr(Warehouse(spark, root, new=True), read_extract(spark, f"{landing}/hr/*", "hr", "parquet"),
+               as_of=DAY1, stamp=STAMP)
+        f = raw["finance"].withColumn("EmployeeID", F.col("EmployeeID").cast("string"))
+        write_extract(f, f"{landing}/finance/one", "parquet")
+        write_extract(f.withColumn("ReceiptNo", F.concat(F.lit("R-"), F.coalesce("ExpenseAmount", F.lit("none")))),
+                      f"{landing}/finance/two", "parquet")
+        load_new_extracts(spark, f"{landing}/finance/*", "finance", root,
+                          scratch_path(spark, "ckpt-drift"), stamp=STAMP)
+        return root
+    return _once(spark, sf_dir, "drift", build)

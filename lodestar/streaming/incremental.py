@@ -5,8 +5,9 @@ only what is absent. With Structured Streaming a file source tracks which
 extract files were already consumed (in the query's checkpoint), and
 ``foreachBatch`` runs the ordinary domain load on all new files together:
 what has landed since the last run is one load, however many files it came
-in, because dedup, median fill and the rule for equal load keys look at the
-whole load. ``Trigger.Once`` semantics come from the file source itself: no
+in and whichever columns each of them has, because dedup, median fill and the
+rule for equal load keys look at the whole load. The stream carries file
+names only; the files are read as a batch. ``Trigger.Once`` semantics come from the file source itself: no
 rate limit is set, so ``availableNow`` makes one micro-batch.
 
 A retried micro-batch is safe for dimensions and facts: every load is
@@ -19,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.plans.loads import run_domains
-from lodestar.sources.extracts import bind, stream_extract
+from lodestar.sources.extracts import read_extract, stream_files
 from lodestar.sources.store import Warehouse
 
 
@@ -32,12 +33,14 @@ def load_new_extracts(spark: SparkSession, landing_dir: str, domain: str, wareho
     events: list = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        wh = Warehouse(spark, warehouse_root)
-        events.extend(run_domains(wh, {domain: bind(batch, domain)}, (domain,), missing=missing,
-                                  scd2=domain == "hr", as_of=as_of, stamp=stamp))
+        files = sorted(r["path"] for r in batch.distinct().collect())  # one row a file
+        if files:
+            raw = read_extract(spark, files, domain, fmt)
+            events.extend(run_domains(Warehouse(spark, warehouse_root), {domain: raw}, (domain,),
+                                      missing=missing, scd2=domain == "hr", as_of=as_of, stamp=stamp))
 
     try:
-        stream = stream_extract(spark, landing_dir, fmt)
+        stream = stream_files(spark, landing_dir)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return events

@@ -66,7 +66,8 @@ def test_lenient_date_matches_pandas(spark):
               "1/5/2023 10:30", "1/5/23 10:30", "2023.01.05", "Jan 5 2023", "05-Jan-23",
               "2023-01-05", "2023/01/05", "01/05/2023", "25/12/2023", "25-12-2023", "20230105",
               "05-Jan-2023", "Jan 5, 2023", "5 January 2023", "January 5 2023",
-              "2023-02-30", "not a date", "13/13/2023"]
+              "2023-02-30", "not a date", "13/13/2023", "0000-01-05", "31/4/2023", "2/29/2024",
+              "29/2/24 9:05:07", "12-31-2023", "MAY 5 2020", "2023-01-05T23:59:59.123456", "7-dec-21"]
     # years 69 to 99 are not compared: pandas places them by today's date
     got = spark_map(spark, values, lenient_timestamp)
     want = [pd.to_datetime(v, errors="coerce") for v in values]

@@ -116,3 +116,63 @@ def test_two_landed_files_are_one_load(spark, tmp_root):
 def test_stream_of_an_empty_folder_loads_nothing(spark, tmp_root):
     assert load_new_extracts(spark, os.path.join(tmp_root, "none"), "hr",
                              os.path.join(tmp_root, "wh"), os.path.join(tmp_root, "c")) == []
+
+
+TEXT = "EmployeeID string, ExpenseType string, ExpenseAmount string, ApprovedBy string, ExpenseDate string"
+
+
+def _drifting(spark, root):
+    row = ("1234567890123456789", "TRAVEL", "5", "1", "2023-01-05")
+    write_extract(spark.createDataFrame([row, row], TEXT).coalesce(1), f"{root}/one", "parquet")
+    write_extract(spark.createDataFrame([(*row, "r1"), (*row, "r2"), (*row, "r2")], TEXT + ", ReceiptNo string")
+                  .coalesce(1), f"{root}/two", "parquet")
+
+
+def test_parquet_files_of_different_columns_are_united_by_name(spark, tmp_root):
+    _drifting(spark, f"{tmp_root}/land")
+    raw = read_extract(spark, f"{tmp_root}/land/*", "finance", "parquet")
+    assert sorted(str(r.ReceiptNo) for r in raw.collect()) == ["None", "None", "r1", "r2", "r2"]
+    st = clean_domain(raw, "finance")
+    assert [r.EmployeeID for r in st.collect()] == [1234567890123456789] * 3
+
+
+def test_parquet_files_of_different_types_are_bound_apart(spark, tmp_root):
+    _drifting(spark, f"{tmp_root}/land")
+    for name, kind, who in (("three", "long", 12), ("four", "double", 7.0)):
+        write_extract(spark.createDataFrame([(who, "FOOD", 2.5, "1", "2023-01-05", 9)],
+                      TEXT.replace("EmployeeID string", f"EmployeeID {kind}")
+                      .replace("ExpenseAmount string", "ExpenseAmount double") + ", Page int"),
+                      f"{tmp_root}/land/{name}", "parquet")
+    raw = read_extract(spark, f"{tmp_root}/land/*", "finance", "parquet")
+    assert set(raw.columns) >= {"ReceiptNo", "Page"}
+    st = clean_domain(raw, "finance")
+    assert sorted((r.EmployeeID, r.ExpenseAmount) for r in st.collect()) == \
+        [(7, 2.5), (12, 2.5), *[(1234567890123456789, 5.0)] * 3]
+
+
+def test_stream_reads_the_columns_of_all_its_files(spark, tmp_root):
+    root, land = f"{tmp_root}/wh", f"{tmp_root}/land"
+    hr = spark.createDataFrame([("1234567890123456789", "n", "F", "1", "D", "5", "Active", "2023-01-05")],
+                               "EmployeeID string, Name string, Gender string, ManagerID string, "
+                               "Department string, Salary string, Status string, DateOfJoining string")
+    write_extract(hr, f"{tmp_root}/hr", "parquet")
+    run_domains(Warehouse(spark, root, new=True),
+                {"hr": read_extract(spark, f"{tmp_root}/hr", "hr", "parquet")}, ("hr",))
+    _drifting(spark, land)
+    load_new_extracts(spark, f"{land}/*", "finance", root, f"{tmp_root}/ckpt")
+    got = Warehouse(spark, root).read("fact_finance").collect()
+    assert [r.employeeid for r in got] == [1234567890123456789] * 3
+
+
+def test_ids_are_exact_up_to_64_bits(spark):
+    from lodestar.sources.extracts import bind
+    def bound(v):
+        return bind(spark.createDataFrame([(v, "", "", "", "")], TEXT), "finance").first()[0]
+
+    for text, want in [("9223372036854775807", (1 << 63) - 1), ("-9223372036854775808", -(1 << 63)),
+                       ("1234567890123456789.75", 1234567890123456789), ("-1.9", -1), ("1.5e3", 1500),
+                       (" 12.0 ", 12), ("+7", 7), ("1e-3", 0), ("", None), ("NA", None)]:
+        assert bound(text) == want
+    for text in ("9223372036854775808", "1e19", "1" * 42):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            bound(text)
