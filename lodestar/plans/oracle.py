@@ -181,6 +181,18 @@ def date_key(e: str) -> str:
     return f"CAST(strftime({e}, '%Y%m%d') AS INTEGER)"
 
 
+def exact_total(select: str, keys: str, value: str, alias: str) -> str:
+    """Sum of ``value`` by ``keys`` over ``select``: in whole units of 2^-60,
+    which the amounts at hand are multiples of, rounded once, half to even."""
+    units = f"SELECT {keys}, sum(CAST({value} * pow(2, 60) AS HUGEINT)) AS s FROM ({select}) GROUP BY ALL"
+    bits = (f"SELECT *, abs(s) AS a, CAST(pow(2, greatest(0, length(ltrim(bin(abs(s)), '0')) - 53))"
+            f" AS HUGEINT) AS p FROM ({units})")
+    whole = (f"SELECT *, a // p + CASE WHEN 2 * (a % p) > p OR (2 * (a % p) = p AND (a // p) % 2 = 1)"
+             f" THEN 1 ELSE 0 END AS q FROM ({bits})")
+    return (f"SELECT {keys}, coalesce(CASE WHEN s < 0 THEN -1.0 ELSE 1.0 END * CAST(q AS DOUBLE)"
+            f" * CAST(p AS DOUBLE) / pow(2, 60), 0.0) AS {alias} FROM ({whole})")
+
+
 def order_by(cols) -> str:
     return ", ".join(f"{c} ASC NULLS LAST" for c in cols)
 
@@ -497,15 +509,14 @@ def _q_expense(latest: bool) -> str:
     hr = ("(SELECT employeeid, departmentid FROM (SELECT employeeid, departmentid, row_number() OVER"
           " (PARTITION BY employeeid ORDER BY datekey DESC, hrid DESC) AS rn FROM fact_hr)"
           " WHERE rn = 1)") if latest else "(SELECT employeeid, departmentid FROM fact_hr)"
-    return with_base(
-        f"SELECT strftime(d, '%Y-%m') AS month, dd.department, e.expensetype, "
-        f"round(coalesce(sum(f.expenseamount), 0.0), 4) AS total_expense "
+    return with_base(exact_total(
+        f"SELECT strftime(d, '%Y-%m') AS month, dd.department, e.expensetype, f.expenseamount "
         f"FROM (SELECT *, {_month()} AS d FROM fact_finance f) f "
         f"LEFT JOIN dim_expensetype e ON f.expensetypeid = e.expensetypeid "
         f"LEFT JOIN {hr} h ON f.employeeid = h.employeeid "
         f"LEFT JOIN dim_department dd ON h.departmentid = dd.departmentid "
-        f"WHERE f.d IS NOT NULL AND dd.department IS NOT NULL AND e.expensetype IS NOT NULL "
-        f"GROUP BY 1, 2, 3")
+        f"WHERE f.d IS NOT NULL AND dd.department IS NOT NULL AND e.expensetype IS NOT NULL",
+        "month, department, expensetype", "expenseamount", "total_expense"))
 
 
 def star_sql(fact: str, columns: str, *dims: tuple[str, str]) -> str:
@@ -534,12 +545,11 @@ VIEW_SUPER = (
     " CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), department, downtimehours,"
     " CAST(NULL AS VARCHAR), datekey FROM (" + VIEW_OPERATIONS + ")")
 
-DOWNTIME = (
-    "SELECT p.processname, dd.department, round(coalesce(sum(o.downtimehours), 0.0), 4)"
-    " AS total_downtime FROM fact_operations o LEFT JOIN dim_process p ON"
+DOWNTIME = exact_total(
+    "SELECT p.processname, dd.department, o.downtimehours FROM fact_operations o LEFT JOIN dim_process p ON"
     " o.processid = p.processid LEFT JOIN dim_department dd ON o.departmentid ="
-    " dd.departmentid WHERE p.processname IS NOT NULL AND dd.department IS NOT NULL"
-    " GROUP BY 1, 2")
+    " dd.departmentid WHERE p.processname IS NOT NULL AND dd.department IS NOT NULL",
+    "processname, department", "downtimehours", "total_downtime")
 
 AUDIT_ORDER = [("dim_department", "dim_department"), ("dim_employee", "dim_employee"),
                ("fact_hr", "fact_hr"), ("dim_expensetype", "dim_expensetype"),
@@ -659,6 +669,8 @@ def oracle_sql() -> dict:
         f" '{t}' AS table_name, (SELECT count(*) FROM {src}) AS row_count"
         for i, (t, src) in enumerate(AUDIT_ORDER, start=1))
     scd2_cols = ", ".join(SCD2_COLS)
+    by_gender = ("SELECT e.gender, h.salary FROM fact_hr h JOIN dim_employee e"
+                 " ON h.employeeid = e.employeeid WHERE e.gender IS NOT NULL")
     return {
         "clean_hr": with_base("SELECT * FROM staging_hr"),
         "clean_finance": with_base("SELECT * FROM staging_finance"),
@@ -704,16 +716,16 @@ def oracle_sql() -> dict:
             " 'resigned' THEN employeeid END) AS resigned, count(DISTINCT employeeid) AS employees"
             " FROM fact_hr)"),
         "kpi_salary_by_gender": with_base(
-            "SELECT e.gender, round(sum(h.salary) / count(h.salary), 4)"
-            " AS avg_salary, count(h.salary) AS fact_rows FROM fact_hr h LEFT JOIN dim_employee e"
-            " ON h.employeeid = e.employeeid WHERE e.gender IS NOT NULL GROUP BY e.gender"),
+            "SELECT gender, CASE WHEN fact_rows > 0 THEN s / fact_rows END AS avg_salary, fact_rows FROM ("
+            + exact_total(by_gender, "gender", "salary", "s") + ") JOIN (SELECT gender, count(salary)"
+            f" AS fact_rows FROM ({by_gender}) GROUP BY gender) USING (gender)"),
         "kpi_expense_month_dept_type": _q_expense(latest=False),
         "kpi_expense_latest_assignment": _q_expense(latest=True),
-        "kpi_expense_month_type": with_base(
-            "SELECT strftime(d, '%Y-%m') AS month, e.expensetype, round(coalesce(sum("
-            f"f.expenseamount), 0.0), 4) AS total_expense FROM (SELECT *, {_month()}"
+        "kpi_expense_month_type": with_base(exact_total(
+            f"SELECT strftime(d, '%Y-%m') AS month, e.expensetype, f.expenseamount FROM (SELECT *, {_month()}"
             " AS d FROM fact_finance f) f LEFT JOIN dim_expensetype e ON f.expensetypeid ="
-            " e.expensetypeid WHERE f.d IS NOT NULL AND e.expensetype IS NOT NULL GROUP BY 1, 2"),
+            " e.expensetypeid WHERE f.d IS NOT NULL AND e.expensetype IS NOT NULL",
+            "month, expensetype", "expenseamount", "total_expense")),
         "kpi_downtime": with_base(DOWNTIME),
         "kpi_downtime_sorted": with_base(
             "SELECT *, row_number() OVER (ORDER BY processname, department) AS place"
