@@ -20,10 +20,14 @@ THIN = 64  # places of the span per row, above which bitmaps do not pay
 LEAST_ID = -(1 << 63)
 
 
+def is_dense(lo: int | None, hi: int | None, n: int) -> bool:
+    """Whether bitmaps of ``n`` ids from ``lo`` to ``hi`` are small."""
+    return n == 0 or (hi - lo + 1 <= THIN * n and lo > LEAST_ID)
+
+
 def dense(df: DataFrame, column: str) -> bool:
-    """Whether bitmaps of the column's ids are small."""
     r = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(column).alias("n")).first()
-    return r["n"] == 0 or (r["hi"] - r["lo"] + 1 <= THIN * r["n"] and r["lo"] > LEAST_ID)
+    return is_dense(r["lo"], r["hi"], r["n"])
 
 
 def bitmaps(df: DataFrame, column: str, wanted: dict[str, Column]) -> DataFrame:

@@ -38,3 +38,15 @@ def test_loads_unite(spark):
     a, b = spark.range(0, 50_000), spark.range(40_000, 90_000)
     parts = [distinct.bitmaps(x, "id", {"n": F.lit(True)}) for x in (a, b)]
     assert distinct.sizes(distinct.united(*parts), ["n"]).first().n == 90_000
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3], [5, 5, 5, 9, 40_000, 40_000, 7], [None, None, 3], [None, 3, 3], [],
+                                 [10 ** 18, 7, 7, -10 ** 18], [-5, -5, 0, 0, 32768, 65536, 65536]])
+def test_duplicate_keys(spark, ids):
+    from collections import Counter
+    from lodestar.operators.checks import duplicate_keys
+    df = spark.createDataFrame([(i, "x") for i in ids], "hrid bigint, other string").repartition(3)
+    got = duplicate_keys({"fact_hr": df, "two": df.withColumn("b", F.lit(1))},
+                         {"fact_hr": ("hrid",), "two": ("hrid", "b"), "absent": ("x",)})
+    want = sum(n > 1 for n in Counter(ids).values())
+    assert sorted(map(tuple, got.collect())) == [("fact_hr", "hrid", want), ("two", "hrid,b", want)]
