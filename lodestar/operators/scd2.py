@@ -34,13 +34,38 @@ SCD2_COLUMNS = ["employeeid", "name", "gender", "managerid", "startdate", "endda
 TRACKED = ("name", "gender", "managerid", "status")
 
 
-def scd2_input(dim_employee: DataFrame, fact_hr: DataFrame) -> DataFrame:
-    """Every employee with one status - from the HR fact with the
-    highest date key, then the highest fact key (D15). Employees without an
-    HR fact get a NULL status."""
-    status = last_per_key(fact_hr, "employeeid", ["datekey", "hrid"], ["status"])
+def latest_status(fact_hr: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """The HR fact of every employee that decides the status: highest date
+    key, then highest fact key (D15). With what was ``kept`` from earlier
+    facts, only the new ones have to be given."""
+    cols = ["employeeid", "datekey", "hrid", "status"]
+    rows = fact_hr.select(cols)
+    if kept is not None:
+        rows = kept.select(cols).unionByName(rows)
+    return last_per_key(rows, "employeeid", ["datekey", "hrid"], ["datekey", "hrid", "status"])
+
+
+def scd2_input(dim_employee: DataFrame, fact_hr: DataFrame | None = None,
+               status: DataFrame | None = None) -> DataFrame:
+    """Every employee with one status, from the HR facts or from the
+    ``status`` that is kept of them. Employees without an HR fact get a NULL
+    status."""
+    status = latest_status(fact_hr) if status is None else status
     return (dim_employee.select("employeeid", "name", "gender", "managerid")
-            .join(status, "employeeid", "left"))
+            .join(status.select("employeeid", "status"), "employeeid", "left"))
+
+
+def scd2_changes(scd2: DataFrame, incoming: DataFrame, as_of, tracked=TRACKED) -> DataFrame:
+    """Ids for which W5 writes something or raises: new ones, those with a
+    change, and those whose current version starts after ``as_of``."""
+    now = scd2.where(F.col("iscurrent") == 1).select(
+        F.col("employeeid").alias("_id"), F.struct(*tracked).alias("_now"),
+        (F.col("startdate") > as_of_literal(as_of)).alias("_late"))
+    new = incoming.select("employeeid", F.struct(*tracked).alias("_new"))
+    return (new.join(now, F.col("employeeid") == F.col("_id"), "full_outer")
+            .where(F.col("_late") | F.col("_id").isNull()
+                   | F.col("employeeid").isNotNull() & ~F.col("_now").eqNullSafe(F.col("_new")))
+            .select(F.coalesce("employeeid", "_id").alias("employeeid")))
 
 
 def scd2_rows(scd2: DataFrame, incoming: DataFrame, as_of, key: str = "employeeid",

@@ -22,11 +22,14 @@ from lodestar.operators.dimensions import OP, dim_merge_scd1, dim_new_members
 from lodestar.operators.facts import (FACT_FINANCE, FACT_HR, FACT_OPERATIONS,
                                       PARTITION_COL, fact_append_rows)
 from lodestar.operators.keys import max_key
-from lodestar.operators.scd2 import scd2_input, scd2_rows
+from lodestar.operators.scd2 import latest_status, scd2_changes, scd2_input, scd2_rows
 from lodestar.sources import schemas
-from lodestar.sources.store import Transaction, Warehouse
+from lodestar.sources.store import Transaction, Warehouse, key_bounds, range_of
 
 SCD2_TABLE = "dim_employee_scd2"
+STATUS_TABLE = "employee_status"
+ROWS_PER_RANGE = 500_000  # of a table split by key, at its first load
+MAX_RANGES = 1024
 
 
 def _table(tx: Transaction, name: str) -> DataFrame:
@@ -65,15 +68,66 @@ def _fact(tx, events, spec, staging, dim_names, months=None):
     events.append((spec.name, INCREMENTAL_INSERT, m["rows"]))
 
 
+def _ranges(rows: DataFrame, key: str, bounds: list) -> list:
+    """The key ranges that hold a row; as many as the table has at most."""
+    if not bounds:
+        return [] if rows.isEmpty() else [0]
+    found = rows.select(range_of(F.col(key), bounds).alias("r")).distinct().collect()
+    return sorted(r["r"] for r in found)
+
+
+def _employees(tx: Transaction, staging: DataFrame, events: list) -> None:
+    """W3b + W4: reads the key ranges of the batch and writes those with a new
+    or changed employee."""
+    name, key = "dim_employee", "employeeid"
+    bounds = tx.bounds(name)
+    count = {"inserted": F.count_if(F.col(OP) == "insert"), "updated": F.count_if(F.col(OP) == "update")}
+    if bounds is None:
+        rows = tx.row_count("staging_hr") or 0
+        bounds = key_bounds(staging, "EmployeeID", min(MAX_RANGES, rows // ROWS_PER_RANGE), rows)
+        m = tx.write_ranges(name, dim_merge_scd1(_table(tx, name), staging), key, bounds,
+                            observe=[c.alias(n) for n, c in count.items()], drop=[OP])
+    else:
+        at = range_of(F.col("EmployeeID"), bounds)
+        near = _ranges(staging.where(F.col("EmployeeID").isNotNull()), "EmployeeID", bounds)
+        merged = dim_merge_scd1(tx.read_ranges(name, near), staging)
+        changed = (merged.where(F.col(OP) != "keep").groupBy(range_of(F.col(key), bounds).alias("r"))
+                   .agg(*[c.alias(n) for n, c in count.items()]).collect())
+        m = {n: sum(r[n] for r in changed) for n in count}
+        if changed:
+            touched = sorted(r["r"] for r in changed)
+            again = dim_merge_scd1(tx.read_ranges(name, touched), staging.where(at.isin(touched)))
+            tx.write_ranges(name, again, key, bounds, touched, drop=[OP])
+            tx.metrics[name] |= m
+        else:
+            tx.unchanged(name, **m)
+    events.append((name, INCREMENTAL_INSERT, m["inserted"]))
+
+
+def _statuses(tx: Transaction) -> None:
+    """Keeps the latest status of every employee: what was kept and the facts
+    of this load, in the key ranges they touch. The whole fact is read only if
+    nothing is kept yet."""
+    key, schema = "employeeid", schemas.EMPLOYEE_STATUS
+    bounds = tx.bounds("dim_employee") or []
+    if tx.bounds(STATUS_TABLE) is None:
+        tx.write_ranges(STATUS_TABLE, latest_status(_table(tx, "fact_hr")), key, bounds)
+        return
+    new = tx.last_segment("fact_hr")
+    if new is None:
+        return
+    touched = _ranges(new, key, bounds)
+    kept = tx.read_ranges(STATUS_TABLE, touched, schema)
+    tx.write_ranges(STATUS_TABLE, latest_status(new, kept), key, bounds, touched)
+
+
 def load_hr(tx: Transaction, staging: DataFrame, events: list, months=None) -> None:
-    """L1 (without SCD2): dim_department, dim_employee (+ SCD1), fact_hr."""
+    """L1 (without SCD2): dim_department, dim_employee (+ SCD1), fact_hr and
+    the status kept of it."""
     _new_dim(tx, events, "dim_department", staging, "Department", "department", "departmentid")
-    merged = dim_merge_scd1(_table(tx, "dim_employee"), staging)
-    m = tx.write("dim_employee", merged, "overwrite", drop=[OP], observe=[
-        F.count(F.when(F.col(OP) == "insert", 1)).alias("inserted"),
-        F.count(F.when(F.col(OP) == "update", 1)).alias("updated")])
-    events.append(("dim_employee", INCREMENTAL_INSERT, m["inserted"]))
+    _employees(tx, staging, events)
     _fact(tx, events, FACT_HR, staging, ["dim_department"], months)
+    _statuses(tx)
 
 
 def load_finance(tx: Transaction, staging: DataFrame, events: list, months=None) -> None:
@@ -93,15 +147,35 @@ def load_operations(tx: Transaction, staging: DataFrame, events: list,
 
 
 def run_scd2(tx: Transaction, as_of) -> dict:
-    """W6 + W5: one write partitioned by ``iscurrent``; the current part
-    replaces the previous one, closed versions are appended to history.
-    Versions opened in this run are counted while writing."""
-    incoming = scd2_input(_table(tx, "dim_employee"), _table(tx, "fact_hr"))
-    scd2 = _table(tx, SCD2_TABLE)
+    """W6 + W5: the key ranges with a new or changed employee are written
+    anew, by ``iscurrent``: the current part replaces the previous one, closed
+    versions are appended to history. Versions opened in this run are counted
+    while writing."""
+    key = "employeeid"
+    if tx.bounds(STATUS_TABLE) is None:
+        _statuses(tx)
+    status = _read_kept(tx)
+    incoming = scd2_input(_table(tx, "dim_employee"), status=status)
     opened = F.count(F.when((F.col("iscurrent") == 1) &
                             (F.col("startdate") == as_of_literal(as_of)), 1)).alias("opened")
-    return tx.write_split(SCD2_TABLE, scd2_rows(scd2, incoming, as_of), "iscurrent",
-                          replace_value=1, keep_value=0, observe=[opened])
+    bounds, touched = tx.bounds(SCD2_TABLE), None
+    if bounds is None:
+        bounds = tx.bounds("dim_employee") or []
+        current = _table(tx, SCD2_TABLE)
+    else:
+        touched = _ranges(scd2_changes(_table(tx, SCD2_TABLE), incoming, as_of), key, bounds)
+        if not touched:
+            return tx.unchanged(SCD2_TABLE, replaced=0, appended=0, opened=0)
+        current = tx.read_ranges(SCD2_TABLE, touched)
+        dim = tx.read_ranges("dim_employee", touched) if tx.bounds("dim_employee") == bounds \
+            else _table(tx, "dim_employee").where(range_of(F.col(key), bounds).isin(touched))
+        incoming = scd2_input(dim, status=status)
+    return tx.write_ranges(SCD2_TABLE, scd2_rows(current, incoming, as_of), key, bounds, touched,
+                           split=("iscurrent", 1, 0), observe=[opened])
+
+
+def _read_kept(tx: Transaction) -> DataFrame:
+    return tx.read(STATUS_TABLE, schemas.EMPLOYEE_STATUS)
 
 
 # Optional audit operation types for SCD writes.

@@ -48,6 +48,9 @@ FACT_OPERATIONS = _schema(("operationsid", L), ("processid", L), ("locationid",
 DIM_EMPLOYEE_SCD2 = _schema(("employeeid", L), ("name", S), ("gender", S), ("managerid", I),
                             ("startdate", DT), ("enddate", DT), ("iscurrent", I),
                             ("status", S))
+# The HR fact with the highest date key, then fact key, of every employee: kept
+# between loads so that SCD2 does not read the HR facts again.
+EMPLOYEE_STATUS = _schema(("employeeid", L), ("datekey", I), ("hrid", L), ("status", S))
 AUDIT_LOG = _schema(("id", L), ("operation_type", S), ("table_name", S), ("row_count", L),
                     ("timestamp", TS))
 

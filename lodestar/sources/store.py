@@ -6,8 +6,14 @@ run commits: ``commit`` puts one small manifest file in place, atomically,
 that names the segments of every table. Of two writers of one version one
 fails. Readers list the versions and read the newest manifest. A run that
 fails or is given up removes its segments; a plan never overwrites a path it
-reads. Facts append one segment per load (partitioned by month); snapshot
-tables (dimensions after SCD1, staging) are replaced by a new segment.
+reads. Facts append one segment per load (partitioned by month); staging is
+replaced by a new segment.
+
+Tables that change row by row (an employee dimension) are split by ranges of
+their key. The bounds of the ranges are chosen at the first write, at
+quantiles of the keys, and kept in the manifest with the folder of every
+range: a load reads the ranges its keys fall in, writes those that hold a
+change anew and leaves the others where they are.
 
 The root may be any Hadoop file system path the cluster shares.
 """
@@ -19,13 +25,16 @@ import json
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.session import shuffle_partitions
 from lodestar.sources import files
 
 MANIFEST = "_manifest"
+KEY_RANGE = "keyrange"
+SAMPLE_PER_RANGE = 200
 
 
 def _manifest(root: str, version: int) -> str:
@@ -78,6 +87,29 @@ class Warehouse:
         return _stat(self.tables, name, "max_key")
 
 
+def range_of(key: Column, bounds: list) -> Column:
+    """How many of the rising bounds are at or below the key, by halving."""
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < F.lit(bounds[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+
+    return among(0, len(bounds))
+
+
+def key_bounds(df: DataFrame, key: str, ranges: int, rows: int) -> list:
+    """Bounds that cut the keys into about equal ranges, from a sample of
+    about ``SAMPLE_PER_RANGE`` keys a range of the ``rows`` (exact whole
+    numbers: doubles do not tell large ids apart)."""
+    if ranges < 2:
+        return []
+    share = SAMPLE_PER_RANGE * ranges / max(rows, 1)
+    keys = df.select(key).where(F.col(key).isNotNull())
+    found = sorted(r[0] for r in (keys.sample(share, seed=1) if share < 1 else keys).collect())
+    return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
+
+
 def _stat(tables, name, field):
     """Statistics kept in the manifest at write time (no job to read them)."""
     entry = tables.get(name)
@@ -178,40 +210,73 @@ class Transaction:
         self.metrics[name] = metrics
         return metrics
 
-    def write_split(self, name: str, df: DataFrame, split_col: str, replace_value,
-                    keep_value, observe=None) -> dict:
-        """One write, partitioned by ``split_col``: the ``replace_value``
-        part replaces the table's previous one, the ``keep_value`` part is
-        appended to the earlier ones (SCD2: current vs history)."""
+    def bounds(self, name: str) -> list | None:
+        """The range bounds of a table split by key; None before its first write."""
+        return self.tables.get(name, {}).get("bounds")
+
+    def read_ranges(self, name: str, ranges, schema: T.StructType | None = None) -> DataFrame:
+        """The rows of some key ranges."""
+        entry = self.tables.get(name)
+        if entry is None:
+            return self.read(name, schema)
+        ends = tuple(f"/{KEY_RANGE}={r}" for r in ranges)
+        part = entry | {"segments": [s for s in entry["segments"] if s.endswith(ends)] if ends else []}
+        return _read(self.spark, self.wh.root, {name: part}, name, schema)
+
+    def last_segment(self, name: str) -> DataFrame | None:
+        """What this transaction appended to ``name`` last, if anything."""
+        entry = self.tables.get(name)
+        if not entry or not entry["segments"] or entry["segments"][-1] not in self._written:
+            return None
+        part = entry | {"segments": entry["segments"][-1:]}
+        return _read(self.spark, self.wh.root, {name: part}, name)
+
+    def write_ranges(self, name: str, df: DataFrame, key: str, bounds: list, touched=None,
+                     split: tuple | None = None, observe=None, drop=()) -> dict:
+        """Write key ranges of ``name`` anew: ``df`` has all their rows, of
+        all ranges or of those ``touched``; other ranges stay where they are.
+
+        ``split``: (column, value replaced, value kept): rows with the second
+        value replace the ranges' rows of that value, rows with the third are
+        appended (SCD2: current against history)."""
         path = self._segment(name)
         self._written.append(path)
+        rows = df.withColumn(KEY_RANGE, range_of(F.col(key), bounds))
+        by = [split[0], KEY_RANGE] if split else [KEY_RANGE]
+        place = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by])
+        exprs = [F.count(F.lit(1)).alias("rows"), F.collect_set(place).alias("places")]
+        if split:
+            exprs += [F.count_if(F.col(split[0]) == split[1]).alias("replaced"),
+                      F.count_if(F.col(split[0]) == split[2]).alias("appended")]
         obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
-        sc = F.col(split_col)
-        exprs = [F.count(F.lit(1)).alias("rows"),
-                 F.count(F.when(sc == F.lit(replace_value), 1)).alias("replaced"),
-                 F.count(F.when(sc == F.lit(keep_value), 1)).alias("appended")]
-        out = df.observe(obs, *(exprs + list(observe or [])))
-        out.write.mode("errorifexists").partitionBy(split_col).parquet(path)
+        out = rows.observe(obs, *(exprs + list(observe or []))).drop(*drop)
+        if bounds:  # few files a range, however many tasks there are
+            tasks = shuffle_partitions(self.spark)
+            salt = F.pmod(F.xxhash64(key), F.lit(max(1, tasks // (len(bounds) + 1))))
+            out = out.repartition(tasks, *by, salt)
+        out.write.mode("errorifexists").partitionBy(*by).parquet(path)
         metrics = {k: (v if v is not None else 0) for k, v in obs.get.items()}
+        places = sorted(metrics.pop("places") or [])
+        if not metrics["rows"]:
+            files.remove(self.spark, path)
+        schema = T.StructType([f for f in out.schema if f.name != KEY_RANGE])
         with self._lock:
-            return self._record_split(name, path, split_col, replace_value, keep_value,
-                                      metrics, out.schema)
-
-    def _record_split(self, name, path, split_col, replace_value, keep_value, metrics,
-                      schema) -> dict:
-        entry = self.tables.setdefault(
-            name, {"segments": [], "schema": schema.json(), "partition_by": [split_col]})
-        suffix_keep = f"/{split_col}={keep_value}"
-        segs = [s for s in entry["segments"] if s.endswith(suffix_keep)]
-        if metrics["appended"] > 0:
-            segs.append(path + suffix_keep)
-        if metrics["replaced"] > 0:
-            segs.append(f"{path}/{split_col}={replace_value}")
-        entry["segments"] = segs
-        entry["rows"] = None      # rows of the split table are not tracked
-        self.metrics[name] = metrics
+            entry = self.tables.setdefault(name, {"segments": [], "partition_by": by})
+            first = f"{split[0]}={split[1]}/" if split else ""
+            gone = tuple(f"/{first}{KEY_RANGE}={r}" for r in (range(len(bounds) + 1) if touched is None else touched))
+            entry |= {"schema": schema.json(), "bounds": bounds, "rows": None, "max_key": None,
+                      "segments": [s for s in entry["segments"] if not s.endswith(gone)]
+                      + [f"{path}/{p}" for p in places]}
+            self.tables[name] = entry
+            self.metrics[name] = metrics
         return metrics
 
+    def unchanged(self, name: str, **metrics) -> dict:
+        """Note that a load leaves ``name`` as it is."""
+        with self._lock:
+            self.metrics[name] = {"rows": 0, **metrics}
+        return self.metrics[name]
+
     def commit(self) -> int:
         version = self.wh.version + 1
         text = json.dumps({"version": version, "tables": self.tables}, sort_keys=True)
