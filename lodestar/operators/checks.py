@@ -1,23 +1,20 @@
 """Key and reference checks that the storage does not enforce.
 
-Keys that were numbered lie close together. They are checked by bitmaps of
-32,768 keys each (``distinct``): a task sends a bitmap and a count for each
-bucket it has met, and since a file holds a run of keys, few tasks share a
-bucket. A bucket with as many different keys as rows holds no duplicate; only
-the rows of other buckets are grouped by key. Keys spread too thin for
-bitmaps, and keys of several columns, are grouped as they are.
+Keys that a load has numbered lie close together. They are checked by bitmaps
+of 32,768 keys each: a task sends a bitmap and a count for each bucket it has
+met, and since a file holds a run of keys, few tasks share a bucket. A bucket
+with as many different keys as rows holds no duplicate; only tables with
+another bucket are grouped by key, and of them only these buckets. Natural
+keys and keys of several columns are grouped as they are.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.distinct import is_dense
-
 # Primary keys and foreign keys of the warehouse.
 PRIMARY_KEYS = {
     "dim_employee": ("employeeid",),
@@ -30,6 +27,8 @@ PRIMARY_KEYS = {
     "fact_operations": ("operationsid",),
     "dim_employee_scd2": ("employeeid", "startdate"),
 }
+NUMBERED = ("dim_department", "dim_expensetype", "dim_process", "dim_location", "fact_hr",
+            "fact_finance", "fact_operations")
 FOREIGN_KEYS = [
     ("fact_hr", "employeeid", "dim_employee", "employeeid"),
     ("fact_hr", "departmentid", "dim_department", "departmentid"),
@@ -41,55 +40,39 @@ FOREIGN_KEYS = [
 ]
 
 
-def _key_stats(tables: dict, single: dict) -> dict:
-    """Per table with a whole-number key: its smallest, largest, number, and
-    the number of rows without one; from one job."""
-    parts = [tables[n].agg(F.min(c).cast("bigint").alias("lo"), F.max(c).cast("bigint").alias("hi"),
-                           F.count(c).alias("n"), F.count_if(F.col(c).isNull()).alias("none"))
-             .select(F.lit(n).alias("name"), "*") for n, c in single.items()]
-    return {r["name"]: r for r in reduce(DataFrame.unionByName, parts).collect()} if parts else {}
-
-
-def _crowded(tables: dict, single: dict) -> DataFrame:
-    """(name, bucket) of the buckets with fewer different keys than rows."""
+def _crowded(tables: dict, keys: dict) -> DataFrame:
+    """(name, bucket) of the buckets with fewer different keys than rows; rows
+    without a key are a bucket of their own."""
     rows = reduce(DataFrame.unionByName, [
-        tables[n].select(F.lit(n).alias("name"), F.col(c).cast("bigint").alias("k")) for n, c in single.items()])
-    return (rows.where(F.col("k").isNotNull())
-            .groupBy("name", F.bitmap_bucket_number("k").alias("bucket"))
+        tables[n].select(F.lit(n).alias("name"), F.col(c).cast("bigint").alias("k")) for n, c in keys.items()])
+    return (rows.groupBy("name", F.bitmap_bucket_number("k").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("k"))).alias("different"))
             .where("n > different").select("name", "bucket"))
 
 
-def duplicate_keys(tables: dict, keys: dict | None = None) -> DataFrame:
+def duplicate_keys(tables: dict, keys: dict | None = None, numbered=NUMBERED) -> DataFrame:
     """Per table: number of key values held by more than one row (no key is
-    one value)."""
+    one value). ``numbered``: tables whose key a load has numbered."""
     keys = {n: cols for n, cols in (keys or PRIMARY_KEYS).items() if n in tables}
     spark = next(iter(tables.values())).sparkSession
-    whole = ("tinyint", "smallint", "int", "bigint")
-    single = {n: cols[0] for n, cols in keys.items()
-              if len(cols) == 1 and dict(tables[n].dtypes)[cols[0]] in whole}
-    stats = _key_stats(tables, single)
-    dense = {n: c for n, c in single.items() if is_dense(stats[n]["lo"], stats[n]["hi"], stats[n]["n"])}
-    held = defaultdict(list)
-    if dense:
-        crowded = _crowded(tables, dense).checkpoint()
-        for r in crowded.select("name").distinct().collect():
-            held[r["name"]] = crowded.where(F.col("name") == r["name"]).select("bucket")
+    dense = {n: cols[0] for n, cols in keys.items() if n in numbered and len(cols) == 1}
+    crowded = _crowded(tables, dense) if dense else None
+    held = {r["name"] for r in crowded.select("name").distinct().collect()} if dense else set()
     parts, clean = [], []
     for name, cols in keys.items():
         shown = [F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns")]
-        rows, none = tables[name], 0
+        rows = tables[name]
+        if name in dense and name not in held:
+            clean.append((name, ",".join(cols), 0))
+            continue
         if name in dense:
-            none = int(stats[name]["none"] > 1)
-            if name not in held:
-                clean.append((name, ",".join(cols), none))
-                continue
-            rows = (rows.where(F.col(cols[0]).isNotNull())
-                    .join(held[name], F.bitmap_bucket_number(F.col(cols[0]).cast("bigint")) == F.col("bucket"),
-                          "left_semi"))
-        dup = rows.groupBy(*cols).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("d"))
-        parts.append(dup.select(*shown, (F.col("d") + none).alias("duplicate_keys")))
+            buckets = crowded.where(F.col("name") == name).select("bucket")
+            rows = rows.join(buckets, F.bitmap_bucket_number(F.col(cols[0]).cast("bigint"))
+                             .eqNullSafe(F.col("bucket")), "left_semi")
+        dup = (rows.groupBy(*cols).count().where(F.col("count") > 1)
+               .agg(F.count(F.lit(1)).alias("duplicate_keys")))
+        parts.append(dup.select(*shown, "duplicate_keys"))
     if clean:
         parts.append(spark.createDataFrame(clean, "table_name string, key_columns string, duplicate_keys bigint"))
     return reduce(DataFrame.unionByName, parts)

@@ -22,28 +22,26 @@ SHIFT = 54    # a bin's unit is 2 ** (BIN * bin - SHIFT): below any bit of its v
 PIECE = 24
 
 PIECES = ("_p2", "_p1", "_p0")
-PARTS = ("_bin", *PIECES, "_odd")
 
 
-def _scaled(x: Column, power: Column) -> Column:
+def _scaled(x: str, power: str) -> str:
     """x * 2 ** power, in two steps so that no factor overflows."""
-    half = F.floor(power / 2)
-    return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
+    return f"({x} * pow(2D, ({power}) div 2) * pow(2D, ({power}) - ({power}) div 2))"
 
 
 def binned(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with ``column`` replaced by its parts."""
-    x = F.col(column).cast("double")
-    finite = F.abs(x) < float("inf")  # false for NaN, which is the largest
-    df = df.withColumn("_x", F.when(finite, x)).withColumn("_odd", F.when(~finite, x)).drop(column)
-    df = df.withColumn("_bin", F.when(F.col("_x") == 0, F.lit(0)).otherwise(
-        F.floor(F.log2(F.abs("_x")) / BIN).cast("int")))
-    whole, unit = F.col("_n"), float(1 << PIECE)
-    df = df.withColumn("_n", _scaled(F.col("_x"), F.lit(SHIFT) - BIN * F.col("_bin")))
-    df = df.withColumn("_p2", F.floor(whole / (unit * unit)))
-    df = df.withColumn("_n", whole - F.col("_p2") * (unit * unit))
-    df = df.withColumn("_p1", F.floor(whole / unit))
-    return df.withColumn("_p0", F.floor(whole - F.col("_p1") * unit)).drop("_n", "_x")
+    """``df`` with ``column`` (a double) replaced by its parts."""
+    others = [f"`{c}`" for c in df.columns if c != column]
+    finite = f"abs(`{column}`) < double('Infinity')"  # false for NaN, which is the largest
+    at = f"CASE WHEN `{column}` = 0 THEN 0 WHEN {finite} THEN int(floor(log2(abs(`{column}`)) / {BIN})) END"
+    df = df.selectExpr(*others, f"`{column}` AS _x", f"{at} AS _bin",
+                       f"CASE WHEN NOT ({finite}) THEN `{column}` END AS _odd")
+    scaled = _scaled("_x", f"{SHIFT} - {BIN} * _bin")
+    df = df.selectExpr(*others, "_bin", "_odd", f"CASE WHEN _bin IS NOT NULL THEN {scaled} END AS _n")
+    df = df.selectExpr(*others, "_bin", "_odd", "_n", f"floor(_n / {1 << PIECE}D) AS _q")
+    return df.selectExpr(*others, "_bin", "_odd", f"shiftright(_q, {PIECE}) AS _p2",
+                         f"_q & {(1 << PIECE) - 1}L AS _p1",
+                         f"floor(_n - _q * {1 << PIECE}D) AS _p0")
 
 
 def added(df: DataFrame, keys: list, times: str | None = None) -> DataFrame:
@@ -53,37 +51,30 @@ def added(df: DataFrame, keys: list, times: str | None = None) -> DataFrame:
                                          F.sum("_odd").alias("_odd"))
 
 
-def _terms(b: Column) -> Column:
-    """A bin as doubles that are exact."""
-    power = BIN * b["_bin"] - SHIFT
+def _terms() -> str:
+    """A bin ``b`` as doubles that are exact: each piece in two."""
     out = []
     for i, p in enumerate(PIECES):
-        high = F.floor(b[p] / F.lit(1 << 31).cast("decimal(20,0)")).cast("bigint")
-        at = power + PIECE * (2 - i)
-        out += [_scaled(high.cast("double"), at + 31),
-                _scaled((b[p] - high * F.lit(1 << 31)).cast("double"), at)]
-    return F.array(*out)
+        power = f"{BIN} * b._bin - {SHIFT} + {PIECE * (2 - i)}"
+        out += [_scaled(f"double(shiftright(b.{p}, 31))", f"{power} + 31"),
+                _scaled(f"double(b.{p} & {(1 << 31) - 1}L)", power)]
+    return ", ".join(out)
 
 
-def _rounded(bins: Column) -> Column:
-    """The bins' sum as one double."""
-    terms = F.flatten(F.transform(F.reverse(F.array_sort(bins)), _terms))
-
-    def add(acc: Column, x: Column) -> Column:
-        high = acc["high"] + x
-        other = high - acc["high"]
-        lost = (acc["high"] - (high - other)) + (x - other)
-        return F.struct(high.alias("high"), (acc["low"] + lost).alias("low"))
-
-    return F.aggregate(terms, F.struct(F.lit(0.0).alias("high"), F.lit(0.0).alias("low")), add,
-                       lambda acc: acc["high"] + acc["low"])
+# The sum of the bins, from the largest down, as a double and what it lost.
+_ROUNDED = f"""aggregate(
+  flatten(transform(reverse(array_sort(_bins)), b -> array({_terms()}))),
+  named_struct('high', 0D, 'low', 0D),
+  (a, x) -> named_struct('high', a.high + x, 'low', a.low
+    + ((a.high - ((a.high + x) - ((a.high + x) - a.high))) + (x - ((a.high + x) - a.high)))),
+  a -> a.high + a.low)"""
 
 
 def totals(df: DataFrame, keys: list, alias: str, *more: Column) -> DataFrame:
     """One row per ``keys``: the parts' sum as ``alias``, and ``more``
     aggregates. ``df`` holds few rows a group: parts that were added up by the
     keys, or by ids of which few have one name. A group has 135 bins at most."""
-    bins = F.collect_list(F.when(F.col("_p0").isNotNull(), F.struct("_bin", *PIECES)))
-    g = df.groupBy(*keys).agg(bins.alias("_bins"), F.sum("_odd").alias("_odd"), *more)
-    value = F.when(F.col("_odd").isNotNull(), F.col("_odd")).when(F.size("_bins") > 0, _rounded(F.col("_bins")))
-    return g.withColumn(alias, value).drop("_bins", "_odd")
+    bins = f"collect_list(CASE WHEN _p0 IS NOT NULL THEN struct(_bin, {', '.join(PIECES)}) END)"
+    g = df.groupBy(*keys).agg(F.expr(bins).alias("_bins"), F.sum("_odd").alias("_odd"), *more)
+    value = f"CASE WHEN _odd IS NOT NULL THEN _odd WHEN size(_bins) > 0 THEN {_ROUNDED} END AS `{alias}`"
+    return g.selectExpr(*[f"`{c}`" for c in g.columns if c not in ("_bins", "_odd")], value)
