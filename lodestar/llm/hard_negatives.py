@@ -42,7 +42,7 @@ from lodestar.llm.topk import usable
 
 SHARD_BYTES = 16 << 20
 BLOCK_BYTES = 4 << 20
-SHARDS_PER_TASK = 4
+SHARDS_PER_TASK = 1
 FAN_IN = 16
 LEAST_SEGMENT = 4  # components of the shortest segments
 FAN_OUT = 4        # segments a segment is refined into
