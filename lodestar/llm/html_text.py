@@ -5,8 +5,9 @@ take them, where text is concerned). Parts that say what they are - menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, reader comments
 - are taken out by tag, role, class or id, at any length. A class or id alone
 does not take out the only part with a title, a main or an article with a
-heading, nor the largest part if all else on the page is links and headings;
-the same holds for forms, dialogs and objects. A form around most paragraphs,
+heading, nor the largest part if all else on the page is links and headings.
+Words that have other meanings too (notice, share, banner) count alone or with
+words of layout only: a "notice-period" is no notice. The same holds for forms, dialogs and objects. A form around most paragraphs,
 or around headings and most of the text, only loses its controls and labels.
 For every remaining node the
 link-adjusted density is its characters per tag, scaled by the logarithm of
@@ -34,23 +35,30 @@ import heapq
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)
-    |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
+# A quote only opens a value after an equals sign; anywhere else, an unquoted
+# value included, it is a character like others.
+_NAME = r"(?:=|[^\s/>=])[^\s/>=]*+"
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++)?+"""
+TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)
+    |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[\s/]++|{_NAME}(?:{_VALUE})?+)*+)>
     |<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)""", re.S | re.X)
-ATTR = re.compile(r"""(?P<name>class|id|role|hidden|aria-hidden|style)(?=[\s=/>]|\Z)
-    (?:\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?""", re.X | re.I)
+ATTR = re.compile(rf"""(?P<name>{_NAME})
+    (?:\s*+=\s*+(?:"(?P<a>[^"]*+)"|'(?P<b>[^']*+)'|(?!["'])(?P<c>[^\s>]++))?+)?+""", re.X)
 
 # Elements of the HTML standard, by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp".split())
+RAW = frozenset("script style textarea title noscript iframe template svg xmp annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label "
-                   "mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+                   "mark q s samp small span strike strong sub sup time tt u var wbr br math semantics maction "
+                   "menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms "
+                   "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section "
                      "table ul".split())
@@ -68,16 +76,38 @@ BOX_TAGS = frozenset("dialog object".split())
 BOX_ROLES = frozenset("alert alertdialog dialog".split())
 CONTROLS = frozenset("label legend option optgroup datalist output".split())
 FIELDS = frozenset("input select textarea button label".split())
-OUT_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|"
-    r"footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pager|"
-    r"pagination|popup|promo|promoted|recommended|related|respond|share|sharing|sidebar|social|"
-    r"sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])")
+# Words of a class or id. The first kind says it in any compound; the second
+# only alone or with words of layout, since "notice-period" is no notice.
+OUT_WORDS = frozenset(
+    "advert adverts advertisement advertising advertisements breadcrumb breadcrumbs comment comments commentlist "
+    "consent cookie cookies disqus footer masthead menu modal nav navbar navigation newsletter pagination popup "
+    "sidebar sponsor sponsored toolbar".split())
+OUT_MAYBE = frozenset(
+    "ad ads banner header notice notices pager promo promoted recommended related respond share sharing social "
+    "subscribe widget".split())
+LAYOUT_WORDS = frozenset(
+    "area articles bar block bottom box btn button buttons center col column container content fixed form group "
+    "holder home icon icons inner item items label large layout left link links list main media mobile module outer "
+    "overlay page panel post posts primary right row secondary section side site slot small stories sticky strip "
+    "text title top unit widget widgets wrap wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 FLOW = HEADINGS | frozenset("p ul ol dl pre blockquote figure hr".split())
 # Words of a layout that only say whether such a part is on the page.
 LAYOUT = re.compile(r"(?<![^\s_-])(?:has|with|without|no)[_-][\w-]*")
 KEEP_TAGS = frozenset("html body main article".split())
+
+
+def _says_out(names: str) -> bool:
+    """Whether a class or id names a part that is not the article."""
+    for name in LAYOUT.sub("", names).split():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        if any(w in OUT_WORDS for w in words):
+            return True
+        if any(w in OUT_MAYBE for w in words) and all(w in OUT_MAYBE or w in LAYOUT_WORDS for w in words):
+            return True
+    return False
+
+
 E = math.e
 
 
@@ -102,8 +132,12 @@ def _marked(tag: str, attrs: str, inside: bool) -> int:
     if tag in KEEP_TAGS:
         return 0
     mark = 3 if tag in FORM_TAGS else 4 if tag in BOX_TAGS else 0
+    seen = set()
     for m in ATTR.finditer(attrs):
         name, value = m["name"].lower(), (m["a"] or m["b"] or m["c"] or "").lower()
+        if name in seen:  # the first of two attributes counts
+            continue
+        seen.add(name)
         role = value.strip() if name == "role" else ""
         if role in OUT_ROLES or name == "hidden" or \
                 name == "aria-hidden" and value == "true" or \
@@ -113,7 +147,7 @@ def _marked(tag: str, attrs: str, inside: bool) -> int:
             mark = mark or 3
         elif role in BOX_ROLES:
             mark = 4
-        elif name in ("class", "id") and OUT_WORDS.search(LAYOUT.sub("", value)):
+        elif name in ("class", "id") and _says_out(value):
             mark = mark if mark == 4 else 1
     return mark
 
@@ -121,7 +155,13 @@ def _marked(tag: str, attrs: str, inside: bool) -> int:
 def parse(page: str) -> Node:
     """The tree of a page; texts are strings among ``kids``."""
     root = Node("body", None)
-    stack, at, in_article = [root], 0, 0
+    stack, at, open_ = [root], 0, Counter()
+
+    def close(i: int) -> None:
+        """Takes element i of the stack and all it holds off it."""
+        open_.subtract(n.tag for n in stack[i:])
+        del stack[i:]
+
     while True:
         m = TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
@@ -137,45 +177,45 @@ def parse(page: str) -> Node:
             continue
         tag, attrs = tag.lower(), m["attrs"] or m["attrs2"] or ""
         if m["end"] or m["end2"]:
-            if tag in ("html", "body") or tag in VOID and tag != "br":
+            if tag in ("html", "body") or tag in VOID and tag != "br" or open_[tag] <= 0:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break
             continue
         if tag in RAW:
-            if not attrs.endswith("/") or tag not in ("svg", "math"):
+            if not attrs.endswith("/") or tag != "svg":
                 end = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
         if tag in ("html", "body"):
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_["p"] > 0:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag not in INLINE:
                     break
         elif tag in SIBLINGS:
             same, scope = SIBLINGS[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(open_[t] > 0 for t in same) else ():
                 if stack[i].tag in same:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in scope:
                     break
         if tag == "head":
             continue
         node = Node(tag, stack[-1])
-        inside = any(x.tag in ("article", "main") for x in stack)
-        node.out = _marked(tag, attrs, inside)
+        node.out = _marked(tag, attrs, open_["article"] > 0 or open_["main"] > 0)
         stack[-1].kids.append(node)
         if tag not in VOID and not attrs.endswith("/"):
             stack.append(node)
+            open_[tag] += 1
 
 
 def _order(root: Node) -> list[Node]:
@@ -306,11 +346,12 @@ def _chosen(nodes: list[Node]) -> list:
         dense |= {id(k) for k in parent.kids if not isinstance(k, str) and k.tag not in INLINE
                   and k.density >= (most if article and k.tag != "article" else threshold) > 0}
     # the highest node with a dense part beside the path, or the article around the choice
-    top = 0
+    top, article = 0, path[0].tag == "article"
     for i in range(1, len(path)):
         beside = any(id(k) in dense and k is not path[i - 1] for k in path[i].kids)
-        if beside or path[i].tag == "article" and "article" not in [n.tag for n in path[:i]]:
+        if beside or path[i].tag == "article" and not article:
             top = i
+        article |= path[i].tag == "article"
     if path[top].tag in ("article", "main"):
         return [path[top]]
     # nothing beside the choice: only a heading may still stand above it
