@@ -1,23 +1,26 @@
 """Merkle fingerprints of documents, with DataFrame functions only.
 
 A text is cut after blank lines into sections, after line ends into
-paragraphs, and after punctuation followed by a space into leaves; the cuts
-keep every character, so equal roots mean equal texts up to SHA-256. Each
-node is the SHA-256 of its children's hashes, and the fingerprint is the
+paragraphs, and after punctuation into leaves; a leaf still longer than
+``LONG_LEAF`` characters is cut after bytes of certain values, so that in text
+without such punctuation an inserted character changes the leaves around it
+only. The cuts keep every byte, so equal roots mean equal texts up to SHA-256.
+Each node is the SHA-256 of its children's hashes, and the fingerprint is the
 root. Two trees are compared from the root down: equal nodes are not entered,
 differing branches give the paragraphs that were edited, and the likeness of
 two trees is the Dice share of their leaf hashes (1 for equal texts).
 
 ``fingerprint_edits`` pairs each document with its successor in descending
-id order. Ids are cut into equal ranges, several per shuffle partition; each
-range gets one guard row, the first document of the following range, so the
-text moves through a single shuffle and no window spans the table. Ids spread
-very unevenly make ranges uneven, not wrong.
+order of (id, hash of the text). This order is cut into ranges at quantiles of
+a bounded sample, several per shuffle partition; each range gets one guard
+row, the first document of the following range, so the text moves through a
+single shuffle and no window spans the table, however the ids are spread.
 
 Defined results: a null text counts as empty (one leaf, the empty string);
-null ids come after all others; documents with the same id are ordered by
-text; one document alone is its own successor; an empty table gives an empty
-result; other columns are ignored.
+null ids come after all others; documents with the same id are ordered by the
+hash of their text, falling, then by the text; rows with the same id and text
+stand together in one range; one document alone is its own successor; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,14 +30,22 @@ from pyspark.sql import functions as F
 
 SECTION_END = r"(?<=\n\n)"
 PARAGRAPH_END = r"(?<=\n)"
-LEAF_END = r"(?<=[.!?,;:] )"
+LEAF_END = r"(?<=[.!?,;:] )|(?<=[\u3002\uff01\uff1f\uff1b\uff1a\uff0c\u3001\u0964\u061f])"
+LONG_LEAF = 128
+# Bytes in hex, up to one whose second digit is 5 or F.
+CONTENT_LEAF = "(?:[0-9A-F][0-46-9A-E])*+[0-9A-F][5F]|(?:[0-9A-F][0-46-9A-E])++"
 RANGES_PER_PARTITION = 8
+SAMPLE_PER_RANGE = 64
 
 
 def merkle_leaves(text: Column) -> Column:
     """array<section: array<paragraph: array<leaf hash>>>"""
+    def pieces(s):
+        return F.when(F.length(s) > LONG_LEAF, F.regexp_extract_all(
+            F.hex(F.encode(s, "UTF-8")), F.lit(CONTENT_LEAF), F.lit(0))).otherwise(F.array(s))
+
     def paragraph(p):
-        return F.transform(F.split(p, LEAF_END), lambda s: F.sha2(s, 256))
+        return F.transform(F.flatten(F.transform(F.split(p, LEAF_END), pieces)), lambda s: F.sha2(s, 256))
 
     def section(x):
         return F.transform(F.split(x, PARAGRAPH_END), paragraph)
@@ -81,29 +92,53 @@ def likeness(a: Column, b: Column) -> Column:
     return 2.0 * F.size(F.array_intersect(fa, fb)) / (F.size(fa) + F.size(fb))
 
 
+def _order_key() -> Column:
+    """Rises with (id, hash of the text); rows without an id come first."""
+    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)"))
+    tie = F.xxhash64("text").bitwiseAND(F.lit((1 << 60) - 1)).cast("decimal(19,0)")
+    return (place * F.lit(1 << 60).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
+
+
+def _range(key: Column, bounds: list) -> Column:
+    """How many of the rising bounds are at or below the key, found among
+    groups of bounds, then inside one."""
+    size = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+
+    def below(found: Column) -> Column:
+        return F.size(F.filter(found, lambda x: x <= key))
+
+    heads = F.split(F.lit(",".join(str(g[0]) for g in groups)), ",").cast("array<decimal(38,0)>")
+    whole = F.transform(F.split(F.lit(";".join(",".join(map(str, g)) for g in groups)), ";"),
+                        lambda g: F.split(g, ",").cast("array<decimal(38,0)>"))
+    at = below(heads)
+    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * size + below(F.element_at(whole, F.greatest(at, F.lit(1)))))
+
+
 def with_successor(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text), the next document in descending id order,
-    the first after the last."""
+    """(doc_id, text, next_text), the next document in descending order, the
+    first after the last."""
     spark = docs.sparkSession
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lo, hi = d.agg(F.min("doc_id"), F.max("doc_id")).first()
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", _order_key())
     n = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // n))
-    # range 0 holds the largest ids; null ids come last
-    rng = F.coalesce(F.floor((F.lit(hi or 0) - F.col("doc_id")) / F.lit(width)), F.lit(n + 1))
-    d = d.withColumn("range", rng.cast("long"))
+    share = SAMPLE_PER_RANGE * n / max(1, docs.select("doc_id").count())
+    found = sorted(r["key"] for r in (d.sample(share, seed=1) if share < 1 else d).select("key").collect())
+    bounds = sorted({found[len(found) * i // n] for i in range(1, n)}) if found else []
+    # range 0 holds the largest keys
+    d = d.withColumn("range", F.lit(len(bounds)) - _range(F.col("key"), bounds) if bounds else F.lit(0))
 
     # the first document of every range, as a guard behind the range before it
-    first = (d.groupBy("range").agg(F.max("doc_id").alias("first_id"))
+    first = (d.groupBy("range").agg(F.max("key").alias("first_key"))
              .withColumn("for", F.coalesce(
                  F.lag("range").over(Window.orderBy("range")),
                  F.max("range").over(Window.partitionBy()))))
-    guards = (d.alias("d").join(first.alias("f"), (F.col("d.range") == F.col("f.range"))
-                                & F.col("d.doc_id").eqNullSafe(F.col("f.first_id")))
+    # one row a range, of which there are 8 for each partition
+    guards = (d.alias("d").join(F.broadcast(first.alias("f")), (F.col("d.range") == F.col("f.range"))
+                                & (F.col("d.key") == F.col("f.first_key")))
               .groupBy(F.col("f.for").alias("range")).agg(F.min("d.text").alias("text"))
               .select(F.lit(None).cast(d.schema["doc_id"].dataType).alias("doc_id"), "text",
-                      "range", F.lit(True).alias("guard")))
-    w = Window.partitionBy("range").orderBy("guard", F.col("doc_id").desc_nulls_last(), "text")
+                      F.lit(None).cast("decimal(38,0)").alias("key"), "range", F.lit(True).alias("guard")))
+    w = Window.partitionBy("range").orderBy("guard", F.col("key").desc(), "text")
     return (d.withColumn("guard", F.lit(False)).unionByName(guards)
             .withColumn("next_text", F.lead("text").over(w))
             .where(~F.col("guard")).select("doc_id", "text", "next_text"))
@@ -111,7 +146,8 @@ def with_successor(docs: DataFrame) -> DataFrame:
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text (its last third
-    replaced by the beginning of its successor), with both trees."""
+    replaced by the beginning of its successor), with the paragraphs in which
+    they differ and both trees."""
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     d = with_successor(docs).withColumn("edited", F.concat(
@@ -128,4 +164,5 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         merkle_root(F.col("edited_tree")).alias("edited_fingerprint"),
         likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
         likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
-        "tree", "edited_tree")
+        differing_paragraphs(paragraph_nodes(F.col("tree")), paragraph_nodes(F.col("edited_tree")))
+        .alias("differing"), "tree", "edited_tree")

@@ -16,7 +16,9 @@ def op6_mixing(spark, sf_dir):
 
 def op5_fingerprints(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return fingerprints.fingerprint_edits(docs).drop("tree", "edited_tree")
+    found = fingerprints.fingerprint_edits(docs).drop("tree", "edited_tree")
+    return found.withColumn("differing", F.array_join(F.transform(
+        "differing", lambda p: F.concat_ws(".", p["section"], p["paragraph"])), ","))
 
 
 def op10_sharding(spark, sf_dir):
