@@ -17,8 +17,10 @@ linked ones leave free.
 Last, documents are laid out by (shard label, slice) and cut into shards of
 exactly equal counts. A label's linked documents lie between two halves of
 its unlinked ones, so the cut corrects differences, and a cut between two
-shards parts one group at most. Slices hold a bounded share of rows (a hot group gets several), and
-only one row per slice meets in one task to give each slice its offset.
+shards parts one group at most. Rows are dealt to slices by id and text, those
+of a large group by id and row number, so neither missing ids nor a hot group
+fill a slice; only one row per slice meets in one task to give each slice its
+offset.
 
 Law ``rows``: counts differ by at most one. ``grown_shard`` is null under it.
 
@@ -77,7 +79,7 @@ def _round(linked: DataFrame, counts: DataFrame, quota: int, salt: int) -> DataF
     target = wish.join(admit, ["_l", "best", "bin"]).select("_go", "_l", "best", "share")
     moved = linked.join(target, (F.col("grp") == F.col("_go")) & (F.col("label") == F.col("_l")),
                         "left")
-    go = uniform(F.col("doc_id"), F.col("grp"), F.lit("move"), F.lit(salt)) < F.col("share")
+    go = uniform(F.col("doc_id"), F.col("row"), F.lit("move"), F.lit(salt)) < F.col("share")
     return moved.withColumn("label", F.when(go, F.col("best")).otherwise(F.col("label"))) \
         .select(*linked.columns)
 
@@ -113,7 +115,8 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int | None = None) -> DataF
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"),
-                 F.octet_length(text).alias("c")).alias("grp")))
+                 F.octet_length(text).alias("c")).alias("grp"),
+        F.monotonically_increasing_id().alias("row")))  # kept by the checkpoint
     total = d.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_slice = max(1, total // (SLICES_PER_PARTITION * parts))
@@ -122,7 +125,7 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int | None = None) -> DataF
     groups = (d.groupBy("grp").agg(F.count("*").alias("n_grp")).where("n_grp > 1")
               .withColumnRenamed("grp", "_grp"))
     d = checkpointed(d.join(groups, F.col("grp") == F.col("_grp"), "left").drop("_grp")
-                     .withColumn("label", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")))
+                     .withColumn("label", F.pmod(F.xxhash64("doc_id", "grp"), F.lit(shards)).cast("int")))
     linked, loose = d.where("n_grp is not null"), d.where("n_grp is null")
     linked = _propagate(linked, -(-total // shards), rounds)
 
@@ -131,20 +134,20 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int | None = None) -> DataF
             linked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     free = [max(0.0, total / shards - held.get(s, 0)) for s in range(shards)]
     whole, upto, pick = sum(free) or 1.0, 0.0, F.lit(0)
-    u = uniform(F.col("doc_id"), F.lit("fill"))
+    u = uniform(F.col("doc_id"), F.col("grp"), F.lit("fill"))  # unlinked texts differ
     for f in free[:-1]:
         upto += f / whole
         pick = pick + (u >= upto).cast("int")
     loose = (loose.withColumn("label", pick)
-             .withColumn("zone", F.when(uniform(F.col("doc_id"), F.lit("zone")) < 0.5, 0)
+             .withColumn("zone", F.when(uniform(F.col("doc_id"), F.col("grp"), F.lit("zone")) < 0.5, 0)
                          .otherwise(2))
              .withColumn("own", F.lit(0).cast("long"))
-             .withColumn("slice", F.pmod(F.xxhash64("doc_id", F.lit("slice")), F.lit(n_slices))))
+             .withColumn("slice", F.pmod(F.xxhash64("doc_id", "grp", F.lit("slice")), F.lit(n_slices))))
     large = F.col("n_grp") > per_slice
     pieces = F.ceil(F.col("n_grp") / F.lit(per_slice))
     linked = (linked.withColumn("zone", F.lit(1))
               .withColumn("own", F.when(large, F.col("grp.a")).otherwise(F.lit(0)).cast("long"))
-              .withColumn("slice", F.when(large, F.pmod(F.xxhash64("doc_id", F.lit("slice")), pieces))
+              .withColumn("slice", F.when(large, F.pmod(F.xxhash64("doc_id", "row", F.lit("slice")), pieces))
                           .otherwise(F.pmod(F.col("grp.b"), F.lit(n_slices)))))
     laid = checkpointed(loose.unionByName(linked))
 
