@@ -7,11 +7,12 @@ keys until their prefix sum of words reaches the fraction ``f``; the document
 on the boundary gives only the words still missing, so a source takes its
 target rounded down, exactly.
 
-The prefix sum needs no task that holds a source: keys are cut into
-``key_buckets`` monotone buckets, words are summed per (source, bucket) with a
-map-side combine, and only the one bucket a source's budget ends in is ranked
-row by row. Nothing is broadcast by hint; the table of sources is joined as
-Spark's size threshold and AQE decide (a hot source is then split).
+The prefix sum needs no task that holds a source: keys are cut into monotone
+buckets (``key_buckets`` for usual keys, an eighth of it for every doubling of
+the large keys that low weights give), words are summed per (source, bucket)
+with a map-side combine, and only the one bucket a source's budget ends in is
+ranked row by row. Nothing is broadcast by hint; a source's row is repeated
+``SALTS`` times for the join with its documents, so a hot source is split.
 
 Defined results: a null text has size 0, a null source is a source of its own
 and comes last; size 0 takes 0; repeated rows are separate documents with
@@ -29,6 +30,8 @@ TARGET_SHARE = 1.5
 WEIGHT_CYCLE = (5, 2, 1)
 MAX_EPOCHS = 2
 KEY_BUCKETS = 4096
+LARGE_KEY = 4.0  # of documents of full weight, 2 % have larger ones
+SALTS = 64
 USUAL_WORD_CHARS = 6.0
 
 
@@ -39,6 +42,13 @@ def quality_weight(n_chars: Column, size: Column) -> Column:
     return 1.0 / (1.0 + F.abs(mean - USUAL_WORD_CHARS) / USUAL_WORD_CHARS)
 
 
+def key_bucket(key: Column, buckets: int) -> Column:
+    """Rises with the key."""
+    usual = F.floor((1 - F.exp(-key)) * buckets)
+    large = buckets + F.floor(F.log2(key / LARGE_KEY) * (buckets / 8))
+    return F.when(key < LARGE_KEY, usual).otherwise(large).cast("int")
+
+
 def source_targets(sizes: DataFrame, share: float = TARGET_SHARE,
                    cycle: tuple[int, ...] = WEIGHT_CYCLE,
                    max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -89,9 +99,8 @@ def mix(docs: DataFrame, key_buckets: int = KEY_BUCKETS, share: float = TARGET_S
                          F.coalesce(u, F.lit(0.5)).alias("_u"), *keep)
     narrow = narrow.withColumn("key", -F.log("_u") / quality_weight(F.col("_chars"), F.col("size")))
     narrow = checkpointed(narrow.select(
-        "doc_id", "source", "size", "key",
-        F.least(F.floor((1 - F.exp(-F.col("key"))) * key_buckets),
-                F.lit(key_buckets - 1)).cast("int").alias("bucket"), *keep))
+        "doc_id", "source", "size", "key", key_bucket(F.col("key"), key_buckets).alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", "key", F.monotonically_increasing_id()), F.lit(SALTS)).alias("salt"), *keep))
 
     hist = checkpointed(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("words")))
     targets = source_targets(
@@ -115,9 +124,11 @@ def mix(docs: DataFrame, key_buckets: int = KEY_BUCKETS, share: float = TARGET_S
     plan = (targets.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
             .select(F.col("source").alias("_source"), "source_size", "target", "epochs",
                     "rest", F.col("end.bucket").alias("end_bucket"),
-                    F.col("end.before").alias("before")))
+                    F.col("end.before").alias("before"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")))
 
-    d = narrow.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    d = narrow.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("salt") == F.col("_salt"))) \
+        .drop("_source", "_salt", "salt")
     # only rows of the ending bucket are ranked; the rest pass straight through
     at_end = d.where(F.col("bucket") == F.col("end_bucket"))
     running = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
