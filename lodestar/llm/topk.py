@@ -168,12 +168,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = SC
     c, q = clean(vectors), clean(queries)
     shards, n_shards = _packed(c, shard_rows, c.count(), scale)
     blocks, n_blocks = _packed(q, block_rows, q.count(), scale)
-    each = shards.withColumn("block", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    def up_to(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    # block and shard are both in the key, so a block's tiles go to many tasks
+    each = shards.withColumn("block", up_to(n_blocks))
     blocks = blocks.select(F.col("part").alias("block"), "dim", F.col("n").alias("q_n"),
-                           F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-    tiles = each.join(blocks, ["block", "dim"]).repartition(
-        max(1, n_shards * n_blocks), "block", "part")
+                           F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"),
+                           up_to(n_shards).alias("part"))
+    tiles = each.join(blocks, ["block", "part", "dim"])
     lists = checkpointed(tiles.mapInArrow(_tiles(k), LISTS))
     while n_shards > fan_in:
         n_shards = math.ceil(n_shards / fan_in)
