@@ -7,7 +7,9 @@ sorted within partitions, ``monotonically_increasing_id`` gives
 one row per partition, a proven size bound - turns that into a global rank.
 The input is checkpointed (so range sampling does not re-run the joins that
 produced it) and so are the laid-out rows (so counts and positions come from
-one layout, even when a task is retried on another executor).
+one layout, even when a task is retried on another executor). A load of at
+most ``ONE_TASK_ROWS`` new rows, a bound on what one task sorts, is ranked
+from the first of these copies in one step.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from lodestar.session import checkpoint_root, shuffle_partitions
 
 _POS_BITS = 33
+ONE_TASK_ROWS = 200_000
 
 
 def max_key(df: DataFrame, key_col: str) -> int:
@@ -38,6 +41,9 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by, start: int = 0,
     # Range partitioning samples its input in a job of its own; reading the
     # rows from a checkpoint keeps the upstream joins from running twice.
     src = df.checkpoint()
+    if num_partitions is None and src.count() <= ONE_TASK_ROWS:
+        rank = F.row_number().over(Window.orderBy(*order))
+        return src.select((F.lit(int(start)) + rank).cast("bigint").alias(key_col), *df.columns)
     laid = (src.repartitionByRange(parts, *order)
             .sortWithinPartitions(*order)
             .withColumn("_ls_mid", F.monotonically_increasing_id())

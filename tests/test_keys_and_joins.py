@@ -39,3 +39,12 @@ def test_last_per_key(spark):
     df = spark.createDataFrame([(1, 20200101, 5, "A"), (1, 20200101, 7, "B"), (1, 20190101, 9, "C")],
                                "id int, dk int, hid int, s string")
     assert [tuple(r) for r in last_per_key(df, "id", ["dk", "hid"], ["s"]).collect()] == [(1, "B")]
+
+
+def test_small_and_large_loads_are_numbered_alike(spark, monkeypatch):
+    from lodestar.operators import keys
+    df = spark.range(500).selectExpr("id % 7 as a", "if(id % 5 = 0, null, cast(id % 11 as string)) as b", "id")
+    small = sorted(map(tuple, keys.assign_surrogate_keys(df, "k", ["a", "b", "id"], 40).collect()))
+    monkeypatch.setattr(keys, "ONE_TASK_ROWS", 10)
+    large = sorted(map(tuple, keys.assign_surrogate_keys(df, "k", ["a", "b", "id"], 40).collect()))
+    assert small == large and [r[0] for r in small] == list(range(41, 541))
