@@ -103,16 +103,16 @@ def _range(key: Column, bounds: list) -> Column:
     """How many of the rising bounds are at or below the key, found among
     groups of bounds, then inside one."""
     size = max(1, int(len(bounds) ** 0.5))
-    groups = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+
+    def constant(values: list) -> Column:  # a literal once the plan is folded
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<decimal(38,0)>")
 
     def below(found: Column) -> Column:
         return F.size(F.filter(found, lambda x: x <= key))
 
-    heads = F.split(F.lit(",".join(str(g[0]) for g in groups)), ",").cast("array<decimal(38,0)>")
-    whole = F.transform(F.split(F.lit(";".join(",".join(map(str, g)) for g in groups)), ";"),
-                        lambda g: F.split(g, ",").cast("array<decimal(38,0)>"))
-    at = below(heads)
-    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * size + below(F.element_at(whole, F.greatest(at, F.lit(1)))))
+    group = below(constant(bounds[::size])) - 1  # the group the key falls in
+    inside = F.slice(constant(bounds), F.greatest(group, F.lit(0)) * size + 1, F.lit(size))
+    return F.when(group < 0, F.lit(0)).otherwise(group * size + below(inside))
 
 
 def with_successor(docs: DataFrame) -> DataFrame:
