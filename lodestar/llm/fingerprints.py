@@ -1,10 +1,10 @@
 """Merkle fingerprints of documents, with DataFrame functions only.
 
 A text is cut after blank lines into sections, after line ends into
-paragraphs, and after punctuation into leaves; a leaf still longer than
-``LONG_LEAF`` characters is cut after bytes of certain values, so that in text
-without such punctuation an inserted character changes the leaves around it
-only. The cuts keep every byte, so equal roots mean equal texts up to SHA-256.
+paragraphs, and after punctuation followed by a space into leaves; a leaf
+still longer than ``LONG_LEAF`` characters is cut after bytes of certain
+values, so that in text without spaces or punctuation an inserted character
+changes the leaves around it only. The cuts keep every byte, so equal roots mean equal texts up to SHA-256.
 Each node is the SHA-256 of its children's hashes, and the fingerprint is the
 root. Two trees are compared from the root down: equal nodes are not entered,
 differing branches give the paragraphs that were edited, and the likeness of
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 SECTION_END = r"(?<=\n\n)"
 PARAGRAPH_END = r"(?<=\n)"
-LEAF_END = r"(?<=[.!?,;:] )|(?<=[\u3002\uff01\uff1f\uff1b\uff1a\uff0c\u3001\u0964\u061f])"
-LONG_LEAF = 128
-# Bytes in hex, up to one whose second digit is 5 or F.
-CONTENT_LEAF = "(?:[0-9A-F][0-46-9A-E])*+[0-9A-F][5F]|(?:[0-9A-F][0-46-9A-E])++"
+LEAF_END = r"(?<=[.!?,;:] )"
+LONG_LEAF = 256
+# Bytes in hex: 24 and more, up to one whose second digit is 5 or F.
+CONTENT_LEAF = "(?:[0-9A-F]{2}){24}(?:[0-9A-F][0-46-9A-E])*+[0-9A-F][5F]|(?:[0-9A-F]{2})++"
 RANGES_PER_PARTITION = 8
 SAMPLE_PER_RANGE = 64
 
