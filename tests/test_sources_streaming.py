@@ -24,6 +24,34 @@ def test_extract_round_trip(spark, tmp_root, fmt):
     assert clean_domain(back, "finance").count() == 1385
 
 
+def test_landed_files_are_even_when_one_row_group_holds_the_table(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from lodestar.sources.fixtures import land_extracts
+    sf = os.path.join(tmp_root, "sf")
+    k = spark.range(8000).select(F.col("id").alias("k"))
+    for name, cols in {
+            "customer": ["k AS c_custkey", "concat('c', k) AS c_name", "'BUILDING' AS c_mktsegment",
+                         "k % 25 AS c_nationkey", "k / 7 AS c_acctbal"],
+            "orders": ["k AS o_orderkey", "k % 900 AS o_custkey", "k / 3 AS o_totalprice",
+                       "'1-URGENT' AS o_orderpriority", "timestamp'1995-01-01' AS o_orderdate"],
+            "events": ["k AS event_id", "'click' AS event_type", "k % 50 AS user_id", "k / 9 AS value",
+                       "timestamp'2024-01-01' AS ts"]}.items():
+        k.selectExpr(*cols).coalesce(1).write.parquet(f"{sf}/{name}.parquet")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        landed = land_extracts(spark, sf, os.path.join(tmp_root, "landed"))
+        assert {d: df.count() for d, df in landed.items()} == {
+            d: df.count() for d, df in raw_extracts(spark, sf).items()}
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    for df in landed.values():
+        sizes = [r["count"] for r in df.groupBy(F.input_file_name().alias("f")).count().collect()]
+        assert len(sizes) >= 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
 def test_stream_loads_only_new_files(spark, tmp_root):
     raw = raw_extracts(spark, SF_SMALL)
     root = os.path.join(tmp_root, "wh")
