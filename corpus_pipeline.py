@@ -15,6 +15,7 @@ from lodestar.llm.queries import packed
 from lodestar.llm.tables import WORD, small_batches, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+SURE = 0.5  # cosine of a prediction that outweighs a label; short texts stay below
 
 
 def _documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -30,18 +31,24 @@ def _text_key(*more: Column) -> list[Column]:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str,
-                languages: tuple[str, ...] | None = None, least: float = 0.0) -> DataFrame:
-    """Rejects documents without a text or a letter, and those predicted to be
-    in none of ``languages`` (as they come: every language that is labelled)
-    or with a score under ``least``. Where nothing is labelled, letters decide
-    alone. Rows without an id are documents like others."""
+                languages: tuple[str, ...] | None = None, least: float = 0.0,
+                sure: float = SURE) -> DataFrame:
+    """Rejects documents without a text or a letter, those predicted with a
+    score of ``sure`` or more to be in another language than their label says,
+    those predicted to be in none of ``languages`` (as they come: every
+    language that is labelled) and those with a score under ``least``. A
+    missing label, or one that nothing was learned of, is not contradicted.
+    Where nothing is labelled, letters decide alone. Rows without an id are
+    documents like others."""
     small_batches(spark)
     d = docs.select(*COLUMNS)
     prototypes = language.fit(d.where(~language.held_out(F.col("doc_id"))))
     if not prototypes:
         return _documents(d.where(F.col("text").rlike(r"\p{L}")))
     found = language.predict(d, prototypes, "doc_id", "lang", "source", with_text=True)
-    wanted = F.col("lang_pred") != language.UNKNOWN
+    other = F.col("lang").isin(*prototypes) & (F.col("lang_pred") != F.col("lang"))
+    wanted = ((F.col("lang_pred") != language.UNKNOWN)
+              & ~F.coalesce(other & (F.col("score") >= sure), F.lit(False)))
     if languages is not None:
         wanted &= F.col("lang_pred").isin(*languages)
     return _documents(found.where(wanted & (F.col("score") >= least)))

@@ -1,6 +1,7 @@
 """The stages against what their operators say, each on its own input."""
 
 import collections
+import random
 
 import corpus_pipeline as p
 import pytest
@@ -60,6 +61,20 @@ def test_language_choice(spark, stages):
     assert p.language_id(spark, d, None, languages=("en",)).count() == d.count()
 
 
+def test_language_stage_rejects_texts_in_another_language_than_labelled(spark):
+    """The prediction decides as the stage comes, without parameters."""
+    en = "the whether and think through with this them others weather"
+    de = "nicht zwischen schwarz und zwanzig jetzt durch ich auch gehen"
+    rows = [(i, " ".join(random.Random(i).sample(t.split(), 10)), lang, "s", 60)
+            for i, (t, lang) in enumerate([(en, "en"), (de, "de")] * 30)]
+    odd = [(100, de, "en", "s", 60), (101, en, "de", "s", 60), (102, de, None, "s", 60)]
+    d = spark.createDataFrame(rows + odd, SCHEMA)
+    got = {r.doc_id for r in p.language_id(spark, d, None).collect()}
+    assert got == {r[0] for r in rows} | {102}
+    open_ = {r.doc_id for r in p.language_id(spark, d, None, sure=1.01).collect()}
+    assert open_ == got | {100, 101}
+
+
 def test_repeated_string_stage(stages):
     want = {r.doc_id: r.kept for r in suffix_dedup.remove_repeats(stages[1]).collect()
             if r.n_removed == 0 or r.kept.strip()}
