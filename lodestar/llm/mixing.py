@@ -125,7 +125,7 @@ def mix(docs: DataFrame, key_buckets: int = KEY_BUCKETS, share: float = TARGET_S
             .select(F.col("source").alias("_source"), "source_size", "target", "epochs",
                     "rest", F.col("end.bucket").alias("end_bucket"),
                     F.col("end.before").alias("before"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")))
+                    F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("_salt")))
 
     d = narrow.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("salt") == F.col("_salt"))) \
         .drop("_source", "_salt", "salt")
