@@ -127,6 +127,46 @@ def test_links_of_rows_without_own_ids(spark):
     assert found((None, w), (None, w), (9, v), (9, "")) == [(9, 9), (9, 9), (None, None), (None, None)]
 
 
+def test_only_sets_with_partners_are_sent(spark, monkeypatch):
+    """Sets without a similar one stay where they are, however many shingles
+    there are for each cell of a filter (here 2^20 for 2.4 million)."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(str(rng.getrandbits(40)) for _ in range(600))) for i in range(4000)]
+    rows += [(4000 + i, rows[i][1] + " more") for i in range(30)]
+    sent, codes = spark.sparkContext.accumulator(0), jaccard._codes
+
+    def counted(*args):
+        run = codes(*args)
+
+        def counting(batches):
+            for batch in run(batches):
+                sent.add(batch.num_rows)
+                yield batch
+        return counting
+
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 20, raising=False)
+    monkeypatch.setattr(jaccard, "_codes", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()}
+    assert got == {i: i - 4000 if i >= 4000 else i for i in range(4030)}
+    assert 60 <= sent.value <= 120
+
+
+def test_slices_and_levels(spark, monkeypatch):
+    """Small blocks, buckets, pieces and parts, and a slice in which most sets
+    have too few shingles, give the same groups."""
+    rng = random.Random(6)
+    base = [prose(rng, n) for n in (1, 2, 4, 5, 6, 9, 20, 60, 60, 200)]
+    rows = [(i, edited(rng, base[i % 10], i % 4)) for i in range(200)] + [(None, base[8]), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    whole = sorted(map(str, jaccard.near_duplicates(df).collect()))
+    for changes in ({"SLICE": 205, "BLOCK_BYTES": 1000, "PART_SETS": 8},
+                    {"SLICE": 1024, "PIECE_ITEMS": 50, "GROUP_ITEMS": 100, "HELD_ITEMS": 60}):
+        for name, value in changes.items():
+            monkeypatch.setattr(jaccard, name, value)
+        assert sorted(map(str, jaccard.near_duplicates(df).collect())) == whole, changes
+
+
 def test_blocks_of_large_groups(spark, monkeypatch):
     """A component of ties cut into many blocks gives the same groups."""
     rng = random.Random(8)
