@@ -62,14 +62,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     small_batches(spark)
     d = docs.select(*COLUMNS, *_text_key())
     rows = jaccard.groups(d, keep=("_t1", "_t2"))
-    key = ("doc_id", "_t1", "_t2")
-    first = (rows.where("group is not null").groupBy("group")
-             .agg(F.min(F.struct(F.isnull("doc_id").alias("none"), *key)).alias("k"))
-             .select(*[F.col(f"k.{c}").alias(f"k{c}") for c in key], F.lit(False).alias("every")))
-    bare = rows.where("group is null").select(*[F.col(c).alias(f"k{c}") for c in key],
-                                              F.lit(True).alias("every")).distinct()
-    met = d.join(first.unionByName(bare), F.expr(" and ".join(f"{c} <=> k{c}" for c in key)))
-    # repeated rows stand together after the join
+    key = ("none", "id", "_t1", "_t2")  # without nulls, so that rows are dealt once for join and window
+    named = {"none": F.isnull("doc_id"), "id": F.coalesce("doc_id", F.lit(0))}
+    rows = rows.withColumns(named)
+    first = (rows.where("group is not null").groupBy("group").agg(F.min(F.struct(*key)).alias("k"))
+             .select("k.*", F.lit(False).alias("every")))
+    bare = rows.where("group is null").select(*key, F.lit(True).alias("every")).distinct()
+    met = d.withColumns(named).join(first.unionByName(bare), list(key))
     copy = F.row_number().over(Window.partitionBy(*key).orderBy("source", "lang"))
     return _documents(met.withColumn("copy", copy).where("copy = 1 or every"))
 

@@ -155,3 +155,15 @@ def test_mixing_of_rows_without_own_ids(spark):
     for r in p.mix_sources(spark, d, None).collect():
         got[r.doc_id] += len(r.text.split())
     assert got == +want and got[1] and got[None]
+
+
+def test_near_duplicates_move_texts_once(spark):
+    """Rows stand together after the join with those that stay, so their texts
+    are not dealt again to tell repeated rows apart."""
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = _rows((1, text, "a"), (1, text, "a"), (None, text, "b"), (2, text, "a"))
+    stage = p.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), None)
+    plan = stage._jdf.queryExecution().executedPlan().toString()
+    above, _, below = plan.partition("SortMergeJoin")
+    assert "Window" in above and "Exchange" not in above and "Exchange" in below
+    assert [(r.doc_id, r.text, r.source) for r in stage.collect()] == [(1, text, "a")]
